@@ -1,9 +1,518 @@
-"""Queries over the driver's tables and their SQL."""
+"""Queries over the driver's tables, each beside the SQL that gives the same rows."""
+
+from pyspark.sql import functions as F
+
+from quillon.functions import search, seq as S
+from quillon.operators import label, library, ml, stats, trim, umi
+from quillon.plans import derived as D
+from quillon.sources import fastq
+
+_FOUND = {}
+ANCHOR = D.ANCHOR
+PATTERNS = ("NNN", "NNN", "NNB", "VNN", "NNK", "NNN", "DNN", "NNN", "NNN", "NHN", "NNN")
+WILDTYPE = "GCCAGCAGCCCGAATATGGCGGATGAACAGTAC"
+DNA = f"{D.HEX}, 'ACGTACGTACGTACGT'"
+
+
+def query(sql=None):
+    def add(f):
+        _FOUND[f.__name__] = (f, sql)
+        return f
+
+    return add
 
 
 def queries():
-    return {}
+    return {name: f for name, (f, _) in _FOUND.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for name, (_, sql) in _FOUND.items() if sql}
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- selection: counts, ratios, labels ---------------------------------------------------------
+
+WIDE = f"""
+sel AS ({D.SELECTION}),
+per AS (SELECT peptide, aa_seq, 0 AS lib, count(*) FILTER (condition = 'neg') AS neg, count(*) FILTER (condition = 'pos3x') AS pos3x, count(*) FILTER (condition = 'pos1x') AS pos1x
+    FROM sel WHERE condition IN ('neg', 'pos3x', 'pos1x') GROUP BY 1, 2),
+lib AS (SELECT aa_seq, count(*) AS lib FROM sel WHERE condition = 'lib' GROUP BY 1),
+outer_ AS (SELECT coalesce(p.peptide, l.peptide) AS peptide, coalesce(p.aa_seq, l.aa_seq) AS aa_seq, coalesce(l.lib, 0) AS count_lib, coalesce(neg, 0) AS count_neg, coalesce(pos3x, 0) AS count_pos3x, coalesce(pos1x, 0) AS count_pos1x
+    FROM per p FULL OUTER JOIN (SELECT n.peptide, lib.* FROM (SELECT DISTINCT peptide FROM per) n, lib) l ON p.peptide = l.peptide AND p.aa_seq = l.aa_seq),
+wide AS (SELECT *, count_lib / sum(count_lib) OVER w AS freq_lib, count_neg / sum(count_neg) OVER w AS freq_neg, count_pos3x / sum(count_pos3x) OVER w AS freq_pos3x, count_pos1x / sum(count_pos1x) OVER w AS freq_pos1x
+    FROM outer_ WINDOW w AS (PARTITION BY peptide)),
+rat AS (SELECT *, (freq_pos3x + 1e-9) / (freq_neg + 1e-9) AS enrich_pos3x_vs_neg, (freq_pos1x + 1e-9) / (freq_neg + 1e-9) AS enrich_pos1x_vs_neg,
+    (freq_pos3x + 1e-9) / (freq_lib + 1e-9) AS enrich_pos3x_vs_lib, (freq_pos1x + 1e-9) / (freq_lib + 1e-9) AS enrich_pos1x_vs_lib, (freq_neg + 1e-9) / (freq_lib + 1e-9) AS deplete_neg_lib FROM wide)"""
+_flag = lambda c, name: f"CASE WHEN {c} >= 2 THEN 'Enriched' WHEN {c} <= 0.5 THEN 'Depleted' ELSE 'NoChange' END AS {name}"
+_both = lambda a, b, name: f"CASE WHEN {a} = 'Enriched' OR {b} = 'Enriched' THEN 'Enriched' WHEN {a} = 'Depleted' AND {b} = 'Depleted' THEN 'Depleted' ELSE 'NoChange' END AS {name}"
+_spec = "CASE WHEN (pos_vs_neg_status = 'Enriched' OR pos_vs_lib_status = 'Enriched') AND neg_vs_lib_status <> 'Enriched' THEN 1 WHEN pos_vs_neg_status <> 'Enriched' AND pos_vs_lib_status <> 'Enriched' AND neg_vs_lib_status = 'Enriched' THEN 0 ELSE 2 END AS specificity"
+LABELS = f"""{WIDE},
+st AS (SELECT *, {_flag('enrich_pos3x_vs_neg', 'pos3x_vs_neg_status')}, {_flag('enrich_pos3x_vs_lib', 'pos3x_vs_lib_status')}, {_flag('enrich_pos1x_vs_neg', 'pos1x_vs_neg_status')},
+    {_flag('enrich_pos1x_vs_lib', 'pos1x_vs_lib_status')}, {_flag('deplete_neg_lib', 'neg_vs_lib_status')} FROM rat),
+st2 AS (SELECT *, {_both('pos3x_vs_neg_status', 'pos1x_vs_neg_status', 'pos_vs_neg_status')}, {_both('pos3x_vs_lib_status', 'pos1x_vs_lib_status', 'pos_vs_lib_status')} FROM st),
+labels_ AS (SELECT *, {_spec} FROM st2)"""
+_COLS = "aa_seq, peptide, count_lib, freq_lib, count_neg, freq_neg, count_pos3x, freq_pos3x, count_pos1x, freq_pos1x"
+_RATIOS = "enrich_pos3x_vs_neg, enrich_pos1x_vs_neg, enrich_pos3x_vs_lib, enrich_pos1x_vs_lib, deplete_neg_lib"
+
+
+def _wide(spark, sf_dir):
+    return label.wide_counts(D.selection(spark, sf_dir))
+
+
+def _labels(spark, sf_dir):
+    return label.label(_wide(spark, sf_dir))
+
+
+@query(f"WITH {LABELS} SELECT {_COLS}, {_RATIOS}, pos3x_vs_neg_status, pos3x_vs_lib_status, pos1x_vs_neg_status, pos1x_vs_lib_status, pos_vs_neg_status, pos_vs_lib_status, neg_vs_lib_status, specificity FROM labels_")
+def specificity_labels(spark, sf_dir):
+    return _labels(spark, sf_dir)
+
+
+@query(f"WITH {WIDE} SELECT {_COLS} FROM wide")
+def variant_counts_freq(spark, sf_dir):
+    return _wide(spark, sf_dir)
+
+
+@query(f"WITH {WIDE} SELECT peptide, aa_seq, {_RATIOS} FROM rat")
+def enrichment_ratios(spark, sf_dir):
+    return _labels(spark, sf_dir).select("peptide", "aa_seq", *_RATIOS.split(", "))
+
+
+@query(f"""WITH {WIDE}, a AS (SELECT peptide, aa_seq, {_flag('enrich_pos3x_vs_neg', 'pos_vs_neg_status')}, {_flag('enrich_pos3x_vs_lib', 'pos_vs_lib_status')}, {_flag('deplete_neg_lib', 'neg_vs_lib_status')} FROM rat)
+SELECT *, {_spec} FROM a""")
+def specificity_labels_single_pos(spark, sf_dir):
+    s = D.selection(spark, sf_dir).replace("pos3x", "pos", "condition")
+    # peptides are those with any arm, the second positive arm included
+    w = label.wide_counts(s, ("lib", "neg", "pos", "pos1x")).drop("count_pos1x", "freq_pos1x")
+    return label.label(w, ("pos",)).select("peptide", "aa_seq", "pos_vs_neg_status", "pos_vs_lib_status", "neg_vs_lib_status", "specificity")
+
+
+@query(f"WITH {LABELS} SELECT peptide, count(*) AS n_variants, count(*) FILTER (specificity = 1) AS n_spec_1, count(*) FILTER (specificity = 0) AS n_spec_0, count(*) FILTER (specificity = 2) AS n_spec_2 FROM labels_ GROUP BY 1")
+def label_summary(spark, sf_dir):
+    return label.label_summary(_labels(spark, sf_dir))
+
+
+@query(f"WITH sel AS ({D.SELECTION}) SELECT peptide, count(DISTINCT condition) FILTER (condition IN ('neg', 'pos3x', 'pos1x')) = 3 AS complete FROM sel WHERE aa_seq < 'K' GROUP BY 1")
+def required_condition_gate(spark, sf_dir):
+    return label.complete_peptides(D.selection(spark, sf_dir).where("aa_seq < 'K'"))
+
+
+_SAMPLE = "concat('clib', p_brand, CASE p_size % 6 WHEN 0 THEN 'originallib' WHEN 1 THEN '_2xnegative' WHEN 2 THEN '3xpositive' WHEN 3 THEN '31xpositive' ELSE '' END)"
+
+
+@query(f"""SELECT p_partkey, CASE WHEN p_size % 6 < 4 THEN p_brand END AS peptide, CASE p_size % 6 WHEN 0 THEN 'lib' WHEN 1 THEN 'neg' WHEN 2 THEN 'pos3x' WHEN 3 THEN 'pos1x' END AS condition FROM part""")
+def condition_token_parse(spark, sf_dir):
+    peptide, condition = label.parse_condition(F.col("s"))
+    return _table(spark, sf_dir, "part").selectExpr("p_partkey", f"{_SAMPLE} AS s").select("p_partkey", peptide.alias("peptide"), condition.alias("condition"))
+
+
+_MAP = "SELECT DISTINCT p_brand AS name, translate(substr(md5(p_brand), 1, 9), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS sequence FROM part WHERE p_brand NOT LIKE '%1'"
+
+
+@query(f"WITH {LABELS}, m AS ({_MAP}) SELECT aa_seq AS tcr, sequence AS peptide, specificity AS label FROM labels_ LEFT JOIN m ON peptide = name WHERE specificity IN (0, 1)")
+def ml_export(spark, sf_dir):
+    return label.ml_rows(_labels(spark, sf_dir), D.view(spark, sf_dir, _MAP, "part"))
+
+
+@query(f"WITH m AS ({_MAP}) SELECT p_partkey, sequence FROM part LEFT JOIN m ON p_brand = name")
+def peptide_lookup(spark, sf_dir):
+    m = D.view(spark, sf_dir, _MAP, "part")
+    p = _table(spark, sf_dir, "part")
+    return p.join(m, p.p_brand == m.name, "left").select("p_partkey", "sequence")
+
+
+@query(f"WITH m AS ({_MAP}) SELECT p_brand, count(*) AS n FROM part WHERE p_brand NOT IN (SELECT name FROM m) GROUP BY 1")
+def unmapped_peptides(spark, sf_dir):
+    m = D.view(spark, sf_dir, _MAP, "part")
+    p = _table(spark, sf_dir, "part")
+    return p.join(m, p.p_brand == m.name, "left_anti").groupBy("p_brand").agg(F.count("*").alias("n"))
+
+
+# --- reads: barcodes and consensus -------------------------------------------------------------
+
+EXTRACTED = f"""
+reads AS ({D.READS}),
+ex AS (SELECT *, instr(seq, '{ANCHOR}') AS hit, CASE WHEN length(seq) < 23 THEN 'too_short' WHEN instr(seq, '{ANCHOR}') = 0 THEN 'no_anchor' WHEN instr(seq, '{ANCHOR}') - 1 NOT BETWEEN 12 AND 15 THEN 'anchor_wrong_pos' WHEN length(seq) < instr(seq, '{ANCHOR}') + 8 THEN 'empty_insert' END AS drop_reason FROM reads),
+ok AS (SELECT k, read_no, tmpl, substr(seq, hit - 12, 12) AS umi, substr(seq, hit + 8) AS insert, substr(qual, hit + 8) AS insert_qual FROM ex WHERE drop_reason IS NULL)"""
+COLUMNS = f"""{EXTRACTED},
+b AS (SELECT umi, p - 1 AS pos, substr(insert, p, 1) AS base, least(greatest(pow(10.0::double, -(ascii(substr(insert_qual, p, 1)) - 33) / 10.0::double), 1e-12), 1 - 1e-12) AS pe FROM (SELECT umi, insert, insert_qual, unnest(range(1, length(insert) + 1)) AS p FROM ok)),
+v AS (SELECT umi, pos, {', '.join(f"coalesce(round(sum(ln(1 - pe) - ln(pe / 3)) FILTER (base = '{x}'), 9), 0) AS {x}" for x in 'ACGT')} FROM b GROUP BY 1, 2),
+s AS (SELECT *, list_sort([A, C, G, T], 'DESC') AS r FROM v),
+d AS (SELECT *, round(r[1] - r[2], 6) AS log_delta FROM s),
+cols AS (SELECT umi, pos, CASE WHEN log_delta < 2 THEN 'N' WHEN A = r[1] THEN 'A' WHEN C = r[1] THEN 'C' WHEN G = r[1] THEN 'G' ELSE 'T' END AS call, log_delta FROM d)"""
+
+
+def _extracted(spark, sf_dir):
+    return umi.extract(D.reads(spark, sf_dir), ANCHOR)
+
+
+def _umis(spark, sf_dir):
+    # one shuffle of the reads by barcode; everything grouped below by barcode needs no other
+    return _extracted(spark, sf_dir).where("drop_reason IS NULL").select("k", "read_no", "tmpl", "umi", "insert", "insert_qual").repartition("umi")
+
+
+@query(f"WITH {EXTRACTED} SELECT coalesce(drop_reason, 'ok') AS reason, count(*) AS n FROM ex GROUP BY 1")
+def umi_extract_reasons(spark, sf_dir):
+    return _extracted(spark, sf_dir).groupBy(F.coalesce("drop_reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {COLUMNS} SELECT umi, CAST(pos AS int) AS pos, call, log_delta FROM cols")
+def umi_consensus_calls(spark, sf_dir):
+    return umi.posterior_columns(_umis(spark, sf_dir))
+
+
+@query(f"""WITH {COLUMNS}, g AS (SELECT umi, string_agg(call, '' ORDER BY pos) AS cons_seq, list(log_delta ORDER BY log_delta) AS d FROM cols GROUP BY 1)
+SELECT umi, cons_seq, len(d) AS cons_len, CAST(length(cons_seq) - length(replace(cons_seq, 'N', '')) AS bigint) AS n_n, round(d[1], 3) AS min_log_delta, round((d[(len(d) + 1) // 2] + d[len(d) // 2 + 1]) / 2, 3) AS median_log_delta, round(d[(len(d) - 1) // 10 + 1], 3) AS p10_log_delta FROM g""")
+def umi_consensus_qc(spark, sf_dir):
+    return umi.consensus(umi.posterior_columns(_umis(spark, sf_dir)))
+
+
+CLASSES = f"{EXTRACTED}, c AS (SELECT umi, count(*) AS n_reads FROM ok GROUP BY 1), k AS (SELECT *, CASE WHEN n_reads >= 3 THEN 'consensus' WHEN n_reads = 1 THEN 'singleton' ELSE 'other' END AS kind FROM c)"
+
+
+@query(f"WITH {CLASSES} SELECT kind, count(*) AS n_umis, CAST(sum(n_reads) AS bigint) AS n_reads FROM k GROUP BY 1")
+def umi_classes(spark, sf_dir):
+    return umi.classes(_umis(spark, sf_dir), 3).groupBy("kind").agg(F.count("*").alias("n_umis"), F.sum("n_reads").alias("n_reads"))
+
+
+@query(f"WITH {CLASSES} SELECT n_reads, count(*) AS n_umis FROM k GROUP BY 1")
+def reads_per_umi_hist(spark, sf_dir):
+    return umi.classes(_umis(spark, sf_dir)).groupBy("n_reads").agg(F.count("*").alias("n_umis"))
+
+
+@query(f"WITH {EXTRACTED} SELECT substr(insert, 1, 12) AS variant, count(DISTINCT umi) AS n_umis FROM ok GROUP BY 1 HAVING count(DISTINCT umi) >= 3")
+def singleton_rescue(spark, sf_dir):
+    return umi.rescue(_umis(spark, sf_dir).withColumn("variant", F.substring("insert", 1, 12)), 3)
+
+
+@query(f"WITH {EXTRACTED} SELECT k, read_no, substr(insert, 1, 12) AS variant FROM ok WHERE substr(insert, 1, 12) IN (SELECT substr(insert, 1, 12) FROM ok GROUP BY 1 HAVING count(DISTINCT umi) >= 3)")
+def rescued_reads(spark, sf_dir):
+    return umi.rescued_reads(_umis(spark, sf_dir).withColumn("variant", F.substring("insert", 1, 12)), 3).select("k", "read_no", "variant")
+
+
+@query(f"""WITH {EXTRACTED}, b AS (SELECT umi, read_no, p - 1 AS pos, substr(insert, p, 1) AS base FROM (SELECT umi, read_no, insert, unnest(range(1, length(insert) + 1)) AS p FROM ok)),
+v AS (SELECT umi, pos, base, count(*) AS n, min(read_no) AS seen FROM b GROUP BY 1, 2, 3)
+SELECT umi, CAST(pos AS int) AS pos, base AS call FROM v QUALIFY row_number() OVER (PARTITION BY umi, pos ORDER BY n DESC, seen) = 1""")
+def majority_consensus(spark, sf_dir):
+    return umi.majority(_umis(spark, sf_dir))
+
+
+SOFT = f"""{EXTRACTED}, c AS (SELECT umi, insert, count(*) AS n FROM ok GROUP BY 1, 2),
+w AS (SELECT umi, insert, n, row_number() OVER o AS rank, sum(n) OVER (PARTITION BY umi) AS total, coalesce(sum(n) OVER (PARTITION BY umi ORDER BY n DESC, insert ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c WINDOW o AS (PARTITION BY umi ORDER BY n DESC, insert))"""
+
+
+@query(f"WITH {SOFT} SELECT umi, insert, n, rank FROM w WHERE before / total < 0.9 AND rank <= 3")
+def soft_consensus(spark, sf_dir):
+    return umi.soft(_umis(spark, sf_dir))
+
+
+@query(f"WITH {SOFT}, p AS (SELECT * FROM (VALUES (1, 1), (2, 1), (3, 1), (1, 2), (2, 2)) t(top_k, least)), f AS (SELECT p.*, c.* FROM c, p WHERE n >= least), r AS (SELECT *, row_number() OVER (PARTITION BY top_k, least, umi ORDER BY n DESC, insert) AS rank FROM f) SELECT CAST(top_k AS int) AS top_k, CAST(least AS int) AS least, count(*) AS n_rows, CAST(sum(n) AS bigint) AS n_reads FROM r WHERE rank <= top_k GROUP BY 1, 2")
+def soft_consensus_grid(spark, sf_dir):
+    base = _umis(spark, sf_dir)
+    out = None
+    for k, least in ((1, 1), (2, 1), (3, 1), (1, 2), (2, 2)):
+        one = umi.soft(base, k, 0, least).agg(F.lit(k).alias("top_k"), F.lit(least).alias("least"), F.count("*").alias("n_rows"), F.sum("n").alias("n_reads"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"WITH {EXTRACTED} SELECT umi, round(avg(CAST(hamming(insert, tmpl) AS double)), 9) AS divergence FROM ok GROUP BY 1")
+def hamming_divergence(spark, sf_dir):
+    return _umis(spark, sf_dir).withColumn("h", S.hamming("insert", "tmpl")).groupBy("umi").agg(F.round(F.avg("h"), 9).alias("divergence"))
+
+
+_codon_sql = lambda s, i: f"CASE WHEN regexp_full_match(substr({s}, {3 * i + 1}, 3), '[ACGT]{{3}}') THEN substr('{S.AMINO}', 16 * (instr('TCAG', substr({s}, {3 * i + 1}, 1)) - 1) + 4 * (instr('TCAG', substr({s}, {3 * i + 2}, 1)) - 1) + instr('TCAG', substr({s}, {3 * i + 3}, 1)), 1) ELSE 'X' END"
+_translate_sql = lambda s, n=11: "concat(" + ", ".join(_codon_sql(s, i) for i in range(n)) + ")"
+
+
+@query(f"WITH {EXTRACTED}, t AS (SELECT umi, {_translate_sql('insert')} AS aa FROM ok) SELECT aa, count(*) AS reads, count(DISTINCT umi) AS umi_count, array_to_string(list_sort(list(DISTINCT umi)), ',') AS umis FROM t GROUP BY 1")
+def translation_rollup(spark, sf_dir):
+    t = _umis(spark, sf_dir).select("umi", S.translate_region("insert").alias("aa"))
+    return t.groupBy("aa").agg(F.count("*").alias("reads"), F.count_distinct("umi").alias("umi_count"), F.array_join(F.sort_array(F.collect_set("umi")), ",").alias("umis"))
+
+
+# --- library: regions and designs --------------------------------------------------------------
+
+REGION = f"""
+r AS ({D.REGIONS}),
+f AS (SELECT k, seq, CASE WHEN instr(seq, '{ANCHOR}') = 0 THEN 0 ELSE length(seq) - instr(reverse(seq), '{ANCHOR[::-1]}') - 6 END AS hit FROM r),
+g AS (SELECT k, hit, substr(seq, hit + 8, 33) AS raw FROM f),
+h AS (SELECT k, CASE WHEN hit = 0 THEN 'anchor_not_found' WHEN length(raw) < 33 THEN 'region_too_short' WHEN contains(raw, 'N') THEN 'contains_N' END AS fail_reason, raw FROM g),
+reg AS (SELECT k, fail_reason, CASE WHEN fail_reason IS NULL THEN reverse(translate(raw, 'ACGTMRWSYKVHDBN', 'TGCAKYWSRMBDHVN')) END AS region FROM h)"""
+_pat = lambda i, p: f"regexp_full_match(substr(region, {3 * i + 1}, 3), '{S.degenerate_regex(p)}')"
+COMB = f"""{REGION}, ok AS (SELECT * FROM reg WHERE fail_reason IS NULL),
+val AS (SELECT k, CASE {' '.join(f"WHEN {_codon_sql('region', i)} = '*' THEN 'stop_codon' WHEN NOT {_pat(i, p)} THEN 'degenerate_mismatch'" for i, p in enumerate(PATTERNS))} END AS reason,
+    CAST(CASE {' '.join(f"WHEN {_codon_sql('region', i)} = '*' OR NOT {_pat(i, p)} THEN {i + 1}" for i, p in enumerate(PATTERNS))} END AS bigint) AS fail_pos FROM ok)"""
+_chg = lambda i: f"substr(region, {3 * i + 1}, 3) <> '{WILDTYPE[3 * i : 3 * i + 3]}'"
+#: A wild type with a few changes, so that all outcomes of the codon-change design occur.
+NNK_ROWS = f"""SELECT p_partkey AS k, concat({', '.join(f"CASE WHEN substr(md5(concat('m', cast(p_partkey AS string))), {i + 1}, 1) < '3' THEN translate(substr(md5(concat('c{i}', cast(p_partkey AS string))), 1, 3), {DNA}) ELSE '{WILDTYPE[3 * i : 3 * i + 3]}' END" for i in range(11))}) AS region FROM part"""
+NNK = f"""nr AS ({NNK_ROWS}),
+val AS (SELECT k, {' + '.join(f"CAST({_chg(i)} AS int)" for i in range(11))} AS n, concat_ws(',', {', '.join(f"CASE WHEN {_chg(i)} THEN '{i + 1}' END" for i in range(11))}) AS mutated,
+    CASE {' '.join(f"WHEN {_chg(i)} AND {_codon_sql('region', i)} = '*' THEN 'stop_codon' WHEN {_chg(i)} AND NOT {_pat(i, 'NNK')} THEN 'mutation_not_NNK'" for i in range(11))} END AS bad FROM nr),
+val2 AS (SELECT k, mutated, n, CASE WHEN n > 3 THEN 'too_many_mutations' ELSE bad END AS reason FROM val)"""
+
+
+def _regions(spark, sf_dir):
+    return library.extract_region(D.regions(spark, sf_dir), ANCHOR)
+
+
+def _nnk(spark, sf_dir):
+    return library.validate_nnk(D.view(spark, sf_dir, NNK_ROWS, "part"), WILDTYPE)
+
+
+@query(f"WITH {REGION} SELECT k, fail_reason, region FROM reg")
+def region_extract_rightmost(spark, sf_dir):
+    return _regions(spark, sf_dir).select("k", "fail_reason", "region")
+
+
+@query(f"WITH {REGION} SELECT k, region, {_translate_sql('region')} AS aa FROM reg WHERE fail_reason IS NULL")
+def revcomp_translate(spark, sf_dir):
+    return _regions(spark, sf_dir).where("fail_reason IS NULL").select("k", "region", "aa")
+
+
+@query(f"WITH {COMB} SELECT k, reason, fail_pos FROM val")
+def combinatorial_validate(spark, sf_dir):
+    return library.validate_combinatorial(_regions(spark, sf_dir).where("fail_reason IS NULL"), PATTERNS).select("k", "reason", "fail_pos")
+
+
+@query(f"WITH {NNK} SELECT k, mutated, reason FROM val2")
+def nnk_validate(spark, sf_dir):
+    return _nnk(spark, sf_dir).select("k", F.array_join("mutated", ",").alias("mutated"), "reason")
+
+
+@query(f"WITH {COMB} SELECT coalesce(fail_reason, reason, 'pass') AS reason, count(*) AS n FROM reg LEFT JOIN val USING (k) GROUP BY 1")
+def fail_reason_counts(spark, sf_dir):
+    v = library.validate_combinatorial(_regions(spark, sf_dir), PATTERNS)
+    return v.groupBy(F.coalesce("fail_reason", "reason", F.lit("pass")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {NNK}, e AS (SELECT CAST(unnest(string_split(mutated, ',')) AS bigint) AS pos FROM val2 WHERE mutated <> '') SELECT i AS pos, count(pos) AS n FROM range(1, 12) t(i) LEFT JOIN e ON pos = i GROUP BY 1")
+def mutation_position_report(spark, sf_dir):
+    seen = _nnk(spark, sf_dir).select(F.explode(F.col("mutated").cast("array<bigint>")).alias("pos")).groupBy("pos").agg(F.count("*").alias("n"))
+    return spark.range(1, 12).withColumnRenamed("id", "pos").join(seen, "pos", "left").select("pos", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+# --- trimming and funnels ----------------------------------------------------------------------
+
+FUNNEL = f"""reads AS ({D.READS}), t AS (SELECT k % 8 AS sample, qual, length(regexp_replace(qual, '[!-4]+$', '')) AS kept_length FROM reads),
+fun AS (SELECT sample, count(*) AS reads_in, CAST(sum(length(qual)) AS bigint) AS bases_in, count(*) FILTER (kept_length >= 50) AS reads_out, CAST(coalesce(sum(kept_length) FILTER (kept_length >= 50), 0) AS bigint) AS bases_out, count(*) FILTER (kept_length < length(qual)) AS reads_qtrimmed FROM t GROUP BY 1)"""
+
+
+def _funnel(spark, sf_dir):
+    return trim.trim_summary(trim.quality_trim(D.reads(spark, sf_dir).withColumn("sample", F.col("k") % 8), 20, 50), ["sample"])
+
+
+@query(f"WITH reads AS ({D.READS}) SELECT k, read_no, CAST(length(regexp_replace(qual, '[!-4]+$', '')) AS bigint) AS kept_length FROM reads")
+def quality_trim(spark, sf_dir):
+    return trim.quality_trim(D.reads(spark, sf_dir), 20).select("k", "read_no", "kept_length")
+
+
+@query(f"WITH {FUNNEL} SELECT * FROM fun")
+def read_funnel_pivot(spark, sf_dir):
+    long = trim.long_metrics(_funnel(spark, sf_dir), ["sample"], "trim")
+    wide = trim.metric_table(long, ["sample"])
+    return wide.select("sample", *[F.col(c).cast("long").alias(c) for c in wide.columns if c != "sample"])
+
+
+@query(f"WITH {FUNNEL} SELECT sample, metric, CAST(value AS double) AS value, 'trim' AS step FROM (UNPIVOT fun ON reads_in, bases_in, reads_out, bases_out, reads_qtrimmed INTO NAME metric VALUE value)")
+def read_funnel_long(spark, sf_dir):
+    return trim.long_metrics(_funnel(spark, sf_dir), ["sample"], "trim")
+
+
+@query(f"WITH {FUNNEL} SELECT sample, reads_out / reads_in AS pass_rate, bases_out / bases_in AS base_rate FROM fun")
+def pass_rate_report(spark, sf_dir):
+    return _funnel(spark, sf_dir).select("sample", F.try_divide("reads_out", "reads_in").alias("pass_rate"), F.try_divide("bases_out", "bases_in").alias("base_rate"))
+
+
+_PATH = "concat('/data/', CASE WHEN o_orderkey % 3 = 0 THEN 'run1-1000M/' WHEN o_orderkey % 3 = 1 THEN 'run2-500M/' ELSE '' END, CASE WHEN o_orderkey % 17 = 0 THEN 'notes' ELSE concat('GFB-', cast(o_custkey AS string), '_2510601042_1_clib', o_orderstatus, 'x_S12_L00', cast(o_orderkey % 4 + 1 AS string), '_R1_001') END, '.fastq.gz')"
+
+
+@query(f"""WITH p AS (SELECT {_PATH} AS fastq FROM orders), q AS (SELECT fastq, string_split(fastq, '/')[-1] AS f FROM p)
+SELECT {', '.join(f"nullif(regexp_extract(f, '{fastq.NAME}', {i}), '') AS {n}" for i, n in ((1, 'sample_id'), (3, 'sample_name'), (4, 'lane'), (5, 'read')))}, nullif(regexp_extract(fastq, '/(run\\d+-\\d+M)/', 1), '') AS run_depth, fastq FROM q""")
+def sample_sheet_parse(spark, sf_dir):
+    return fastq.sample_sheet(_table(spark, sf_dir, "orders").selectExpr(f"{_PATH} AS path"))
+
+
+@query(f"""WITH {FUNNEL}, x AS (SELECT CAST(sample % 3 AS bigint) AS lane, * FROM fun)
+SELECT lane, count(*) AS n, count(DISTINCT sample) AS samples, CAST(sum(reads_in) AS bigint) AS reads_in, CAST(sum(reads_out) AS bigint) AS reads_out, sum(reads_out) / sum(reads_in) AS rate FROM x GROUP BY 1""")
+def sample_qc_summary(spark, sf_dir):
+    g = _funnel(spark, sf_dir).groupBy((F.col("sample") % 3).alias("lane"))
+    return g.agg(F.count("*").alias("n"), F.count_distinct("sample").alias("samples"), F.sum("reads_in").alias("reads_in"), F.sum("reads_out").alias("reads_out")).withColumn("rate", F.try_divide("reads_out", "reads_in"))
+
+
+# --- statistics --------------------------------------------------------------------------------
+
+REFERENCE = "ACDEF"
+
+
+@query(f"WITH s AS ({D.SELECTION}), c AS (SELECT substr(aa_seq, 1, 5) AS aa_seq, count(*) AS n FROM s GROUP BY 1) SELECT CASE WHEN levenshtein(aa_seq, '{REFERENCE}') >= 5 THEN '4+' ELSE CAST(levenshtein(aa_seq, '{REFERENCE}') AS varchar) END AS bin, CAST(sum(n) AS bigint) AS n, count(*) AS n_variants FROM c GROUP BY 1")
+def edit_distance_bins(spark, sf_dir):
+    c = D.selection(spark, sf_dir).groupBy(F.substring("aa_seq", 1, 5).alias("aa_seq")).agg(F.count("*").alias("n"))
+    return stats.distance_bins(c, REFERENCE)
+
+
+@query(f"WITH s AS ({D.SELECTION}), c AS (SELECT peptide, aa_seq, count(*) AS n FROM s GROUP BY 1, 2), w AS (SELECT peptide, aa_seq AS wt FROM c QUALIFY row_number() OVER (PARTITION BY peptide ORDER BY n DESC, aa_seq) = 1) SELECT peptide, wt, CAST(min(levenshtein(aa_seq, wt)) AS bigint) AS least, CAST(max(levenshtein(aa_seq, wt)) AS bigint) AS most, round(avg(levenshtein(aa_seq, wt)), 9) AS mean, CAST(median(levenshtein(aa_seq, wt)) AS double) AS middle FROM c JOIN w USING (peptide) GROUP BY 1, 2")
+def wildtype_distance_stats(spark, sf_dir):
+    c = D.selection(spark, sf_dir).groupBy("peptide", "aa_seq").agg(F.count("*").alias("n"))
+    w = c.groupBy("peptide").agg(F.min(F.struct(-F.col("n"), "aa_seq"))["aa_seq"].alias("wt"))
+    d = F.levenshtein("aa_seq", "wt")
+    return c.join(w, "peptide").groupBy("peptide", "wt").agg(F.min(d).cast("long").alias("least"), F.max(d).cast("long").alias("most"), F.round(F.avg(d), 9).alias("mean"), F.median(d).alias("middle"))
+
+
+@query(f"""WITH {REGION}, ok AS (SELECT k, {_translate_sql('region')} AS aa FROM reg WHERE fail_reason IS NULL), w AS (SELECT aa AS ref FROM ok GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+x AS (SELECT k, aa, list_filter(range(1, 12), lambda i: substr(aa, i, 1) <> substr(ref, i, 1)) AS d FROM ok, w)
+SELECT k, coalesce(list_max(d) - list_min(d) + 1 <= 4, true) AS within FROM x""")
+def tiled_edit_filter(spark, sf_dir):
+    ok = _regions(spark, sf_dir).where("fail_reason IS NULL").select("k", "aa")
+    w = ok.groupBy("aa").count().agg(F.min(F.struct(-F.col("count"), "aa"))["aa"].alias("ref"))
+    d = F.filter(F.sequence(F.lit(1), F.lit(11)), lambda i: F.substr("aa", i, F.lit(1)) != F.substr("ref", i, F.lit(1)))
+    return ok.join(F.broadcast(w), how="cross").select("k", F.coalesce(F.array_max(d) - F.array_min(d) + 1 <= 4, F.lit(True)).alias("within"))
+
+
+@query(f"WITH {WIDE} SELECT peptide, count(*) FILTER (count_pos3x > 0 AND count_pos1x > 0) AS both_, count(*) FILTER (count_pos3x > 0 AND count_pos1x = 0) AS only_3x, count(*) FILTER (count_pos3x = 0 AND count_pos1x > 0) AS only_1x, count(*) FILTER (count_pos3x > 0 OR count_pos1x > 0) AS either FROM wide GROUP BY 1")
+def variant_overlap(spark, sf_dir):
+    a, b = F.col("count_pos3x") > 0, F.col("count_pos1x") > 0
+    return _wide(spark, sf_dir).groupBy("peptide").agg(F.count_if(a & b).alias("both_"), F.count_if(a & ~b).alias("only_3x"), F.count_if(~a & b).alias("only_1x"), F.count_if(a | b).alias("either"))
+
+
+@query(f"WITH {LABELS}, c AS (SELECT aa_seq FROM labels_ GROUP BY 1 HAVING count(DISTINCT specificity) > 1) SELECT aa_seq, array_to_string(list_sort(list(DISTINCT specificity)), ',') AS labels, count(*) AS n FROM labels_ WHERE aa_seq IN (SELECT aa_seq FROM c) GROUP BY 1")
+def label_conflicts(spark, sf_dir):
+    g = _labels(spark, sf_dir).groupBy("aa_seq").agg(F.sort_array(F.collect_set("specificity")).alias("l"), F.count("*").alias("n")).where(F.size("l") > 1)
+    return g.select("aa_seq", F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("labels"), "n")
+
+
+@query("SELECT event_id, user_id, event_type FROM events QUALIFY event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id)")
+def consecutive_collapse(spark, sf_dir):
+    return stats.consecutive_collapse(_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), "event_id", "event_type", ("user_id",))
+
+
+@query(f"WITH s AS ({D.SELECTION}) SELECT aa_seq, count(*) AS n FROM s GROUP BY 1 ORDER BY n DESC, aa_seq LIMIT 20")
+def topk_variants(spark, sf_dir):
+    return D.selection(spark, sf_dir).groupBy("aa_seq").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "aa_seq").limit(20)
+
+
+POSITIONS = f"{LABELS}, px AS (SELECT peptide, specificity, aa_seq, p - 1 AS pos, substr(aa_seq, p, 1) AS aa FROM (SELECT peptide, specificity, aa_seq, unnest(range(1, 12)) AS p FROM labels_))"
+
+
+@query(f"WITH {POSITIONS}, g AS (SELECT CAST(pos AS int) AS pos, aa, count(*) AS n FROM px GROUP BY 1, 2) SELECT *, n / sum(n) OVER (PARTITION BY pos) AS share FROM g")
+def position_matrix(spark, sf_dir):
+    return stats.position_matrix(_labels(spark, sf_dir))
+
+
+@query(f"""WITH {POSITIONS}, g AS (SELECT CAST(pos AS int) AS pos, aa, count(*) FILTER (specificity = 1) AS a, count(*) FILTER (specificity <> 1) AS b FROM px GROUP BY 1, 2)
+SELECT pos, aa, round(log2((coalesce(a / nullif(sum(a) OVER w, 0), 0) + 1e-4) / (coalesce(b / nullif(sum(b) OVER w, 0), 0) + 1e-4)), 9) AS log_odds FROM g WINDOW w AS (PARTITION BY pos)""")
+def position_log_odds(spark, sf_dir):
+    return stats.position_log_odds(_labels(spark, sf_dir)).withColumn("log_odds", F.round("log_odds", 9))
+
+
+@query(f"""WITH {LABELS}, p AS (SELECT CAST(a - 1 AS int) AS i, CAST(b - 1 AS int) AS j, substr(aa_seq, a, 1) AS x, substr(aa_seq, b, 1) AS y FROM labels_, range(1, 12) t(a), range(1, 12) u(b) WHERE b - a BETWEEN 1 AND 3),
+n AS (SELECT i, j, x, y, count(*) AS n FROM p GROUP BY 1, 2, 3, 4), m AS (SELECT *, sum(n) OVER (PARTITION BY i, j) AS t, sum(n) OVER (PARTITION BY i, j, x) AS na, sum(n) OVER (PARTITION BY i, j, y) AS nb FROM n)
+SELECT i, j, round(sum(n / t * ln(n * t / (na * nb))), 6) AS mi FROM m GROUP BY 1, 2""")
+def mutual_information(spark, sf_dir):
+    return stats.mutual_information(_labels(spark, sf_dir), 3).withColumn("mi", F.round("mi", 6))
+
+
+@query(f"""WITH {LABELS}, g AS (SELECT substr(aa_seq, 3, 1) AS a, substr(aa_seq, 6, 1) AS b, count(*) FILTER (specificity = 1) AS pos, count(*) FILTER (specificity = 0) AS neg FROM labels_ GROUP BY 1, 2), t AS (SELECT *, sum(pos) OVER () AS tp, sum(neg) OVER () AS tn FROM g)
+SELECT a, b, pos, neg, round((coalesce(pos / nullif(tp, 0), 0) + 1e-6) / (coalesce(neg / nullif(tn, 0), 0) + 1e-6), 6) AS enrichment FROM t WHERE pos > 0""")
+def pair_enrichment(spark, sf_dir):
+    return stats.pair_enrichment(_labels(spark, sf_dir), 2, 5).withColumn("enrichment", F.round("enrichment", 6))
+
+
+@query(f"""WITH {LABELS} SELECT CAST((a - 1) // 4 AS bigint) AS tile, CAST(a - 1 AS int) AS start, CAST(b - a - 1 AS int) AS gap, substr(aa_seq, a, 1) AS a, substr(aa_seq, b, 1) AS b, count(*) AS n
+FROM labels_, range(1, 12) t(a), range(1, 12) u(b) WHERE b - a BETWEEN 1 AND 3 AND (a - 1) // 4 = (b - 1) // 4 GROUP BY ALL""")
+def gapped_motifs(spark, sf_dir):
+    return stats.gapped_motifs(_labels(spark, sf_dir))
+
+
+@query(f"""WITH {POSITIONS}, g AS (SELECT CAST(pos AS int) AS pos, aa, round(ln((count(*) FILTER (specificity = 1) + 1) / (count(*) FILTER (specificity <> 1 AND specificity = 0) + 1)), 9) AS log_ratio FROM px GROUP BY 1, 2)
+SELECT pos, aa, log_ratio FROM g QUALIFY row_number() OVER (PARTITION BY pos ORDER BY log_ratio DESC, instr('{S.AMINO_LETTERS}', aa)) = 1""")
+def top_anchor_residue(spark, sf_dir):
+    return stats.top_residue(_labels(spark, sf_dir), S.AMINO_LETTERS)
+
+
+@query(f"WITH {POSITIONS}, g AS (SELECT CAST(pos AS int) AS pos, aa, count(*) AS n FROM px WHERE substr(aa_seq, 6, 1) = 'K' GROUP BY 1, 2) SELECT *, n / sum(n) OVER (PARTITION BY pos) AS share FROM g WHERE abs(pos - 5) BETWEEN 1 AND 3")
+def anchor_cooccurrence(spark, sf_dir):
+    return stats.cooccurrence(_labels(spark, sf_dir), 5, "K")
+
+
+@query(f"WITH {POSITIONS}, g AS (SELECT aa, count(*) AS n FROM px GROUP BY 1) SELECT *, n / sum(n) OVER () AS share FROM g")
+def aa_composition(spark, sf_dir):
+    g = stats.positions(_labels(spark, sf_dir)).groupBy("aa").agg(F.count("*").alias("n"))
+    return g.crossJoin(F.broadcast(g.agg(F.sum("n").alias("t")))).select("aa", "n", (F.col("n") / F.col("t")).alias("share"))
+
+
+#: Kyte-Doolittle hydropathy.
+HYDROPATHY = {"A": 1.8, "R": -4.5, "N": -3.5, "D": -3.5, "C": 2.5, "Q": -3.5, "E": -3.5, "G": -0.4, "H": -3.2, "I": 4.5, "L": 3.8, "K": -3.9, "M": 1.9, "F": 2.8, "P": -1.6, "S": -0.8, "T": -0.7, "W": -0.9, "Y": -1.3, "V": 4.2}
+
+
+@query(f"WITH s AS ({D.SELECTION}), v AS (SELECT DISTINCT aa_seq FROM s), k AS (SELECT * FROM (VALUES {', '.join(f"('{a}', {v}::double)" for a, v in HYDROPATHY.items())}) t(aa, h)), x AS (SELECT aa_seq, substr(aa_seq, p, 1) AS aa FROM (SELECT aa_seq, unnest(range(1, 12)) AS p FROM v)) SELECT aa_seq, round(avg(h), 6) AS gravy, round(avg(CAST(aa IN ('F', 'W', 'Y') AS int)), 6) AS aromaticity FROM x JOIN k USING (aa) GROUP BY 1")
+def gravy(spark, sf_dir):
+    v = D.selection(spark, sf_dir).select("aa_seq").distinct()
+    h = F.create_map(*[F.lit(x) for kv in HYDROPATHY.items() for x in kv])
+    p = v.select("aa_seq", F.explode(F.split("aa_seq", "")).alias("aa"))
+    return p.groupBy("aa_seq").agg(F.round(F.avg(h[F.col("aa")]), 6).alias("gravy"), F.round(F.avg(F.col("aa").isin("F", "W", "Y").cast("int")), 6).alias("aromaticity"))
+
+
+@query(f"WITH {LABELS} SELECT pos_vs_lib_status, count(*) AS n, round(avg(count_pos3x), 6) AS mean, round(stddev_samp(count_pos3x), 6) AS sd, min(count_pos3x) AS min, quantile_cont(count_pos3x, 0.25) AS q1, quantile_cont(count_pos3x, 0.5) AS q2, quantile_cont(count_pos3x, 0.75) AS q3, max(count_pos3x) AS max FROM labels_ GROUP BY 1")
+def describe_by_status(spark, sf_dir):
+    d = stats.describe(_labels(spark, sf_dir), "pos_vs_lib_status", "count_pos3x")
+    return d.withColumn("mean", F.round("mean", 6)).withColumn("sd", F.round("sd", 6))
+
+
+@query(f"""WITH {WIDE}, r AS (SELECT peptide, rank() OVER (PARTITION BY peptide ORDER BY count_pos3x) + (count(*) OVER (PARTITION BY peptide, count_pos3x) - 1) / 2 AS x, rank() OVER (PARTITION BY peptide ORDER BY count_lib) + (count(*) OVER (PARTITION BY peptide, count_lib) - 1) / 2 AS y FROM wide)
+SELECT peptide, round(corr(x, y), 6) AS rho, count(*) AS n FROM r GROUP BY 1""")
+def spearman_corr(spark, sf_dir):
+    return stats.spearman(_wide(spark, sf_dir), "count_pos3x", "count_lib", "peptide").withColumn("rho", F.round("rho", 6))
+
+
+# --- learning ----------------------------------------------------------------------------------
+
+SCORED = "SELECT o_orderkey AS id, o_orderpriority AS grp, CAST(o_orderstatus = 'F' AS int) AS label, round(o_totalprice / 1000) AS score FROM orders"
+
+
+def _scored(spark, sf_dir):
+    return D.view(spark, sf_dir, SCORED, "orders")
+
+
+@query(f"WITH s AS ({SCORED}) SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS varchar)), id) <= floor(0.2 * count(*) OVER (PARTITION BY label)) AS test FROM s")
+def stratified_split(spark, sf_dir):
+    return ml.stratified_split(_scored(spark, sf_dir).select("id", "label"), "label", "id")
+
+
+@query(f"""WITH s AS ({SCORED}), n AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS varchar)), id) AS n, count(*) FILTER (label = 1) OVER () AS a, count(*) FILTER (label = 0) OVER () AS b FROM s)
+SELECT id, label FROM n WHERE n <= CASE WHEN label = 1 THEN b ELSE a END""")
+def resample_balance(spark, sf_dir):
+    return ml.balance(_scored(spark, sf_dir).select("id", "label"), "label", "id")
+
+
+@query(f"WITH s AS ({SCORED}), r AS (SELECT grp, label, rank() OVER (PARTITION BY grp ORDER BY score) + (count(*) OVER (PARTITION BY grp, score) - 1) / 2 AS r FROM s), g AS (SELECT grp, sum(r) FILTER (label = 1) AS s, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS q FROM r GROUP BY 1) SELECT grp, round((s - p * (p + 1) / 2) / (p * q), 9) AS auroc FROM g")
+def auroc_rank(spark, sf_dir):
+    return ml.auroc(_scored(spark, sf_dir), "grp", "label", "score").withColumn("auroc", F.round("auroc", 9))
+
+
+@query(f"WITH s AS ({SCORED}), g AS (SELECT grp, score, sum(label) AS p, count(*) AS n FROM s GROUP BY 1, 2), w AS (SELECT grp, p, sum(p) OVER o / sum(n) OVER o AS prec FROM g WINDOW o AS (PARTITION BY grp ORDER BY score DESC)) SELECT grp, round(sum(p * prec) / sum(p), 9) AS ap FROM w GROUP BY 1")
+def average_precision(spark, sf_dir):
+    return ml.average_precision(_scored(spark, sf_dir), "grp", "label", "score").withColumn("ap", F.round("ap", 9))
+
+
+@query(f"""WITH s AS ({SCORED}), g AS (SELECT grp, count(*) FILTER (label = 1 AND score >= 100) AS tp, count(*) FILTER (label = 0 AND score >= 100) AS fp, count(*) FILTER (label = 1 AND score < 100) AS fn, count(*) FILTER (label = 0 AND score < 100) AS tn FROM s GROUP BY 1)
+SELECT *, round((tp + tn) / (tp + fp + fn + tn), 9) AS accuracy, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall, round(2 * tp / (2 * tp + fp + fn), 9) AS f1, round((tp::double * tn - fp::double * fn) / sqrt((tp + fp)::double * (tp + fn) * (tn + fp) * (tn + fn)), 9) AS mcc FROM g""")
+def confusion_mcc(spark, sf_dir):
+    c = ml.confusion(_scored(spark, sf_dir), "grp", "label", "score", 100)
+    return c.withColumns({n: F.round(n, 9) for n in ("accuracy", "precision", "recall", "f1", "mcc")})
+
+
+@query()
+def fuzzy_anchor(spark, sf_dir):
+    r = D.reads(spark, sf_dir).select("k", "read_no", "seq").withColumn("hit", search.edit_anchor("seq", ANCHOR, 1, 12, 15))
+    return r.select("k", "read_no", F.col("hit.start").alias("start"), F.col("hit.end").alias("end"), F.col("hit.any").alias("any"))
+
+
+@query(f"""WITH reads AS ({D.READS}), h AS (SELECT k, read_no, list_filter(range(1, CAST(length(seq) - 6 AS bigint)), lambda i: hamming(substr(seq, i, 8), '{ANCHOR}') <= 1) AS h FROM reads)
+SELECT k, read_no, CAST(coalesce(list_max(h), 0) AS int) AS hit FROM h""")
+def substitution_anchor_rightmost(spark, sf_dir):
+    return D.reads(spark, sf_dir).select("k", "read_no", search.last_substitution_hit("seq", ANCHOR, 1).alias("hit"))
