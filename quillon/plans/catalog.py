@@ -286,8 +286,10 @@ def nnk_validate(spark, sf_dir):
 
 @query(f"WITH {COMB} SELECT coalesce(fail_reason, reason, 'pass') AS reason, count(*) AS n FROM reg LEFT JOIN val USING (k) GROUP BY 1")
 def fail_reason_counts(spark, sf_dir):
-    v = library.validate_combinatorial(_regions(spark, sf_dir), PATTERNS)
-    return v.groupBy(F.coalesce("fail_reason", "reason", F.lit("pass")).alias("reason")).agg(F.count("*").alias("n"))
+    r = _regions(spark, sf_dir)
+    lost = r.where("fail_reason IS NOT NULL").select(F.col("fail_reason").alias("reason"))
+    kept = library.validate_combinatorial(r.where("fail_reason IS NULL"), PATTERNS).select(F.coalesce("reason", F.lit("pass")).alias("reason"))
+    return lost.unionByName(kept).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {NNK}, e AS (SELECT CAST(unnest(string_split(mutated, ',')) AS bigint) AS pos FROM val2 WHERE mutated <> '') SELECT i AS pos, count(pos) AS n FROM range(1, 12) t(i) LEFT JOIN e ON pos = i GROUP BY 1")
