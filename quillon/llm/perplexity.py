@@ -223,6 +223,6 @@ def judge(docs, width=6.0, short=30, model_rows=MODEL_ROWS):
     bands = bands.select("lang", (F.col("q1") - width * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + width * (F.col("q3") - F.col("q1"))).alias("high"))
     out = seen.join(bands, "lang", "left")
     # the perplexity of a short text varies more, so its band is wider
-    slack = F.lit(short) / F.col("n_words") * (F.col("high") - F.col("low")) / 2
+    slack = F.lit(short) / F.greatest(F.col("n_words"), F.lit(1)) * (F.col("high") - F.col("low")) / 2
     inside = F.coalesce(F.col("level").between(F.col("low") - slack, F.col("high") + slack), F.lit(False))
     return out.select("doc_id", *BASE, "base_failed", F.exp("level").alias("perplexity"), (~F.col("base_failed") & inside).alias("kept"))
