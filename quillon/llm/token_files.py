@@ -14,6 +14,7 @@ repeat an id are each kept, ordered by text. An empty table gives an empty resul
 """
 
 import os
+import struct
 import uuid
 import zlib
 
@@ -32,49 +33,104 @@ def _filesystem(uri):
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}" if not uri.startswith("file:") else uri.replace("file:", "file://", 1))
 
 
+#: Endings and runs of white space at which words are not parted by one space or newline.
+ODD = (" ", "\n"), ("  ", "\n\n", " \n", "\n ")
+
+#: Marks that never join the letters before them, and the vocabulary's letter for a space.
+CLOSING, SPACED = ".,!?;:*$%&#", "\u0120"
+
+
 class PieceCache:
-    """Encodes by pre-tokenised pieces, each distinct piece only once while it stays cached.
+    """Encodes by words, each distinct word only once while it stays cached.
 
-    The vocabulary merges only inside the pieces of its own splitting pattern, so ids of a text
-    are the ids of its pieces in order. Texts that hold an added token's string go to the
-    tokenizer whole. The cache is emptied when it reaches `limit` pieces.
+    The vocabulary merges only inside the pieces of its own splitting pattern, and that pattern
+    always cuts before a single space or newline that parts two words. So in texts whose words are
+    parted that way the ids are those of the words in order, each with its space or newline.
+    Other texts are cut by the pattern itself, and texts that hold an added token's string go to
+    the tokenizer whole. A table is emptied when it reaches `limit` entries.
     """
 
-    def __init__(self, path, limit=300_000):
+    def __init__(self, path, limit=500_000):
         import regex
         from tokenizers import Tokenizer
         import public_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u4" if self.tokenizer.get_vocab_size() > 65536 else "<u2"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.limit, self.known = limit, {}
+        self.limit, self.words, self.pieces, self.stems, self.tails = limit, {}, {}, {}, {}
+        self.pack = [struct.Struct(f"<{n}{'I' if self.kind == '<u4' else 'H'}").pack for n in range(16)]
+
+    def _joined(self, keys, known, encode):
+        try:
+            return b"".join(map(known.__getitem__, keys))
+        except KeyError:
+            new = list(set(keys).difference(known))
+            if len(known) + len(new) > self.limit:
+                known.clear()
+                new = list(set(keys))
+            known.update(zip(new, encode(new)))
+        return b"".join(map(known.__getitem__, keys))
+
+    def _whole(self, texts):
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _of_words(self, new):
+        """Encodings of words after a space, or with their newline; letters before closing marks are two pieces."""
+        out, rest = {}, []
+        stems, tokenize, pack = self.stems, self.tokenizer.model.tokenize, self.pack
+        if len(stems) + len(new) > self.limit:
+            stems.clear()
+        for w in new:
+            stem = w.rstrip(CLOSING)
+            if stem.isascii() and stem.isalpha():
+                ids = stems.get(stem)
+                if ids is None:
+                    ids = [t.id for t in tokenize(SPACED + stem)]
+                    ids = stems[stem] = pack[len(ids)](*ids) if len(ids) < len(pack) else np.array(ids, self.kind).tobytes()
+                tail = w[len(stem) :]
+                if tail:
+                    if tail not in self.tails:
+                        if len(self.tails) > 10_000:
+                            self.tails.clear()
+                        self.tails[tail] = self._whole([tail])[0]
+                    ids += self.tails[tail]
+                out[w] = ids
+            else:
+                rest.append(w)
+        out.update(zip(rest, self._whole([w if w[0] == "\n" else " " + w for w in rest])))
+        return [out[w] for w in new]
 
     def encode(self, text):
+        """The ids of a text as bytes."""
         if any(s in text for s in self.special):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        found = self.find(text)
-        known = self.known
-        new = list(set(found).difference(known))
-        if new:
-            if len(known) + len(new) > self.limit:
-                known = self.known = {}
-                new = list(set(found))
-            known.update(zip(new, [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]))
-        out = []
-        for p in map(known.__getitem__, found):
-            out += p
-        return out
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        if text.endswith(ODD[0]) or any(x in text for x in ODD[1]):
+            return self._joined(self.find(text), self.pieces, self._whole)
+        first, *rest = text.replace("\n", " \n").split(" ")
+        start = self._joined([first], self.pieces, self._whole) if first else b""
+        return start + self._joined(rest, self.words, self._of_words)
+
+
+#: Tables stay with a worker process from task to task.
+_caches = {}
+
+
+def cache_of(path):
+    if path not in _caches:
+        _caches[path] = PieceCache(path)
+    return _caches[path]
 
 
 def write_shard(batches, path, end_id, folder):
     from pyspark import TaskContext
 
-    cache = PieceCache(path)
+    cache = cache_of(path)
     shard = TaskContext.get().partitionId()
-    wide = cache.tokenizer.get_vocab_size() > 65536
-    kind = "<u4" if wide else "<u2"
+    wide = cache.kind == "<u4"
+    width, end = (4 if wide else 2), np.array([end_id], cache.kind).tobytes()
     fs, base = _filesystem(folder)
     fs.create_dir(base, recursive=True)
     name = f"{shard:06d}-{uuid.uuid4().hex}"
@@ -83,10 +139,10 @@ def write_shard(batches, path, end_id, folder):
         for batch in batches:
             rows = np.empty((batch.num_rows, 3), "<i8")
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text"))):
-                got = cache.encode(text.as_py() or "") + [end_id]
-                ids.write(np.array(got, kind).tobytes())
-                rows[i] = (NO_ID if doc_id is None else doc_id, n_tokens, len(got))
-                n_tokens += len(got)
+                got = cache.encode(text.as_py() or "") + end
+                ids.write(got)
+                rows[i] = (NO_ID if doc_id is None else doc_id, n_tokens, len(got) // width)
+                n_tokens += len(got) // width
             n_docs += batch.num_rows
             docs.write(rows.tobytes())
     if n_docs:
