@@ -9,11 +9,11 @@ with the default 14 bundles of 3. Links are confirmed on full shingle sets.
 Equal sets are collapsed first. Buckets are then resolved in three rounds, each verified and
 contracted before the next: the smallest id of each document's buckets, a different member of
 each bucket that still spans groups, and finally every pair of a bucket that is still in
-different groups. So no candidate link between groups is lost, yet a large group of copies
+different groups and whose sizes and shared shingles allow the similarity. So no candidate link between groups is lost, yet a large group of copies
 costs a few pairs a document.
 
 Null or wordless texts have no shingles and link with nothing; rows without an id are returned
-with a null component and kept. Rows that repeat an id are one node and are each returned.
+with a null component and kept. Rows that repeat an id are each returned, grouped by their own text.
 Extra columns are ignored. An empty table gives an empty result.
 """
 
@@ -76,6 +76,15 @@ def _linked_batches(batches, shingle, num, den):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["u", "v"]).filter(pa.array(ok))
 
 
+def _set_batches(batches, shingle):
+    for batch in batches:
+        for c in W.chunks(batch.column("text")):
+            sets = list(W.shingle_sets(c, shingle))
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+            flat = np.concatenate(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(c.lo, c.hi - c.lo), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["id", "shingles"])
+
+
 def small_or_not(df, limit=BROADCAST_ROWS):
     """df with a broadcast hint when its counted rows are within the limit, else as it is."""
     return F.broadcast(df) if df.count() <= limit else df
@@ -108,6 +117,22 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
         joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         return joined.mapInArrow(lambda it: _linked_batches(it, shingle, num, den), "u long, v long")
 
+    def with_shared(left):
+        """left with s, how many of a document's shingles any other open document has too.
+
+        Two documents have min(sa, sb) shingles in common at most, so pairs and documents that
+        cannot reach the similarity with that many are dropped before any pair is made.
+        """
+        ids = left.select(F.col("id").alias("doc_id"), "n").distinct()
+        sets = texts.join(ids, "doc_id").select("doc_id", "text").mapInArrow(lambda it: _set_batches(it, shingle), "id long, shingles array<long>")
+        each = sets.select("id", F.explode("shingles").alias("x")).repartition("x")
+        common = each.groupBy("x").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("x")
+        s = each.join(common, "x", "left_semi").groupBy("id").agg(F.count("*").alias("s"))
+        return left.join(s, "id").where(f"{den} * s >= {num} * n")
+
+    def possible(ga, gb, na, nb, sa, sb):
+        return F.expr(f"{ga} <> {gb} and {num} * ({na} + {nb}) <= {num + den} * least({sa}, {sb})")
+
     first = near.join(sizes.select(F.col("id").alias("head"), F.col("n").alias("nb")), "head").select(F.col("id").alias("a"), F.col("head").alias("b"), F.col("n").alias("na"), "nb")
     links = materialize(verified(first), "verified")
     groups = components(links)
@@ -120,16 +145,17 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
 
     left = spanning(groups, "open")
     if not left.isEmpty():
-        pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g"), F.xxhash64("key", "id")).alias("p"))
-        second = left.join(pick, "key").where("p.g <> g").select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
+        left = materialize(with_shared(left), "bounded")
+        pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g", "s"), F.xxhash64("key", "id")).alias("p"))
+        second = left.join(pick, "key").where(possible("g", "p.g", "n", "p.n", "s", "p.s")).select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
         links = links.unionByName(materialize(verified(second), "verified"))
         groups = components(links)
-        left = spanning(groups, "open")
-        if not left.isEmpty():
-            main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
-            light = left.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"))
-            rest = light.join(left, "key").where("ga <> g").select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
-            links = links.unionByName(materialize(verified(rest), "verified"))
+        rest = spanning(groups, "open").join(left.select("id", "s").distinct(), "id")
+        if not rest.isEmpty():
+            main = rest.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
+            light = rest.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("s").alias("sa"))
+            last = light.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & possible("ga", "g", "na", "n", "sa", "s")).select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
+            links = links.unionByName(materialize(verified(last), "verified"))
             groups = components(links)
 
     labels = classes.select("n", "h1", "h2", "id").join(groups, "id", "left").select("n", "h1", "h2", F.coalesce("component", "id").alias("component"))
