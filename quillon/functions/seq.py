@@ -1,5 +1,7 @@
 """Column functions on nucleotide and protein strings. Positions are 1-based unless said otherwise."""
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 #: IUPAC codes with their complements, and the standard codon table in TCAG order.
@@ -74,5 +76,11 @@ def vote_weight(q) -> Column:
     return F.ln(1 - p) - F.ln(p / 3)
 
 
+def vote_weight_of(q: int) -> float:
+    """vote_weight of one quality, as a number."""
+    p = min(max(10.0 ** (-q / 10.0), 1e-12), 1 - 1e-12)
+    return math.log(1 - p) - math.log(p / 3)
+
+
 def safe_name(name) -> Column:
     return F.regexp_replace(F.trim(col(name)), "[ /]", "_")

@@ -35,7 +35,8 @@ def posterior_columns(umis, min_delta=2.0, digits=9):
     """umi, pos (0-based), call, log_delta. One hash aggregation; N where the lead is below min_delta."""
     bases = umis.select("umi", F.posexplode(F.split("insert", "")).alias("pos", "base"), "insert_qual")
     bases = bases.withColumn("q", F.coalesce(F.ascii(F.expr("nullif(substr(insert_qual, pos + 1, 1), '')")) - 33, F.lit(0)))
-    w = S.vote_weight("q")
+    # one weight per quality, computed once: the exploded rows only look it up
+    w = F.get(F.array(*[F.lit(S.vote_weight_of(q)) for q in range(94)]), F.col("q"))
     votes = bases.groupBy("umi", "pos").agg(*[F.coalesce(F.round(F.sum(F.when(F.col("base") == b, w)), digits), F.lit(0.0)).alias(b) for b in "ACGT"], F.count_if(F.col("base").isin(*"ACGT")).alias("n"))
     ranked = F.sort_array(F.array(*[F.col(b) for b in "ACGT"]), False)
     delta = F.when(F.col("n") == 0, 0.0).otherwise(F.round(ranked[0] - ranked[1], 6))
