@@ -9,8 +9,8 @@ with the default 14 bundles of 3. Links are confirmed on full shingle sets.
 Equal sets are collapsed first. Buckets are then resolved in three rounds, each verified and
 contracted before the next: the smallest id of each document's buckets, a different member of
 each bucket that still spans groups, and finally every pair of a bucket that is still in
-different groups and whose sizes and shared shingles allow the similarity. So no candidate link between groups is lost, yet a large group of copies
-costs a few pairs a document.
+different groups and whose sizes and shared shingles allow the similarity, once a pair. So no
+candidate link between groups is lost, yet a large group of copies costs a few pairs a document.
 
 Null or wordless texts have no shingles and link with nothing; rows without an id are returned
 with a null component and kept. Rows that repeat an id are each returned, grouped by their own text.
@@ -66,14 +66,16 @@ def signature_batches(batches, shingle, bundles, rows):
 
 def _linked_batches(batches, shingle, num, den):
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sides = [[s for c in W.chunks(batch.column(t)) for s in W.shingle_sets(c, shingle)] for t in ("ta", "tb")]
-        ok = np.zeros(batch.num_rows, bool)
-        for i, (a, b) in enumerate(zip(*sides)):
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            ok[i] = common > 0 and den * common >= num * (len(a) + len(b) - common)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["u", "v"]).filter(pa.array(ok))
+        offsets = [W.text_buffers(batch.column(t))[1] for t in ("ta", "tb")]
+        # a few texts at a time, so that their sets stay small whatever the batch holds
+        for lo, hi in W.pieces(sum(o - o[0] for o in offsets), 4 * W.CHUNK):
+            part = batch.slice(lo, hi - lo)
+            sides = [[s for c in W.chunks(part.column(t)) for s in W.shingle_sets(c, shingle)] for t in ("ta", "tb")]
+            ok = np.zeros(part.num_rows, bool)
+            for i, (a, b) in enumerate(zip(*sides)):
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                ok[i] = common > 0 and den * common >= num * (len(a) + len(b) - common)
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["u", "v"]).filter(pa.array(ok))
 
 
 def _set_batches(batches, shingle):
@@ -151,10 +153,16 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
         links = links.unionByName(materialize(verified(second), "verified"))
         groups = components(links)
         rest = spanning(groups, "open").join(left.select("id", "s").distinct(), "id")
+        rest = materialize(rest.join(classes.select("id", "left", "right"), "id"), "rest")
         if not rest.isEmpty():
             main = rest.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
-            light = rest.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("s").alias("sa"))
-            last = light.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & possible("ga", "g", "na", "n", "sa", "s")).select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
+            light = rest.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("s").alias("sa"), F.col("left").alias("la"), F.col("right").alias("ra"))
+            # a pair that meets in many tables is made in the first of them only
+            at = lambda mine, theirs: f"cast(array_position(zip_with({mine}, {theirs}, (p, q) -> p = q), true) - 1 as int)"
+            i, j = F.expr(at("la", "left")), F.expr(at("ra", "right"))
+            table = F.xxhash64(i, j, F.get("la", i), F.get("ra", j))
+            last = light.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & possible("ga", "g", "na", "n", "sa", "s") & (table == F.col("x.key")))
+            last = last.select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
             links = links.unionByName(materialize(verified(last), "verified"))
             groups = components(links)
 
