@@ -88,15 +88,18 @@ def _finer_batches(batches, shingle, length):
     half = length // 2
     for batch in batches:
         out = []
-        for doc, x, open_ in zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), batch.column("open").to_pylist()):
-            for c in sorted({(w["c"], w["l"], w["r"]) for w in open_}):
-                for side, lo in ((1, c[0]), (2, c[0] - half)):
-                    if lo >= 0 and lo + half < len(x):
-                        key = W.windows(x[lo : lo + half + 1], half + 1)[0] + U(side)
-                        out.append((int(key.view(np.int64)), doc, c[1], c[2], c[0]))
+        opens = batch.column("open")
+        at = np.concatenate(([0], np.cumsum(opens.value_lengths().to_numpy(zero_copy_only=False))))
+        flat = opens.flatten()
+        c, l, r = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("c", "l", "r"))
+        for doc, x, lo, hi in zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), at[:-1], at[1:]):
+            halves = W.windows(x, half + 1)
+            for side, first in ((1, c[lo:hi]), (2, c[lo:hi] - half)):
+                ok = np.flatnonzero((first >= 0) & (first < len(halves)))
+                out.append((halves[first[ok]] + U(side), np.full(len(ok), doc, np.int64), *(q[lo:hi][ok] for q in (l, r, c))))
         if out:
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *[pa.array(q, pa.int32()) for q in cols[2:]]], ["key", "doc", "l", "r", "c"])
+            key, doc, *rest = (np.concatenate(q) for q in zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), *[pa.array(q.astype(np.int32)) for q in rest]], ["key", "doc", "l", "r", "c"])
 
 
 def passages(x, y, anchors, length, num, den, shingle, slack=5):
