@@ -161,7 +161,8 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4):
     def grouped(keyed, name):
         """Windows whose key another document has, beside the first document's window."""
         dealt = keyed.repartition("key")
-        heads = dealt.groupBy("key").agg(F.min(F.struct("doc", "c")).alias("head"), F.max("doc").alias("most")).where("head.doc <> most")
+        # all columns take part, so that both sides of the join read one shuffle
+        heads = dealt.groupBy("key").agg(F.min(F.struct("doc", "c", "l", "r")).alias("head"), F.max("doc").alias("most")).where("head.doc <> most")
         return materialize(dealt.join(heads, "key").select("key", "doc", "l", "r", "c", F.col("head.doc").alias("head"), F.col("head.c").alias("hc")), name)
 
     members = grouped(docs.mapInArrow(lambda it: _window_batches(it, shingle, length, pairs), WINDOW), "windows")
