@@ -9,8 +9,10 @@ with the default 14 bundles of 3. Links are confirmed on full shingle sets.
 Equal sets are collapsed first. Buckets are then resolved in three rounds, each verified and
 contracted before the next: the smallest id of each document's buckets, a different member of
 each bucket that still spans groups, and finally every pair of a bucket that is still in
-different groups and whose sizes and shared shingles allow the similarity, once a pair. So no
-candidate link between groups is lost, yet a large group of copies costs a few pairs a document.
+different groups and whose sizes, shared shingles and parity sketches allow the similarity, once
+a pair. So no candidate link between groups is lost, yet a large group of copies costs a few pairs
+a document. A parity sketch has a bit for each of SKETCH_BITS hash values, set if an odd number of
+shingles has that value: two sketches differ in no more bits than the sets differ in shingles.
 
 Null or wordless texts have no shingles and link with nothing; rows without an id are returned
 with a null component and kept. Rows that repeat an id are each returned, grouped by their own text.
@@ -28,6 +30,7 @@ from quillon.session import materialize, ship_package
 U = W.U
 #: A broadcast id list has at most this many rows (16 bytes each and some overhead).
 BROADCAST_ROWS = 2_000_000
+SKETCH_BITS = 1024
 
 
 def _seeds(n, salt):
@@ -36,7 +39,7 @@ def _seeds(n, salt):
 
 
 def signature_batches(batches, shingle, bundles, rows):
-    """doc_id, n, two sums that name the set, and the bundles of both collections."""
+    """doc_id, n, two sums that name the set, the bundles of both collections, and the parity sketch."""
     mul, add = _seeds(2 * bundles * rows, 12345)
     for batch in batches:
         out = []
@@ -47,11 +50,16 @@ def signature_batches(batches, shingle, bundles, rows):
             full = np.flatnonzero(n)
             h1, h2 = np.zeros(len(n), U), np.zeros(len(n), U)
             sig = np.zeros((2 * bundles, len(n)), U)
+            sketch = np.zeros((SKETCH_BITS // 64, len(n)), U)
             if len(full):
                 x = np.concatenate([sets[i] for i in full])
                 at = np.concatenate(([0], np.cumsum(n[full])[:-1]))
                 h1[full] = np.add.reduceat(x, at)
                 h2[full] = np.add.reduceat(W.mix64(x ^ U(0x632BE59BD9B4E019)), at)
+                place = W.mix64(x ^ U(0x2545F4914F6CDD1D)) % U(SKETCH_BITS)
+                bit = U(1) << (place & U(63))
+                for w in range(len(sketch)):
+                    sketch[w, full] = np.bitwise_xor.reduceat(np.where(place >> U(6) == w, bit, U(0)), at)
                 for b in range(2 * bundles):
                     key = np.full(len(full), b + 1, U)
                     for r in range(rows):
@@ -59,8 +67,8 @@ def signature_batches(batches, shingle, bundles, rows):
                         key = W.mix64(key * U(0x9E3779B97F4A7C15) + np.minimum.reduceat((x ^ add[i]) * mul[i], at))
                     sig[b, full] = key
             flat = np.ascontiguousarray(sig.T).view(np.int64)
-            lists = lambda a: pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(a).ravel()), bundles).cast(pa.list_(pa.int64()))
-            out.append(pa.RecordBatch.from_arrays([ids.slice(c.lo, c.hi - c.lo).cast(pa.int64()), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), lists(flat[:, :bundles]), lists(flat[:, bundles:])], ["doc_id", "n", "h1", "h2", "left", "right"]))
+            lists = lambda a: pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(a).ravel()), a.shape[1]).cast(pa.list_(pa.int64()))
+            out.append(pa.RecordBatch.from_arrays([ids.slice(c.lo, c.hi - c.lo).cast(pa.int64()), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), lists(flat[:, :bundles]), lists(flat[:, bundles:]), lists(np.ascontiguousarray(sketch.T).view(np.int64))], ["doc_id", "n", "h1", "h2", "left", "right", "sketch"]))
         yield from out
 
 
@@ -97,8 +105,8 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = materialize(docs.mapInArrow(lambda it: signature_batches(it, shingle, bundles, rows), "doc_id long, n long, h1 long, h2 long, left array<long>, right array<long>"), "signatures")
-    classes = materialize(sig.where("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right")), "classes")
+    sig = materialize(docs.mapInArrow(lambda it: signature_batches(it, shingle, bundles, rows), "doc_id long, n long, h1 long, h2 long, left array<long>, right array<long>, sketch array<long>"), "signatures")
+    classes = materialize(sig.where("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right"), F.first("sketch").alias("sketch")), "classes")
 
     tables = (
         classes.select("id", "n", F.posexplode("left").alias("i", "a"), "right")
@@ -130,10 +138,11 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
         each = sets.select("id", F.explode("shingles").alias("x")).repartition("x")
         common = each.groupBy("x").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("x")
         s = each.join(common, "x", "left_semi").groupBy("id").agg(F.count("*").alias("s"))
-        return left.join(s, "id").where(f"{den} * s >= {num} * n")
+        return left.join(s.join(classes.select("id", "sketch"), "id"), "id").where(f"{den} * s >= {num} * n")
 
-    def possible(ga, gb, na, nb, sa, sb):
-        return F.expr(f"{ga} <> {gb} and {num} * ({na} + {nb}) <= {num + den} * least({sa}, {sb})")
+    def possible(ga, gb, na, nb, sa, sb, ka, kb):
+        differ = " + ".join(f"bit_count({ka}[{i}] ^ {kb}[{i}])" for i in range(SKETCH_BITS // 64))
+        return F.expr(f"{ga} <> {gb} and {num} * ({na} + {nb}) <= {num + den} * least({sa}, {sb}) and {num + den} * ({differ}) <= {den - num} * ({na} + {nb})")
 
     first = near.join(sizes.select(F.col("id").alias("head"), F.col("n").alias("nb")), "head").select(F.col("id").alias("a"), F.col("head").alias("b"), F.col("n").alias("na"), "nb")
     links = materialize(verified(first), "verified")
@@ -148,20 +157,20 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
     left = spanning(groups, "open")
     if not left.isEmpty():
         left = materialize(with_shared(left), "bounded")
-        pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g", "s"), F.xxhash64("key", "id")).alias("p"))
-        second = left.join(pick, "key").where(possible("g", "p.g", "n", "p.n", "s", "p.s")).select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
+        pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g", "s", "sketch"), F.xxhash64("key", "id")).alias("p"))
+        second = left.join(pick, "key").where(possible("g", "p.g", "n", "p.n", "s", "p.s", "sketch", "p.sketch")).select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
         links = links.unionByName(materialize(verified(second), "verified"))
         groups = components(links)
         rest = spanning(groups, "open").join(left.select("id", "s").distinct(), "id")
-        rest = materialize(rest.join(classes.select("id", "left", "right"), "id"), "rest")
+        rest = materialize(rest.join(classes.select("id", "left", "right", "sketch"), "id"), "rest")
         if not rest.isEmpty():
             main = rest.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
-            light = rest.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("s").alias("sa"), F.col("left").alias("la"), F.col("right").alias("ra"))
+            light = rest.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("s").alias("sa"), F.col("left").alias("la"), F.col("right").alias("ra"), F.col("sketch").alias("ka"))
             # a pair that meets in many tables is made in the first of them only
             at = lambda mine, theirs: f"cast(array_position(zip_with({mine}, {theirs}, (p, q) -> p = q), true) - 1 as int)"
             i, j = F.expr(at("la", "left")), F.expr(at("ra", "right"))
             table = F.xxhash64(i, j, F.get("la", i), F.get("ra", j))
-            last = light.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & possible("ga", "g", "na", "n", "sa", "s") & (table == F.col("x.key")))
+            last = light.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & possible("ga", "g", "na", "n", "sa", "s", "ka", "sketch") & (table == F.col("x.key")))
             last = last.select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
             links = links.unionByName(materialize(verified(last), "verified"))
             groups = components(links)
