@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -67,6 +68,22 @@ def test_near_dups_with_a_hub(spark):
     assert {r.doc_id: r.component_id for r in got} == expect
 
 
+def test_sketches_bound_the_difference():
+    """Two parity sketches never differ in more bits than the sets differ in shingles."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 60, n)) for n in (0, 1, 2, 30, 31, 300, 3000)] * 2
+    texts += [texts[5] + " more", texts[5].replace("w7 ", ""), None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    (out,) = near_dedup.signature_batches([batch], 2, 2, 1)
+    sketch = [np.array(x, np.int64).view(np.uint64) for x in out.column("sketch").to_pylist()]
+    (c,) = W.chunks(batch.column("text"))
+    sets = [set(x.tolist()) for x in W.shingle_sets(c, 2)]
+    for a in range(len(texts)):
+        for b in range(a):
+            differ = int(np.bitwise_count(sketch[a] ^ sketch[b]).sum())
+            assert differ <= len(sets[a] ^ sets[b]) and (differ - len(sets[a] ^ sets[b])) % 2 == 0
+
+
 def test_empty_tables(spark, empty):
     assert near_dedup.near_dups(empty).count() == 0
     assert perplexity.judge(empty).count() == 0
