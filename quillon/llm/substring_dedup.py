@@ -14,7 +14,10 @@ Documents that share a key are compared with the first of its documents: candida
 on the shingle sets of both passages, and a verified passage is extended while its windows agree.
 Keyed windows that no verified passage covers get finer keys, from the tokens of half a length
 before or after the minimum, and are compared within those. Equal passages of min_words words
-or more agree in one of the halves, so a short common line does not hide them.
+or more agree in one of the halves, so a short common line does not hide them. Verified passages
+are contracted to groups; buckets that still hold different groups are compared with other heads
+and finally pair by pair. Before that, windows are dropped that have too few shingles of any other
+open document to be similar to one, which loses no pair that could be verified.
 
 Result: one row per passage of a document that another document has too: doc_id, first_word,
 end_word, class_id (smallest doc_id it was verified with, itself included), n_links (documents it
@@ -28,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Window, functions as F
 
 from quillon.llm import words as W
+from quillon.llm.components import components
 from quillon.llm.near_dedup import small_or_not
 from quillon.session import materialize, ship_package
 
 U = W.U
 WINDOW = "key long, doc long, l int, r int, c int"
-SPANS = "doc long, other long, first int, end int"
+LINKS = "doc long, other long, first int, end int, o_first int, o_end int"
+SLACK = 5
 
 
 def sliding_minima(v, length):
@@ -102,7 +107,7 @@ def _finer_batches(batches, shingle, length):
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), *[pa.array(q.astype(np.int32)) for q in rest]], ["key", "doc", "l", "r", "c"])
 
 
-def passages(x, y, anchors, length, num, den, shingle, slack=5):
+def passages(x, y, anchors, length, num, den, shingle, slack=SLACK):
     """Verified passages: (first, end) of words in x and in y. anchors: (c, place of c in y, l, r)."""
     need = -(-2 * num * length // (num + den))
     if len(x) < length or len(y) < length:
@@ -145,13 +150,50 @@ def _verify_batches(batches, shingle, length, num, den):
         mine, heads = _rows(batch.column("ta"), shingle), _rows(batch.column("tb"), shingle)
         for a, b, x, y, anchors in zip(batch.column("doc").to_pylist(), batch.column("head").to_pylist(), mine, heads, batch.column("anchors").to_pylist()):
             for p, q, s, t in passages(x, y, sorted((w["c"], w["hc"], w["l"], w["r"]) for w in anchors), length, num, den, shingle):
-                out += [(a, b, p, q), (b, a, s, t)]
+                out.append((a, b, p, q, s, t))
         if out:
             cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], ["doc", "other", "first", "end"])
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64() if i < 2 else pa.int32()) for i, q in enumerate(cols)], ["doc", "other", "first", "end", "o_first", "o_end"])
 
 
-def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4):
+def _near_batches(batches, shingle, length):
+    """The shingles of a document that a comparison at one of its open windows can reach."""
+    reach = length + SLACK
+    for batch in batches:
+        out = []
+        for doc, x, cs in zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), batch.column("open").to_pylist()):
+            edge = np.zeros(len(x) + 1, np.int64)
+            c = np.array([w["c"] for w in cs], np.int64)
+            np.add.at(edge, np.maximum(c - reach, 0), 1)
+            np.add.at(edge, np.minimum(c + reach + 1, len(x)), -1)
+            near = np.unique(x[np.cumsum(edge[:-1]) > 0])
+            out.append((np.full(len(near), doc, np.int64), near.view(np.int64)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "x"])
+
+
+def _possible_batches(batches, shingle, length, num, den):
+    """The open windows with enough shingles that other documents have near their open windows.
+
+    Similar sets share at least num/den of either. A window that repeats a shingle is let through.
+    """
+    least = -(-num * length // den)
+    for batch in batches:
+        out = []
+        rows = zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), batch.column("open").to_pylist(), batch.column("common").to_pylist())
+        for doc, x, opens, common in rows:
+            got = np.concatenate(([0], np.cumsum(np.isin(x.view(np.int64), np.array(common or [], np.int64)))))
+            many = got[length:] - got[:-length] >= least
+            for w in opens:
+                c, l, r = w["c"], w["l"], w["r"]
+                if many[l : r - length + 2].any() or len(np.unique(x[l : r + 1])) < r + 1 - l:
+                    out.append((doc, c, l, r))
+        if out:
+            cols = list(zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(q, pa.int32()) for q in cols[1:]]], ["doc", "c", "l", "r"])
+
+
+def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4, heads=2):
     """doc_id, first_word, end_word, class_id, n_links of every passage that other documents have too."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -168,27 +210,76 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4):
     members = grouped(docs.mapInArrow(lambda it: _window_batches(it, shingle, length, pairs), WINDOW), "windows")
     texts = materialize(docs.join(small_or_not(members.select(F.col("doc").alias("doc_id")).distinct()), "doc_id", "left_semi"), "texts")
 
-    def verified(members, name):
-        anchors = members.where("doc <> head").groupBy("doc", "head").agg(F.collect_set(F.struct("c", "hc", "l", "r")).alias("anchors"))
+    def verified(pairs, name):
+        """Passages that pairs (doc, c, l, r, head, hc) of windows have in common."""
+        anchors = pairs.where("doc <> head").groupBy("doc", "head").agg(F.collect_set(F.struct("c", "hc", "l", "r")).alias("anchors"))
         joined = anchors.join(texts.select(F.col("doc_id").alias("doc"), F.col("text").alias("ta")), "doc").join(texts.select(F.col("doc_id").alias("head"), F.col("text").alias("tb")), "head")
-        return materialize(joined.mapInArrow(lambda it: _verify_batches(it, shingle, length, num, den), SPANS), name)
+        return materialize(joined.mapInArrow(lambda it: _verify_batches(it, shingle, length, num, den), LINKS), name)
 
-    def merged(spans, by):
-        """Overlapping spans of a document joined into one."""
-        distinct = spans.groupBy("doc", "first", "end").agg(*by)
+    def grouped_nodes(links):
+        """Overlapping spans of a document joined into nodes, and the smallest node reachable: node (doc, first word), end, g."""
+        spans = links.select("doc", "first", "end").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("o_end").alias("end"))).distinct()
         order = Window.partitionBy("doc").orderBy("first", "end")
         reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
         nth = F.sum(F.when(F.col("first") < F.coalesce(reach, F.lit(-1)), 0).otherwise(1)).over(order)
-        return distinct.withColumn("nth", nth)
+        own = Window.partitionBy("doc", "nth")
+        spans = spans.withColumn("nth", nth).select("doc", "first", "end", F.struct("doc", F.min("first").over(own).alias("a")).alias("node"), F.max("end").over(own).alias("b"))
+        spans = materialize(spans, "nodes")
+        mine = spans.select("doc", "first", "end", F.col("node").alias("u"))
+        theirs = spans.select(F.col("doc").alias("other"), F.col("first").alias("o_first"), F.col("end").alias("o_end"), F.col("node").alias("v"))
+        groups = components(links.join(mine, ["doc", "first", "end"]).join(theirs, ["other", "o_first", "o_end"]).select("u", "v"))
+        nodes = spans.select("node", "b").distinct().join(groups.withColumnRenamed("id", "node"), "node")
+        return materialize(nodes.select("node", "b", F.col("component").alias("g")), "groups")
 
-    spans = verified(members, "spans")
-    covered = merged(spans, [F.count("*").alias("k")]).groupBy("doc", "nth").agg(F.min("first").alias("a"), F.max("end").alias("b"))
-    cover = covered.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("cover"))
+    def spanning(members, nodes, name):
+        """The windows of buckets that still hold different groups, with their group; an uncovered window is in none."""
+        cover = nodes.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("node.a").alias("a"), "b", "g")).alias("cover"))
+        inside = F.expr("get(filter(cover, s -> c >= s.a and c < s.b), 0).g")
+        g = members.join(cover, "doc", "left").select("key", "doc", "l", "r", "c", F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
+        dealt = g.repartition("key")
+        open_ = dealt.groupBy("key").agg(F.min(F.struct("g", "doc")).alias("lo"), F.max(F.struct("g", "doc")).alias("hi")).where("lo.g <> hi.g").select("key")
+        return materialize(dealt.join(open_, "key"), name)
+
+    links = verified(members, "spans")
+    covered = grouped_nodes(links)
+    cover = covered.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("node.a").alias("a"), "b")).alias("cover"))
     open_ = members.join(cover, "doc", "left").where("cover is null or not exists(cover, s -> c >= s.a and c < s.b)")
     open_ = open_.groupBy("doc").agg(F.collect_set(F.struct("c", "l", "r")).alias("open"))
     finer = texts.join(open_, texts.doc_id == open_.doc).select("doc_id", "text", "open").mapInArrow(lambda it: _finer_batches(it, shingle, length), WINDOW)
-    spans = spans.unionByName(verified(grouped(finer, "finer"), "spans"))
+    links = links.unionByName(verified(grouped(finer, "finer"), "spans"))
+    nodes = grouped_nodes(links)
+
+    left = spanning(members, nodes, "open")
+    if not left.isEmpty():
+        opens = left.groupBy("doc").agg(F.collect_set(F.struct("c", "l", "r")).alias("open"))
+        opens = materialize(texts.join(opens, texts.doc_id == opens.doc).select("doc_id", "text", "open"), "opens")
+        each = opens.mapInArrow(lambda it: _near_batches(it, shingle, length), "doc long, x long").repartition("x")
+        shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
+        common = each.join(shared, "x", "left_semi").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("x").alias("common"))
+        possible = opens.join(common, "doc_id", "left").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, c int, l int, r int")
+        left = materialize(left.join(possible, ["doc", "c", "l", "r"]), "possible")
+        again = None
+        for turn in range(heads):
+            # another member of each open bucket takes the part of its head
+            pick = left.groupBy("key").agg(F.min_by(F.struct("doc", "c", "g"), F.xxhash64(F.lit(turn), "key", "doc", "c")).alias("p"))
+            pairs = left.join(pick, "key").where("g <> p.g").select("doc", "c", "l", "r", F.col("p.doc").alias("head"), F.col("p.c").alias("hc"))
+            again = verified(pairs, "spans")
+            if again.isEmpty():
+                continue
+            links = links.unionByName(again)
+            nodes = grouped_nodes(links)
+            left = spanning(left.drop("g"), nodes, "open")
+        # what is left: every pair of windows of a bucket that are in different groups, once a pair
+        main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
+        light = left.join(main, "key").where("g <> main").drop("main")
+        rest = left.select("key", F.col("doc").alias("head"), F.col("c").alias("hc"), F.col("g").alias("hg"))
+        pairs = light.join(rest, "key").where("g <> hg and doc <> head")
+        again = verified(pairs, "spans")
+        if not again.isEmpty():
+            links = links.unionByName(again)
+            nodes = grouped_nodes(links)
 
-    marked = merged(spans, [F.min("other").alias("other"), F.count_distinct("other").alias("links")])
-    out = marked.groupBy("doc", "nth").agg(F.min("first").alias("first_word"), F.max("end").alias("end_word"), F.min(F.least("doc", "other")).alias("class_id"), F.max("links").alias("n_links"))
-    return out.select(F.col("doc").alias("doc_id"), "first_word", "end_word", "class_id", "n_links")
+    sides = links.select("doc", "first", "other").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("doc").alias("other")))
+    marked = sides.alias("s").join(nodes.alias("n"), (F.col("s.doc") == F.col("n.node.doc")) & F.expr("s.first >= n.node.a and s.first < n.b"))
+    out = marked.groupBy("node", "b").agg(F.min(F.least("s.doc", "s.other")).alias("class_id"), F.count_distinct("s.other").alias("n_links"))
+    return out.select(F.col("node.doc").alias("doc_id"), F.col("node.a").alias("first_word"), F.col("b").alias("end_word"), "class_id", "n_links")

@@ -282,5 +282,17 @@ def test_passages(spark, docs):
     assert {0, 1, 3}.issubset({r.doc_id for r in substring_dedup.repeated_passages(docs).collect()})
 
 
+def test_passages_of_later_documents_only(spark):
+    """Two late documents share 50 words, of which earlier documents have 40 each."""
+    rows = []
+    for g in range(24):
+        fresh = lambda d, n: [f"g{g}d{d}_{i}" for i in range(n)]  # noqa: E731, B023
+        w = fresh("p", 50)
+        edited = [w[0], w[1], f"edited{g}", *w[3:]] if g % 2 else w
+        rows += [(4 * g + d, " ".join(fresh(d, 60) + t + fresh(d + 4, 60))) for d, t in enumerate((w[:40], w[10:], w, edited))]
+    got = {r.doc_id for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {4 * g + d for g in range(24) for d in (2, 3)}
+
+
 def test_oracle_keys():
     assert set(queries.oracle_sql()) <= set(queries.queries())
