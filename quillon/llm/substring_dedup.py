@@ -20,8 +20,8 @@ and finally pair by pair. Before that, windows are dropped that have too few shi
 open document to be similar to one, which loses no pair that could be verified.
 
 Result: one row per passage of a document that another document has too: doc_id, first_word,
-end_word, class_id (smallest doc_id it was verified with, itself included), n_links (documents it
-was verified with). Null or short texts have no passages; rows without an id are left out; a passage
+end_word, class_id (smallest doc_id reachable over verified passages), n_links (other documents of
+its class). Null or short texts have no passages; rows without an id are left out; a passage
 repeated only under one id is not reported. Extra columns are ignored. An empty table gives an
 empty result.
 """
@@ -279,7 +279,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4, h
             links = links.unionByName(again)
             nodes = grouped_nodes(links)
 
-    sides = links.select("doc", "first", "other").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("doc").alias("other")))
-    marked = sides.alias("s").join(nodes.alias("n"), (F.col("s.doc") == F.col("n.node.doc")) & F.expr("s.first >= n.node.a and s.first < n.b"))
-    out = marked.groupBy("node", "b").agg(F.min(F.least("s.doc", "s.other")).alias("class_id"), F.count_distinct("s.other").alias("n_links"))
-    return out.select(F.col("node.doc").alias("doc_id"), F.col("node.a").alias("first_word"), F.col("b").alias("end_word"), "class_id", "n_links")
+    # one row a class, which its passages join
+    sizes = nodes.groupBy("g").agg((F.count_distinct("node.doc") - 1).alias("n_links"))
+    out = nodes.join(sizes, "g")
+    return out.select(F.col("node.doc").alias("doc_id"), F.col("node.a").alias("first_word"), F.col("b").alias("end_word"), F.col("g.doc").alias("class_id"), "n_links")

@@ -294,5 +294,19 @@ def test_passages_of_later_documents_only(spark):
     assert got == {4 * g + d for g in range(24) for d in (2, 3)}
 
 
+def test_classes_of_passages(spark):
+    """A chain 0 - 1 - 2 over overlapping shares of one passage is one class; copies count each other."""
+    fresh = lambda d, n: [f"d{d}_{i}" for i in range(n)]
+    p, q = fresh("p", 160), fresh("q", 70)
+    parts = [p[:100], p, p[60:], *[q] * 5]
+    rows = [(d, " ".join(fresh(d, 60) + t + fresh(d + 100, 60))) for d, t in enumerate(parts)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.class_id, r.n_links))
+    assert by[3] == {(3, 4)} and all(by[d] == by[3] for d in range(3, 8))
+    assert by[0] == by[1] == by[2] == {(0, 2)}
+
+
 def test_oracle_keys():
     assert set(queries.oracle_sql()) <= set(queries.queries())
