@@ -5,8 +5,10 @@ before the word). Spark counts the 5-byte strings of all words of all texts by l
 estimates interpolated modified Kneser-Ney probabilities order by order; discounts come from the
 counts of counts. A model within MODEL_ROWS entries is sent to the tasks as sorted hash arrays and
 looked up by binary search; a larger one is joined by (language, string) instead, with the same
-result. Documents outside their language's band of perplexity, a multiple of the quartile range
-around the quartiles and widened for texts of few words, are not kept, nor those that fail the base rules.
+result. Documents outside their band of perplexity, `width` quartile ranges beyond the quartiles of
+their language and length (powers of two of words, as short texts vary more), are not kept, nor
+those that fail the base rules. A length that has few documents takes its language's quartiles,
+widened for texts of few words.
 
 Null texts have no words and fail the base rules; a null language is a language of its own.
 Documents without words have no perplexity. Repeated rows are each judged, and each counted.
@@ -194,7 +196,7 @@ def _doc_gram_batches(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), batch.column("row")[c.lo + r].as_py())), pa.array([batch.column("lang")[c.lo + r].as_py()] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n.astype(np.int64))], ["row", "lang", "g", "c"])
 
 
-def judge(docs, width=6.0, short=30, model_rows=MODEL_ROWS):
+def judge(docs, width=1.5, short=30, few=30, model_rows=MODEL_ROWS):
     """One row per document: doc_id, BASE, base_failed, perplexity, kept."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -215,14 +217,20 @@ def judge(docs, width=6.0, short=30, model_rows=MODEL_ROWS):
     seen = seen.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
     seen = seen.withColumn("level", F.when(F.col("symbols") > 0, -F.col("logp") / F.col("symbols")))
     # exact quartiles of the levels in thousandths: one row a step of the scale
-    steps = seen.where(~F.col("base_failed")).groupBy("lang", F.round(F.col("level") * 1000).cast("long").alias("step")).count()
-    upto = F.sum("count").over(Window.partitionBy("lang").orderBy("step"))
-    steps = steps.withColumn("upto", upto).withColumn("all", F.sum("count").over(Window.partitionBy("lang")))
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("step"))) / 1000
-    bands = steps.groupBy("lang").agg(at(0.25).alias("q1"), at(0.75).alias("q3"))
-    bands = bands.select("lang", (F.col("q1") - width * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + width * (F.col("q3") - F.col("q1"))).alias("high"))
-    out = seen.join(bands, "lang", "left")
-    # the perplexity of a short text varies more, so its band is wider
-    slack = F.lit(short) / F.greatest(F.col("n_words"), F.lit(1)) * (F.col("high") - F.col("low")) / 2
-    inside = F.coalesce(F.col("level").between(F.col("low") - slack, F.col("high") + slack), F.lit(False))
+    seen = seen.withColumn("step", F.round(F.col("level") * 1000).cast("long"))
+    seen = seen.withColumn("length", F.expr("cast(least(greatest(floor(log2(greatest(n_words, 1))), 3), 10) as int)"))
+    steps = materialize(seen.where(~F.col("base_failed")).groupBy("lang", "length", "step").count(), "steps")
+
+    def quartiles(by, names):
+        t = steps.groupBy(*by, "step").agg(F.sum("count").alias("count"))
+        t = t.withColumn("upto", F.sum("count").over(Window.partitionBy(*by).orderBy("step"))).withColumn("all", F.sum("count").over(Window.partitionBy(*by)))
+        at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("step")))
+        return t.groupBy(*by).agg(at(0.25).alias(names[0]), at(0.75).alias(names[1]), F.max("all").alias(names[2]))
+
+    out = seen.join(quartiles(["lang"], ("p1", "p3", "_")), "lang", "left").join(quartiles(["lang", "length"], ("q1", "q3", "n")), ["lang", "length"], "left")
+    enough = F.coalesce(F.col("n") >= few, F.lit(False))
+    out = out.withColumn("low", F.when(enough, F.col("q1")).otherwise(F.col("p1"))).withColumn("high", F.when(enough, F.col("q3")).otherwise(F.col("p3")))
+    range_ = F.col("high") - F.col("low")
+    slack = F.when(enough, 0).otherwise(F.lit(short) / F.greatest(F.col("n_words"), F.lit(1)) * (width + 0.5) * range_)
+    inside = F.coalesce(F.col("step").between(F.col("low") - width * range_ - slack, F.col("high") + width * range_ + slack), F.lit(False))
     return out.select("doc_id", *BASE, "base_failed", F.exp("level").alias("perplexity"), (~F.col("base_failed") & inside).alias("kept"))

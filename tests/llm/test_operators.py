@@ -117,6 +117,23 @@ def test_perplexity_paths_agree_and_base_columns(docs):
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again))
 
 
+def test_perplexity_band_rejects_both_sides(spark):
+    """Keyboard noise is above the band and text of the commonest words below it; ordinary texts stay."""
+    rng = np.random.default_rng(8)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    vocabulary = ["".join(rng.choice(syllables, rng.integers(1, 5))) for _ in range(800)]
+    weight = 1 / np.arange(1, 801)
+    say = lambda n: " ".join(rng.choice(vocabulary, n, p=weight / weight.sum()))
+    rows = [(i, "en", say(int(rng.integers(64, 120)))) for i in range(400)]
+    rows += [(1000 + i, "en", " ".join("".join(rng.choice(list("qxzjvwkq"), 6)) for _ in range(80))) for i in range(5)]
+    rows += [(2000 + i, "en", " ".join(rng.choice(vocabulary[:12], 80))) for i in range(5)]
+    got = {r.doc_id: r for r in perplexity.judge(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert sum(got[i].kept for i in range(400)) >= 380
+    assert not any(got[d + i].kept for d in (1000, 2000) for i in range(5))
+    # by the band, not by the base rules
+    assert not any(got[2000 + i].base_failed for i in range(5))
+
+
 def test_kneser_ney_sums_to_one(spark):
     df = spark.createDataFrame([(i, "en", t) for i, t in enumerate(["the cat sat", "the mat", "a cat"] * 3)], "doc_id long, lang string, text string")
     counts = df.select("lang", "text").mapInArrow(perplexity._count_batches, "lang string, g long, c long").groupBy("lang", "g").sum("c").toDF("lang", "g", "c")
