@@ -1,134 +1,82 @@
 """Quality rules with an n-gram perplexity band.
 
-The language model predicts each byte of a word, and its end, from the four before it (spaces
-before the word). Spark counts the 5-byte strings of all words of all texts by language and
-estimates interpolated modified Kneser-Ney probabilities order by order; discounts come from the
-counts of counts. A model within MODEL_ROWS entries is sent to the tasks as sorted hash arrays and
-looked up by binary search; a larger one is joined by (language, string) instead, with the same
-result. Documents outside their band of perplexity, `width` quartile ranges beyond the quartiles of
-their language and length (powers of two of words, as short texts vary more), are not kept, nor
-those that fail the base rules. A length that has few documents takes its language's quartiles,
-widened for texts of few words.
+The language model runs over a text's words joined by single spaces and predicts each byte, and
+the space after each word, from the five bytes before it, whatever words these belong to. Spark
+counts the six-byte strings by language and estimates interpolated modified Kneser-Ney
+probabilities order by order; discounts come from the counts of counts. Only documents that pass
+the base rules teach, and no passage is judged by a model that it or a copy of it taught: texts
+are cut before words that their hash picks, each cut falls into one of two folds by its first
+three words, and each fold is scored with the counts of the other. Strings of the other documents
+stay in the model with a count of 0, so every string that is judged has an entry, and what backing
+off gives it is worked out once.
+
+The model is stored as flat files of sorted string hashes, each beside its two log probabilities
+as fixed-point integers, in shards by hash range. Tasks map the files and look strings up by
+binary search; sums of integers do not depend on their order. Documents outside their band of
+perplexity, `width` quartile ranges beyond the quartiles of their language and length (powers of
+two of words, as short texts vary more), are not kept, nor those that fail the base rules. A
+length that has few documents takes its language's quartiles, widened for texts of few words.
 
 Null texts have no words and fail the base rules; a null language is a language of its own.
-Documents without words have no perplexity. Repeated rows are each judged, and each counted.
-Extra columns are ignored. An empty table gives an empty result.
+Documents without words have no perplexity. Repeated rows are each judged, and each counted. Extra columns are ignored. An empty table gives an empty result.
 """
 
+import hashlib
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Window, functions as F
 
 from quillon.llm import words as W
-from quillon.session import materialize, ship_package
+from quillon.llm.token_files import filesystem
+from quillon.session import materialize, ship_package, work_path
 
 U = W.U
-ORDER = 5
-#: Entries (12 bytes each) of a model that tasks hold in memory.
-MODEL_ROWS = 4_000_000
+ORDER = 6
+#: Log probabilities are kept in steps of 1 / SCALE.
+SCALE = 1 << 16
+#: One word in so many starts a cut; a power of two.
+CUT = 8
+#: Strings that a counting task holds before it passes them on.
+HELD = 2_000_000
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-_SHIFT = np.array([32, 24, 16, 8, 0], U)
-
-
-def grams(c, first):
-    """The 5-byte strings of the words numbered first in a chunk: strings, and their word's place."""
-    n = c.ends[first] - c.starts[first]
-    size = n + ORDER
-    at = np.cumsum(size) - size
-    word = np.repeat(np.arange(len(first)), size)
-    place = np.arange(len(word)) - at[word]
-    b = np.full(len(word), 32, U)
-    inner = (place >= ORDER - 1) & (place < n[word] + ORDER - 1)
-    b[inner] = c.data[(c.starts[first][word] + place - (ORDER - 1))[inner]]
-    ends = np.flatnonzero(place >= ORDER - 1)
-    g = np.zeros(len(ends), U)
-    for i, s in enumerate(_SHIFT):
-        g |= b[ends - (ORDER - 1) + i] << s
-    return g, word[ends]
-
-
-def distinct_words(c, lang):
-    """First occurrence, number and inverse of the distinct (language, word) of a chunk; the words' languages."""
-    of = np.repeat(lang, np.diff(c.ptr))
-    key = c.hashes ^ W.mix64(of.astype(U) + U(99))
-    _, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    return first, inverse, count, of
-
-
-def _codes(column, names):
-    """Numbers for language names, kept in names."""
-    return np.array([names.setdefault(x or "", len(names)) for x in column.to_pylist()], np.int64)
-
-
-def _folded(keys, counts):
-    k, i = np.unique(np.concatenate(keys), return_inverse=True)
-    return [k], [np.bincount(i, np.concatenate(counts), len(k)).astype(np.int64)]
-
-
-def _count_batches(batches):
-    names, keys, counts, held = {}, [], [], 0
-    for batch in batches:
-        lang = _codes(batch.column("lang"), names)
-        for c in W.chunks(batch.column("text"), lower=False):
-            if not len(c.hashes):
-                continue
-            first, _, count, of = distinct_words(c, lang[c.lo : c.hi])
-            g, word = grams(c, first)
-            k, i = np.unique(of[first][word].astype(U) << U(40) | g, return_inverse=True)
-            keys.append(k)
-            counts.append(np.bincount(i, count[word], len(k)).astype(np.int64))
-            held += len(k)
-            if held > 2_000_000:
-                keys, counts = _folded(keys, counts)
-                held = len(keys[0]) if len(keys[0]) < 1_000_000 else 0
-    if keys:
-        (k,), (n,) = _folded(keys, counts)
-        langs = np.array(list(names), object)
-        for lo in range(0, len(k), 100_000):
-            part = k[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(langs[(part >> U(40)).astype(int)], pa.string()), pa.array((part & U((1 << 40) - 1)).view(np.int64)), pa.array(n[lo : lo + 100_000])], ["lang", "g", "c"])
-
-
-def kneser_ney(counts):
-    """lang, g, logp of every counted string. counts: lang, g, c."""
-    tables = {ORDER: counts}
-    for n in range(ORDER - 1, 0, -1):
-        tables[n] = tables[n + 1].groupBy("lang", F.expr(f"g & {(1 << 8 * n) - 1}L").alias("g")).agg(F.count("*").alias("c"))
-    lower = None
-    for n in range(1, ORDER + 1):
-        t = materialize(tables[n], f"order{n}") if n < ORDER else counts
-        number = [F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-        d = t.groupBy("lang").agg(*number).withColumn("y", F.expr("coalesce(try_divide(n1, n1 + 2 * n2), 0.5)"))
-        for i in (1, 2, 3):
-            d = d.withColumn(f"d{i}", F.expr(f"least(greatest(coalesce({i} - {i + 1} * y * try_divide(n{i + 1}, n{i}), 0.75), 0.05), {i} - 0.05)"))
-        own = Window.partitionBy("lang", "h")
-        t = t.withColumn("h", F.expr("shiftright(g, 8)")).join(F.broadcast(d.select("lang", "d1", "d2", "d3")), "lang")
-        t = t.withColumn("d", F.expr("CASE WHEN c = 1 THEN d1 WHEN c = 2 THEN d2 ELSE d3 END"))
-        t = t.withColumn("total", F.sum("c").over(own)).withColumn("spare", F.sum("d").over(own) / F.col("total"))
-        t = t.withColumn("own", (F.col("c") - F.col("d")) / F.col("total"))
-        if lower is None:
-            t = t.withColumn("p", F.col("own") + F.col("spare") / 256)
-        else:
-            t = t.withColumn("tail", F.expr(f"g & {(1 << 8 * (n - 1)) - 1}L")).join(lower.select("lang", F.col("g").alias("tail"), F.col("p").alias("q")), ["lang", "tail"]).withColumn("p", F.col("own") + F.col("spare") * F.col("q"))
-        lower = materialize(t.select("lang", "g", "p"), f"prob{n}")
-    return lower.select("lang", "g", F.ln("p").alias("logp"))
-
-
-class HashArrays:
-    """Sorted hashes of (language, string) and the log probability of each."""
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-    def __init__(self, table):
-        self.langs = {x: i for i, x in enumerate(sorted(set(table.column("lang").to_pylist())))}
-        code = np.array([self.langs[x] for x in table.column("lang").to_pylist()], U)
-        key = W.mix64(code << U(40) | table.column("g").to_numpy().astype(U))
-        order = np.argsort(key)
-        self.keys, self.logp = key[order], table.column("logp").to_numpy()[order].astype(np.float32)
 
-    def lookup(self, code, g):
-        key = W.mix64(code.astype(U) << U(40) | g)
-        i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[i] == key, self.logp[i], self.logp.min()).astype(float)
+def strings(c, order=ORDER):
+    """The string that ends at each symbol of a chunk's texts, the symbol's row, and its fold."""
+    rows = c.hi - c.lo
+    of = np.repeat(np.arange(rows), np.diff(c.ptr))
+    size = c.ends - c.starts + 1
+    place = np.cumsum(size) - size + (order - 1) * (of + 1)
+    b = np.full(int(size.sum()) + (order - 1) * rows, 32, U)
+    solid = np.flatnonzero(~W.SPACE[c.data])
+    b[solid + np.repeat(place - c.starts, size - 1)] = c.data[solid]
+    row = np.repeat(of, size)
+    at = np.arange(len(row)) + (order - 1) * (row + 1)
+    g = np.zeros(len(row), U)
+    for i in range(order):
+        g |= b[at - i] << U(8 * i)
+    return g, row, np.repeat(folds(c, of), size)
+
+
+def folds(c, of):
+    """The fold of each word, by the cut it is in: copies of a passage fall into the same one, but for its ends."""
+    n = len(c.hashes)
+    if not n:
+        return np.zeros(0, np.int64)
+    cut = (c.hashes & U(CUT - 1)) == 0
+    cut[1:] |= of[1:] != of[:-1]
+    cut[0] = True
+    named = c.hashes
+    for i in (1, 2):
+        after = np.zeros(n, U)
+        after[:-i] = np.where(of[i:] == of[:-i], c.hashes[i:], U(0))
+        named = W.mix64(named + after * U(2 * i + 1))
+    return (named & U(1)).astype(np.int64)[np.maximum.accumulate(np.where(cut, np.arange(n), 0))]
 
 
 def base_columns(c):
@@ -158,64 +106,213 @@ def base_columns(c):
     return np.column_stack([words, chars, symbols, lines, repeat]).astype(np.int64)
 
 
-BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+def fails(base):
+    """Whether rows of base columns break the base rules."""
+    return (base[:, 0] < 10) | (100 * base[:, 4] > 20 * base[:, 0])
+
+
+class _Counts:
+    """Strings of one language with their counts in both folds; 0 for those that only failed texts hold."""
+
+    def __init__(self):
+        self.parts, self.held = [], 0
 
+    def add(self, g, fold, teaches):
+        for f in (0, 1):
+            mine = fold == f
+            k, n = np.unique(g[mine & teaches], return_counts=True)
+            self._put(k, n, f)
+        self._put(np.unique(g[~teaches]), 0, 0)
+        if self.held > HELD:
+            self.fold()
 
-def _judge_batches(batches, shared):
-    model = shared.value if shared is not None else None
+    def _put(self, k, n, f):
+        if len(k):
+            c = np.zeros((len(k), 2), np.int64)
+            c[:, f] = n
+            self.parts.append((k, c))
+            self.held += len(k)
+
+    def fold(self):
+        k, i = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
+        c = np.concatenate([p[1] for p in self.parts])
+        self.parts = [(k, np.column_stack([np.bincount(i, c[:, f], len(k)) for f in (0, 1)]).astype(np.int64))]
+        self.held = len(k)
+
+
+def _emit(lang, counts, step=200_000):
+    counts.fold()
+    ((k, c),) = counts.parts
+    for lo in range(0, len(k), step):
+        part = slice(lo, lo + step)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k[part]), pa.string()), pa.array(k[part].view(np.int64)), pa.array(c[part, 0]), pa.array(c[part, 1])], ["lang", "g", "c0", "c1"])
+
+
+def _count_batches(batches):
+    """lang, g, c0, c1: partial counts, passed on whenever a language holds too many strings."""
+    by = {}
+    for batch in batches:
+        langs = batch.column("lang").to_pylist()
+        for c in W.chunks(batch.column("text"), lower=False):
+            g, row, fold = strings(c)
+            teaches = ~fails(base_columns(c))
+            names = np.array(langs[c.lo : c.hi], object)
+            for lang in set(langs[c.lo : c.hi]):
+                mine = (names == lang)[row]
+                if not mine.any():
+                    continue
+                counts = by.setdefault(lang, _Counts())
+                counts.add(g[mine], fold[mine], teaches[row[mine]])
+                if counts.held > HELD // 2:
+                    yield from _emit(lang, by.pop(lang))
+    for lang, counts in by.items():
+        yield from _emit(lang, counts)
+
+
+def kneser_ney(counts, order=ORDER):
+    """lang, g, lp0, lp1 of every string: its log probability in the models of both folds, in steps of 1 / SCALE."""
+    tables = {order: counts}
+    for n in range(order - 1, 0, -1):
+        longer = tables[n + 1].groupBy("lang", F.expr(f"g & {(1 << 8 * n) - 1}L").alias("g"))
+        tables[n] = materialize(longer.agg(*[F.count_if(F.col(f"c{f}") > 0).alias(f"c{f}") for f in (0, 1)]), f"order{n}")
+    lower = None
+    for n in range(1, order + 1):
+        t = tables[n]
+        d = t.groupBy("lang").agg(*[F.count_if(F.col(f"c{f}") == i).cast("double").alias(f"n{i}_{f}") for f in (0, 1) for i in (1, 2, 3, 4)])
+        for f in (0, 1):
+            d = d.withColumn(f"y{f}", F.expr(f"coalesce(try_divide(n1_{f}, n1_{f} + 2 * n2_{f}), 0.5)"))
+            for i in (1, 2, 3):
+                d = d.withColumn(f"d{i}_{f}", F.expr(f"least(greatest(coalesce({i} - {i + 1} * y{f} * try_divide(n{i + 1}_{f}, n{i}_{f}), 0.75), 0.05), {i} - 0.05)"))
+        own = Window.partitionBy("lang", "h")
+        t = t.withColumn("h", F.expr("shiftright(g, 8)")).join(F.broadcast(d.select("lang", *[f"d{i}_{f}" for f in (0, 1) for i in (1, 2, 3)])), "lang")
+        for f in (0, 1):
+            c = f"c{f}"
+            # whole numbers are summed, so the result does not depend on the order of rows
+            t = t.withColumn("total", F.sum(c).over(own))
+            number = {i: F.sum(F.when(F.col(c) == i, 1).otherwise(0)).over(own) for i in (1, 2)}
+            more = F.sum(F.when(F.col(c) > 2, 1).otherwise(0)).over(own)
+            t = t.withColumn("spare", F.when(F.col("total") > 0, (number[1] * F.col(f"d1_{f}") + number[2] * F.col(f"d2_{f}") + more * F.col(f"d3_{f}")) / F.col("total")).otherwise(1.0))
+            cut = F.expr(f"CASE WHEN {c} = 0 THEN 0 WHEN {c} = 1 THEN d1_{f} WHEN {c} = 2 THEN d2_{f} ELSE d3_{f} END")
+            t = t.withColumn(f"own{f}", F.when(F.col("total") > 0, (F.col(c) - cut) / F.col("total")).otherwise(0.0)).withColumnRenamed("spare", f"spare{f}").drop("total")
+        if lower is None:
+            t = t.withColumns({f"p{f}": F.col(f"own{f}") + F.col(f"spare{f}") / 256 for f in (0, 1)})
+        else:
+            shorter = lower.select("lang", F.col("g").alias("tail"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+            t = t.withColumn("tail", F.expr(f"g & {(1 << 8 * (n - 1)) - 1}L")).join(shorter, ["lang", "tail"])
+            t = t.withColumns({f"p{f}": F.col(f"own{f}") + F.col(f"spare{f}") * F.col(f"q{f}") for f in (0, 1)})
+        lower = materialize(t.select("lang", "g", "p0", "p1"), f"prob{n}")
+    return lower.select("lang", "g", *[F.round(F.ln(f"p{f}") * SCALE).cast("int").alias(f"lp{f}") for f in (0, 1)])
+
+
+def _seed(lang):
+    return U(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
+
+
+def _key_batches(batches):
+    for b in batches:
+        g, langs = b.column("g").to_numpy().view(U), b.column("lang").to_pylist()
+        seeds = {x: _seed(x) for x in set(langs)}
+        key = W.mix64(g ^ np.array([seeds[x] for x in langs], U)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(key), b.column("lp0"), b.column("lp1")], ["key", "lp0", "lp1"])
+
+
+def _write_batches(batches, folder):
+    """One shard a task: sorted keys and, beside them, both log probabilities."""
+    fs, base = filesystem(folder)
+    fs.create_dir(base, recursive=True)
+    name, first, n = uuid.uuid4().hex, None, 0
+    with fs.open_output_stream(f"{base}/{name}.keys") as keys, fs.open_output_stream(f"{base}/{name}.logp") as logp:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = b.column("key").to_numpy()
+            first = int(key[0]) if first is None else first
+            keys.write(key.astype("<i8").tobytes())
+            logp.write(np.column_stack([b.column(f"lp{f}").to_numpy() for f in (0, 1)]).astype("<i4").tobytes())
+            n += len(key)
+    if n:
+        yield pa.RecordBatch.from_pylist([{"first": first, "n": n, "path": f"{folder}/{name}"}], pa.schema([("first", pa.int64()), ("n", pa.int64()), ("path", pa.string())]))
+
+
+def write_model(model):
+    """Writes the shards; returns their (first key, path), sorted: a few numbers a shard."""
+    spark = model.sparkSession
+    folder = work_path(spark, "model")
+    keyed = model.mapInArrow(_key_batches, "key long, lp0 int, lp1 int")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    shards = keyed.repartitionByRange(n, "key").sortWithinPartitions("key").mapInArrow(lambda it: _write_batches(it, folder), "first long, n long, path string")
+    # only shards named here are part of the model, so a task that ran twice leaves an unread file
+    return sorted((r.first, r.path) for r in materialize(shards, "shards").collect())
+
+
+class HashArrays:
+    """Sorted hashes of (language, string), looked up in mapped files; on other storage a shard is read at a time."""
+
+    def __init__(self, shards):
+        self.firsts = np.array([f for f, _ in shards], np.int64)
+        self.paths = [p for _, p in shards]
+        self.mapped = {}
+
+    def _shard(self, i):
+        if i in self.mapped:
+            return self.mapped[i]
+        fs, path = filesystem(self.paths[i])
+        if isinstance(fs, pafs.LocalFileSystem):
+            self.mapped[i] = np.memmap(f"{path}.keys", "<i8", "r"), np.memmap(f"{path}.logp", "<i4", "r").reshape(-1, 2)
+            return self.mapped[i]
+        load = lambda end, kind: np.frombuffer(fs.open_input_file(path + end).read(), kind)
+        return load(".keys", "<i8"), load(".logp", "<i4").reshape(-1, 2)
+
+    def lookup(self, keys):
+        """Both log probabilities of sorted distinct keys; every key that was counted is there."""
+        out = np.zeros((len(keys), 2), np.int64)
+        cuts = np.searchsorted(keys, self.firsts)
+        for i, (lo, hi) in enumerate(zip(cuts, [*cuts[1:], len(keys)])):
+            if lo < hi:
+                known, logp = self._shard(i)
+                at = np.minimum(np.searchsorted(known, keys[lo:hi]), len(known) - 1)
+                if (known[at] != keys[lo:hi]).any():
+                    raise ValueError("a string is not in the model: the documents differ from those counted")
+                out[lo:hi] = logp[at]
+        return out
+
+
+def _judge_batches(batches, shards):
+    model = HashArrays(shards)
     for batch in batches:
         rows, logp, symbols = [], [], []
-        if model:
-            lang = np.array([model.langs.get(x or "", len(model.langs)) for x in batch.column("lang").to_pylist()], np.int64)
+        langs = batch.column("lang").to_pylist()
+        seeds = {x: _seed(x) for x in set(langs)}
         for c in W.chunks(batch.column("text"), lower=False):
             rows.append(base_columns(c))
             n = c.hi - c.lo
-            size = c.ends - c.starts + 1
-            of = np.repeat(np.arange(n), np.diff(c.ptr))
-            symbols.append(np.bincount(of, size, n))
-            if model and len(c.hashes):
-                first, inverse, _, langs = distinct_words(c, lang[c.lo : c.hi])
-                g, word = grams(c, first)
-                each = np.bincount(word, model.lookup(langs[first][word], g), len(first))
-                logp.append(np.bincount(of, each[inverse], n))
-            else:
-                logp.append(np.zeros(n))
+            g, row, fold = strings(c)
+            symbols.append(np.bincount(row, minlength=n))
+            sums = np.zeros(n, np.int64)
+            if len(g):
+                seed = np.array([seeds[x] for x in langs[c.lo : c.hi]], U)
+                keys, inverse = np.unique(W.mix64(g ^ seed[row]).view(np.int64), return_inverse=True)
+                value = model.lookup(keys)[inverse, 1 - fold]
+                # whole numbers below 2**53: their sums are exact
+                sums = np.bincount(row, value, n).astype(np.int64)
+            logp.append(sums)
         if rows:
             table = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), batch.column("lang"), *[pa.array(table[:, i]) for i in range(5)], pa.array(np.concatenate(symbols).astype(np.int64)), pa.array(np.concatenate(logp))], ["doc_id", "row", "lang", *BASE, "symbols", "logp"])
-
-
-def _doc_gram_batches(batches):
-    """row, lang, g, c of every document: for models that tasks can't hold."""
-    for batch in batches:
-        for c in W.chunks(batch.column("text"), lower=False):
-            g, word = grams(c, np.arange(len(c.starts)))
-            of = np.repeat(np.arange(c.hi - c.lo), np.diff(c.ptr))[word]
-            for r in range(c.hi - c.lo):
-                k, n = np.unique(g[slice(*np.searchsorted(of, (r, r + 1)))], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), batch.column("row")[c.lo + r].as_py())), pa.array([batch.column("lang")[c.lo + r].as_py()] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n.astype(np.int64))], ["row", "lang", "g", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *[pa.array(table[:, i]) for i in range(5)], pa.array(np.concatenate(symbols).astype(np.int64)), pa.array(np.concatenate(logp))], ["doc_id", "lang", *BASE, "symbols", "logp"])
 
 
-def judge(docs, width=1.5, short=30, few=30, model_rows=MODEL_ROWS):
+def judge(docs, width=1.5, short=30, few=30):
     """One row per document: doc_id, BASE, base_failed, perplexity, kept."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    counted = docs.select("lang", "text").mapInArrow(_count_batches, "lang string, g long, c long")
-    counts = materialize(counted.groupBy("lang", "g").agg(F.sum("c").alias("c")), "counts")
-    model = kneser_ney(counts)
-    shape = f"doc_id long, row long, lang string, {', '.join(f'{c} long' for c in BASE)}, symbols long, logp double"
-    n = counts.count()
-    if n <= model_rows:
-        shared = spark.sparkContext.broadcast(HashArrays(model.toArrow())) if n else None
-        seen = materialize(docs.mapInArrow(lambda it: _judge_batches(it, shared), shape), "judged")
-    else:
-        marked = materialize(docs, "marked")
-        seen = marked.mapInArrow(lambda it: _judge_batches(it, None), shape).drop("logp")
-        each = marked.select("row", "lang", "text").mapInArrow(_doc_gram_batches, "row long, lang string, g long, c long").join(model, ["lang", "g"]).groupBy("row").agg(F.sum(F.col("c") * F.col("logp")).alias("logp"))
-        seen = materialize(seen.join(each, "row", "left"), "judged")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"))
+    counted = docs.select("lang", "text").mapInArrow(_count_batches, "lang string, g long, c0 long, c1 long")
+    counts = materialize(counted.groupBy("lang", "g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "counts")
+    shards = write_model(kneser_ney(counts))
+    shape = f"doc_id long, lang string, {', '.join(f'{c} long' for c in BASE)}, symbols long, logp long"
+    seen = materialize(docs.mapInArrow(lambda it: _judge_batches(it, shards), shape), "judged")
     seen = seen.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
-    seen = seen.withColumn("level", F.when(F.col("symbols") > 0, -F.col("logp") / F.col("symbols")))
+    seen = seen.withColumn("level", F.when(F.col("symbols") > 0, -F.col("logp") / (F.col("symbols") * SCALE)))
     # exact quartiles of the levels in thousandths: one row a step of the scale
     seen = seen.withColumn("step", F.round(F.col("level") * 1000).cast("long"))
     seen = seen.withColumn("length", F.expr("cast(least(greatest(floor(log2(greatest(n_words, 1))), 3), 10) as int)"))

@@ -29,7 +29,7 @@ NO_ID = np.iinfo(np.int64).min
 MANIFEST = "shard int, n_docs long, n_tokens long, path string, wide boolean"
 
 
-def _filesystem(uri):
+def filesystem(uri):
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}" if not uri.startswith("file:") else uri.replace("file:", "file://", 1))
 
 
@@ -131,7 +131,7 @@ def write_shard(batches, path, end_id, folder):
     shard = TaskContext.get().partitionId()
     wide = cache.kind == "<u4"
     width, end = (4 if wide else 2), np.array([end_id], cache.kind).tobytes()
-    fs, base = _filesystem(folder)
+    fs, base = filesystem(folder)
     fs.create_dir(base, recursive=True)
     name = f"{shard:06d}-{uuid.uuid4().hex}"
     n_docs = n_tokens = 0
@@ -152,7 +152,7 @@ def write_shard(batches, path, end_id, folder):
 def read_shards(batches, step=20_000):
     for batch in batches:
         for row in batch.to_pylist():
-            fs, path = _filesystem(row["path"])
+            fs, path = filesystem(row["path"])
             local = isinstance(fs, pafs.LocalFileSystem)
             load = lambda end, kind: np.memmap(path + end, kind, "r") if local else np.frombuffer(fs.open_input_file(path + end).read(), kind)
             ids, docs = load(".ids", "<u4" if row["wide"] else "<u2"), load(".docs", "<i8").reshape(-1, 3)
