@@ -53,11 +53,14 @@ def materialize(df, name):
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
 
 
-def discard(spark, path):
-    """Delete a path below the shared folder."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def discard(*tables):
+    """Delete the files of tables that materialize returned, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
