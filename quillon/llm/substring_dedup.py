@@ -1,29 +1,31 @@
 """Near-duplicate passages by compact windows.
 
-The tokens of a document are its `shingle`-word shingles. For one hash function the nodes of the
-Cartesian tree over the hashed tokens group subsequences by their minimum: a node is the minimum
-of all subsequences that hold it and stay inside its subtree. Only nodes whose subtree spans
-`length` tokens matter; they are the minima of sliding windows of that length, found here for all
-tokens at once, and their ranges of window starts are the compact windows. Windows of two
-functions are intersected within the document; each intersection is keyed by both minima, so
-that equal keys mean subsequences that agree in both. `pairs` such function pairs are used: two
-passages of similarity 0.8 share a key of one of them with probability 1 - 0.36**pairs, for every
-position; equal passages always do.
-
-Documents that share a key are compared with the first of its documents: candidates are verified
-on the shingle sets of both passages, and a verified passage is extended while its windows agree.
-Keyed windows that no verified passage covers get finer keys, from the tokens of half a length
-before or after the minimum, and are compared within those. Equal passages of min_words words
-or more agree in one of the halves, so a short common line does not hide them. Verified passages
-are contracted to groups; buckets that still hold different groups are compared with other heads
-and finally pair by pair. Before that, windows are dropped that have too few shingles of any other
-open document to be similar to one, which loses no pair that could be verified.
+The tokens of a text are its `shingle`-word shingles, and a passage is `length` of them (min_words
+words) or more. For each of `functions` hash functions the Cartesian tree over the hashed tokens
+groups subsequences by their minimum: a node at c with subtree l..r is the minimum of all
+subsequences that hold c and stay inside l..r, its compact window. Only nodes whose subtree spans
+`length` tokens matter. They are keyed by function and minimum, so that two passages of similarity
+s share a node's key in each function with probability s, for every position.
+
+Texts that share a key are candidates. The first round pairs each text with the first one of its
+keys; windows of all functions that such a pair shares are joined as intervals, and the pair goes
+on where `agree` of them overlap at one place in both texts: a pair of similarity 0.8 does with
+probability 0.998, equal passages always do. Candidates are verified on the shingle sets of all
+windows of `length` tokens that hold a shared minimum, at every offset, and a verified passage
+takes in all of them. Verified passages are contracted to groups, and buckets that still hold
+different groups are resolved: first windows are dropped that have too few shingles of any other
+open text to be similar to one, or in which fewer than `agree` functions have an open window, then
+the rest meet `heads` other members of their bucket, and finally all pairs of a bucket that are in
+different groups are verified, so that no bucket's first member hides a link.
+
+Equal texts are one text in all of this and are brought back at the end.
 
 Result: one row per passage of a document that another document has too: doc_id, first_word,
 end_word, class_id (smallest doc_id reachable over verified passages), n_links (other documents of
 its class). Null or short texts have no passages; rows without an id are left out; a passage
-repeated only under one id is not reported. Extra columns are ignored. An empty table gives an
-empty result.
+repeated only under one id is not reported. Repeated ids with different texts are each looked at.
+A passage that a text repeats in equal surroundings is reported where it comes first. Extra
+columns are ignored. An empty table gives an empty result.
 """
 
 import numpy as np
@@ -31,18 +33,22 @@ import pyarrow as pa
 from pyspark.sql import Window, functions as F
 
 from quillon.llm import words as W
+from quillon.llm.buckets import crowded_ranges, shared_members
 from quillon.llm.components import components
 from quillon.llm.near_dedup import small_or_not
-from quillon.session import materialize, ship_package
+from quillon.session import discard, materialize, ship_package
 
 U = W.U
-WINDOW = "key long, doc long, l int, r int, c int"
+#: A window's place is one number: its minimum's token, and how far it reaches to either side.
+REACH_BITS = 10
+WINDOW = "key long, doc long, place long"
 LINKS = "doc long, other long, first int, end int, o_first int, o_end int"
-SLACK = 5
+#: One text in so many shows which keys are crowded.
+SAMPLE = 16
 
 
 def sliding_minima(v, length):
-    """Position of the least value of every window of length values, leftmost first."""
+    """Position of the least value of every window of length values, the leftmost among equals."""
     n = len(v) - length + 1
     bits = U(max(int(len(v)).bit_length(), 1))
     low = (U(1) << bits) - U(1)
@@ -56,169 +62,418 @@ def sliding_minima(v, length):
     return (np.minimum(after[:n], before[length - 1 : length - 1 + n]) & low).astype(np.int64)
 
 
+def cartesian_windows(at, value, lo, hi):
+    """First and last position of the subtrees of the nodes at positions `at`, in order, of one text lo..hi.
+
+    `at` holds every node whose subtree has some least size. Ancestors of such nodes are such
+    nodes, so the tree over them alone gives the whole tree's subtrees. Among equal values the
+    first is the root.
+    """
+    left, right, stack = [lo] * len(at), [hi] * len(at), []
+    for i, v in enumerate(value):
+        while stack and value[stack[-1]] > v:
+            right[stack.pop()] = at[i] - 1
+        if stack:
+            left[i] = at[stack[-1]] + 1
+        stack.append(i)
+    return left, right
+
+
 def _hashed(x, f):
     return W.mix64(x * U(2 * f + 1) + W.mix64(np.array([f + 1], U))[0])
 
 
-def _window_batches(batches, shingle, length, pairs):
+def compact_windows(c, shingle, length, functions):
+    """(function, row, first token of the row, l, c, r, key) arrays of a chunk, one tuple a function."""
+    x = W.windows(c.hashes, shingle)
+    n = len(x) - length + 1
+    if n <= 0:
+        return
+    begin = c.ptr[:-1]
+    end = np.maximum(c.ptr[1:] - shingle + 1, begin)
+    row = np.searchsorted(c.ptr, np.arange(n), "right") - 1
+    starts = np.flatnonzero(np.arange(n) + length <= end[row])
+    if not len(starts):
+        return
+    low = (U(1) << U(max(int(len(x)).bit_length(), 1))) - U(1)
+    for f in range(functions):
+        v = _hashed(x, f)
+        least = sliding_minima(v, length)[starts]
+        at = least[np.concatenate(([True], least[1:] != least[:-1]))]
+        of = np.searchsorted(c.ptr, at, "right") - 1
+        cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True])))
+        values, places = (v[at] & ~low).tolist(), at.tolist()
+        left, right = [], []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            l, r = cartesian_windows(places[a:b], values[a:b], int(begin[of[a]]), int(end[of[a]]) - 1)
+            left += l
+            right += r
+        key = (W.mix64(v[at] + U(f)) & ~U(7)) | U(f & 7)
+        yield f, of, begin[of], np.array(left), at, np.array(right), key
+
+
+def _contexts(c, shingle, length, of, at):
+    """A hash of the tokens that any window of `length` tokens around each position can hold."""
+    x = W.windows(c.hashes, shingle)
+    power, inverse = W.powers(len(x) + 1)
+    total = np.zeros(len(x) + 1, U)
+    np.cumsum(x * power[: len(x)], out=total[1:])
+    begin = c.ptr[:-1][of]
+    a, b = np.maximum(at - length + 1, begin), np.minimum(at + length, c.ptr[1:][of] - shingle + 1)
+    return W.mix64((total[b] - total[a]) * inverse[a] + W.mix64(((at - a) * 1000 + b - at).astype(U)))
+
+
+def _window_batches(batches, shingle, length, functions):
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        ids = batch.column("doc").to_numpy(zero_copy_only=False)
         for c in W.chunks(batch.column("text")):
-            x = W.windows(c.hashes, shingle)
-            n = len(x) - length + 1
-            if n <= 0:
-                continue
-            row = np.searchsorted(c.ptr, np.arange(n), "right") - 1
-            inside = np.arange(n) + length + shingle - 1 <= c.ptr[row + 1]
-            for p in range(pairs):
-                u, v = _hashed(x, 2 * p), _hashed(x, 2 * p + 1)
-                a, b = sliding_minima(u, length), sliding_minima(v, length)
-                new = np.ones(n, bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (row[1:] != row[:-1]) | (inside[1:] != inside[:-1])
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], n) - 1
-                keep = inside[first]
-                first, last = first[keep], last[keep]
-                key = W.mix64(u[a[first]] + U(p)) * U(0x9E3779B97F4A7C15) + v[b[first]]
-                base = c.ptr[row[first]]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[c.lo + row[first]].astype(np.int64)), *[pa.array((q - base).astype(np.int32)) for q in (first, last + length - 1, a[first])]], ["key", "doc", "l", "r", "c"])
-
-
-def _rows(column, shingle):
-    return [x for c in W.chunks(column) for x in W.shingle_rows(c, shingle)]
-
-
-def _finer_batches(batches, shingle, length):
-    """Finer keys of a document's uncovered windows: the tokens of half a length on either side of c."""
-    half = length // 2
-    for batch in batches:
-        out = []
-        opens = batch.column("open")
-        at = np.concatenate(([0], np.cumsum(opens.value_lengths().to_numpy(zero_copy_only=False))))
-        flat = opens.flatten()
-        c, l, r = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("c", "l", "r"))
-        for doc, x, lo, hi in zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), at[:-1], at[1:]):
-            halves = W.windows(x, half + 1)
-            for side, first in ((1, c[lo:hi]), (2, c[lo:hi] - half)):
-                ok = np.flatnonzero((first >= 0) & (first < len(halves)))
-                out.append((halves[first[ok]] + U(side), np.full(len(ok), doc, np.int64), *(q[lo:hi][ok] for q in (l, r, c))))
-        if out:
-            key, doc, *rest = (np.concatenate(q) for q in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), *[pa.array(q.astype(np.int32)) for q in rest]], ["key", "doc", "l", "r", "c"])
-
-
-def passages(x, y, anchors, length, num, den, shingle, slack=SLACK):
-    """Verified passages: (first, end) of words in x and in y. anchors: (c, place of c in y, l, r)."""
-    need = -(-2 * num * length // (num + den))
-    if len(x) < length or len(y) < length:
-        return []
-    got = np.concatenate(([0], np.cumsum(np.isin(x, y))))
-    good = got[length:] - got[:-length] >= need
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], good.astype(np.int8), [0]))))
-    out, done = [], []
-    for c, d, l, r in anchors:
-        if any(a <= l and r < b and abs(c - d - k) <= slack for a, b, k in done):
-            continue
-        shift = c - d
-        starts = np.flatnonzero(good[l : r - length + 2]) + l
-        if not len(starts):
-            continue
-        for s in sorted({int(starts[0]), int(starts[len(starts) // 2]), int(starts[-1])}):
-            mine, hit = x[s : s + length], False
-            for move in sorted(range(-slack, slack + 1), key=abs):
-                t = s - shift + move
-                if 0 <= t <= len(y) - length:
-                    theirs = y[t : t + length]
-                    a, b = np.unique(mine), np.unique(theirs)
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    if den * both >= num * (len(a) + len(b) - both):
-                        hit = True
-                        break
-            if hit:
-                i = int(np.searchsorted(edge, s, "right")) - 1
-                a, b = int(edge[i]), int(edge[i + 1] - 1 + length)
-                done.append((a, b, shift))
-                out.append((a, b + shingle - 1, max(a - shift, 0), min(b - shift, len(y)) + shingle - 1))
-                break
-    return out
+            for _, of, begin, l, at, r, key in compact_windows(c, shingle, length, functions):
+                # equal windows of a text in equal surroundings count once, so loops stay small
+                same = W.mix64(key ^ _contexts(c, shingle, length, of, at)) ^ W.mix64(of.astype(U))
+                i = np.sort(np.unique(same, return_index=True)[1])
+                reach = [np.minimum(q[i], length - 1).astype(np.int64) for q in (at - l, r - at)]
+                place = (at - begin)[i] << 2 * REACH_BITS | reach[0] << REACH_BITS | reach[1]
+                yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(ids[c.lo + of[i]].astype(np.int64)), pa.array(place)], ["key", "doc", "place"])
 
 
-def _verify_batches(batches, shingle, length, num, den):
+def _unpacked(place, length):
+    """The minimum's token of windows, and the first and last start of `length` tokens that it is the minimum of."""
+    c, mask = place >> 2 * REACH_BITS, (1 << REACH_BITS) - 1
+    return c, c - (place >> REACH_BITS & mask), c + (place & mask) - length + 1
+
+
+def _flat(lists, *fields):
+    """Row of each element of a list<struct> column, and its fields as arrays."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat = lists.flatten()
+    return np.repeat(np.arange(len(lists)), sizes), *(flat.field(f).to_numpy(zero_copy_only=False) for f in fields)
+
+
+def overlapping(pair, s0, s1, t0, t1, length, step=2_000_000):
+    """For each rectangle (starts s0..s1 by t0..t1) of a pair: how many of the pair hold s0 and meet t0..t1.
+
+    Rectangles with a common point have the one that starts last among them, and that one counts
+    them all.
+    """
+    big = np.int64(1) << 40
+    order = np.argsort(pair * big + s0, kind="stable")
+    key = (pair * big + s0)[order]
+    lo, hi = np.searchsorted(key, key - (length - 1)), np.searchsorted(key, key, "right")
+    s1, t0, t1, base = s1[order], t0[order], t1[order], s0[order]
+    out = np.zeros(len(order), np.int64)
+    upto = np.concatenate(([0], np.cumsum(hi - lo)))
+    a = 0
+    while a < len(order):
+        b = max(int(np.searchsorted(upto, upto[a] + step, "right")) - 1, a + 1)
+        i = np.repeat(np.arange(a, b), (hi - lo)[a:b])
+        j = np.arange(len(i)) - np.repeat(upto[a:b] - upto[a], (hi - lo)[a:b]) + np.repeat(lo[a:b], (hi - lo)[a:b])
+        out[a:b] = np.bincount(i[(s1[j] >= base[i]) & (t0[j] <= t1[i]) & (t1[j] >= t0[i])] - a, minlength=b - a)
+        a = b
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _agreeing_batches(batches, length, agree):
+    """The pairs of which `agree` windows or more overlap at one place in both texts."""
     for batch in batches:
+        pair, mine, theirs = _flat(batch.column("anchors"), "place", "other")
+        (c, s0, s1), (h, t0, t1) = _unpacked(mine, length), _unpacked(theirs, length)
+        most = np.zeros(batch.num_rows, np.int64)
+        if len(pair):
+            np.maximum.at(most, pair, overlapping(pair, s0, s1, t0, t1, length))
+        yield batch.filter(pa.array(most >= agree))
+
+
+def _tokens(column, shingle):
+    """All tokens of a text column, and where each row's begin."""
+    rows = [x for c in W.chunks(column) for x in W.shingle_rows(c, shingle)]
+    return np.concatenate([*rows, np.zeros(0, U)]), np.concatenate(([0], np.cumsum([len(x) for x in rows], dtype=np.int64)))
+
+
+def _near_repeats(x, offsets, length):
+    """Running count of tokens that the same row has less than `length` tokens before."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    key = W.mix64(x ^ W.mix64(row.astype(U) + U(1)))
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    close = np.zeros(len(x) + 1, np.int64)
+    close[order[1:][same & (order[1:] - order[:-1] < length)] + 1] = 1
+    return np.cumsum(close)
+
+
+def _similar(a, b, num, den):
+    a, b = set(a.tolist()), set(b.tolist())
+    both = len(a & b)
+    return both > 0 and den * both >= num * (len(a) + len(b) - both)
+
+
+class Verifier:
+    """Passages of pairs of texts around places (c, h) where their windows have one minimum."""
+
+    def __init__(self, ta, tb, shingle, length, num, den):
+        self.length, self.num, self.den = length, num, den
+        self.need = -(-2 * num * length // (num + den))
+        (self.x, self.xo), (self.y, self.yo) = _tokens(ta, shingle), _tokens(tb, shingle)
+        self.rx, self.ry = _near_repeats(self.x, self.xo, length), _near_repeats(self.y, self.yo, length)
+
+    def _repeats(self, running, starts):
+        return running[np.minimum(starts + self.length, len(running) - 1)] > running[np.minimum(starts, len(running) - 1)]
+
+    def passages(self, p, c, h):
+        """(pair, first and end token in x, first and end token in y), from anchors (p, c, h)."""
+        shift = c - h
+        diagonal, of = np.unique(np.stack([p, shift], 1), axis=0, return_inverse=True)
+        of = of.ravel()
+        q, move = diagonal[:, 0], diagonal[:, 1]
+        lo = np.maximum(move, 0)
+        size = np.maximum(np.minimum(np.diff(self.xo)[q], np.diff(self.yo)[q] + move) - lo, 0)
+        done, out = np.zeros(len(p), bool), []
+        for a, b in W.pieces(np.concatenate(([0], np.cumsum(size))), 1 << 21):
+            mine = np.flatnonzero((of >= a) & (of < b))
+            found, covered = self._along(q[a:b], move[a:b], lo[a:b], size[a:b], of[mine] - a, c[mine])
+            out += found
+            done[mine] = covered
+        left = np.flatnonzero(~done)
+        if len(left):
+            out += self._around(p[left], c[left], h[left])
+        return out
+
+    def _along(self, q, move, lo, size, of, c):
+        """Similar windows at equal places of one diagonal each; whether the anchors lie in one."""
+        n, total = self.length, int(size.sum())
+        base = np.concatenate(([0], np.cumsum(size)))
+        which = np.repeat(np.arange(len(q)), size)
+        k = np.arange(total) - base[which]
+        xi = self.xo[q][which] + lo[which] + k
+        yi = self.yo[q][which] + (lo - move)[which] + k
+        run = np.concatenate(([0], np.cumsum(self.x[xi] == self.y[yi])))
+        starts = np.flatnonzero(k + n <= size[which])
+        equal = run[starts + n] - run[starts]
+        good = equal >= self.need
+        starts, equal = starts[good], equal[good]
+        # windows with a shingle twice have smaller sets: they are compared as sets, unless equal
+        odd = (equal < n) & (self._repeats(self.rx, xi[starts]) | self._repeats(self.ry, yi[starts]))
+        if odd.any():
+            keep = ~odd
+            edge = np.concatenate(([True], (starts[1:] != starts[:-1] + 1) | (which[starts[1:]] != which[starts[:-1]])))
+            run_of = np.cumsum(edge) - 1
+            sure = np.bincount(run_of, keep, run_of[-1] + 1) > 0
+            for i in np.flatnonzero(odd).tolist():
+                if not sure[run_of[i]]:
+                    s = starts[i]
+                    if _similar(self.x[xi[s] : xi[s] + n], self.y[yi[s] : yi[s] + n], self.num, self.den):
+                        keep[i] = sure[run_of[i]] = True
+            starts = starts[keep]
+        cover = np.zeros(total + n + 1, np.int64)
+        np.add.at(cover, starts, 1)
+        np.add.at(cover, starts + n, -1)
+        cover = np.cumsum(cover)[: total + 1] > 0
         out = []
-        last, y = None, None
-        mine, heads = _rows(batch.column("ta"), shingle), _rows(batch.column("tb"), shingle)
-        for a, b, x, y, anchors in zip(batch.column("doc").to_pylist(), batch.column("head").to_pylist(), mine, heads, batch.column("anchors").to_pylist()):
-            for p, q, s, t in passages(x, y, sorted((w["c"], w["hc"], w["l"], w["r"]) for w in anchors), length, num, den, shingle):
-                out.append((a, b, p, q, s, t))
-        if out:
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64() if i < 2 else pa.int32()) for i, q in enumerate(cols)], ["doc", "other", "first", "end", "o_first", "o_end"])
+        if len(starts):
+            new = np.concatenate(([True], (starts[1:] > starts[:-1] + n) | (which[starts[1:]] != which[starts[:-1]])))
+            first = starts[new]
+            last = starts[np.concatenate((np.flatnonzero(new)[1:], [len(starts)])) - 1]
+            d = which[first]
+            for i, a, b, m in zip(q[d].tolist(), (k[first] + lo[d]).tolist(), (k[last] + lo[d] + n).tolist(), move[d].tolist()):
+                out.append((i, a, b, a - m, b - m))
+        at = c - lo[of]
+        inside = (at >= 0) & (at < size[of])
+        return out, inside & cover[np.where(inside, base[of] + at, total)]
+
+    def _reachable(self, x, xo, running, y, yo, p, c):
+        """Whether some window around c has enough tokens that the other text has anywhere."""
+        n = self.length
+        pairs = np.unique(p)
+        place = np.full(len(xo), -1)
+        place[pairs] = np.arange(len(pairs))
+        gather = lambda z, zo: (np.concatenate([z[zo[i] : zo[i + 1]] for i in pairs]), np.repeat(pairs, np.diff(zo)[pairs]))
+        (a, pa_), (b, pb) = gather(x, xo), gather(y, yo)
+        mixed = lambda z, w: W.mix64(z ^ W.mix64(w.astype(U) + U(1)))
+        run = np.concatenate(([0], np.cumsum(np.isin(mixed(a, pa_), mixed(b, pb)))))
+        base = np.concatenate(([0], np.cumsum(np.diff(xo)[pairs])))
+        size = np.diff(xo)[pairs]
+        k = np.arange(len(a)) - np.repeat(base[:-1], size)
+        fits = k + n <= np.repeat(size, size)
+        starts = np.flatnonzero(fits)
+        good = np.zeros(len(a) + 1, np.int64)
+        many = run[starts + n] - run[starts] >= self.need
+        many |= self._repeats(running, np.repeat(xo[pairs], size)[starts] + k[starts])
+        good[starts + 1] = many
+        good = np.cumsum(good)
+        i = place[p]
+        lo, hi = np.maximum(c - n + 1, 0), np.minimum(c + 1, size[i])
+        return good[base[i] + hi] > good[base[i] + lo]
+
+    def _around(self, p, c, h, step=128):
+        """Similar windows among all that hold c and h, for anchors that no diagonal covers."""
+        ok = self._reachable(self.x, self.xo, self.rx, self.y, self.yo, p, c)
+        p, c, h = p[ok], c[ok], h[ok]
+        if len(p):
+            ok = self._reachable(self.y, self.yo, self.ry, self.x, self.xo, p, h)
+            p, c, h = p[ok], c[ok], h[ok]
+        n, out = self.length, []
+        near = np.arange(-n + 1, n)
+
+        def taken(z, zo, at, q):
+            i = at[:, None] + near
+            ok = (i >= 0) & (i < np.diff(zo)[q][:, None])
+            return z[np.clip(i + zo[q][:, None], 0, len(z) - 1)], ok
+
+        for lo in range(0, len(p), step):
+            part = slice(lo, lo + step)
+            (a, va), (b, vb) = taken(self.x, self.xo, c[part], p[part]), taken(self.y, self.yo, h[part], p[part])
+            same = (a[:, :, None] == b[:, None, :]) & va[:, :, None] & vb[:, None, :]
+            sums = np.zeros((len(a), 2 * n, 2 * n), np.int32)
+            sums[:, 1:, 1:] = same.cumsum(1).cumsum(2)
+            both = sums[:, n:, n:] - sums[:, :n, n:] - sums[:, n:, :n] + sums[:, :n, :n]
+            # a window whose ends are inside the text is inside it
+            fit = (va[:, :n] & va[:, n - 1 :])[:, :, None] & (vb[:, :n] & vb[:, n - 1 :])[:, None, :]
+            hit = fit & (self.den * both >= self.num * (2 * n - both))
+            for i in range(len(a)):
+                q, at, other = int(p[lo + i]), int(c[lo + i]), int(h[lo + i])
+                if len(np.unique(a[i][va[i]])) < va[i].sum() or len(np.unique(b[i][vb[i]])) < vb[i].sum():
+                    hit[i] = self._exact(a[i], b[i], both[i], fit[i])
+                s, t = np.nonzero(hit[i])
+                if len(s):
+                    s, t = s + at - n + 1, t + other - n + 1
+                    out.append((q, int(s.min()), int(s.max()) + n, int(t.min()), int(t.max()) + n))
+        return out
+
+    def _exact(self, a, b, both, fit):
+        """As sets, where tokens repeat; windows whose sizes or common tokens rule it out are not looked at."""
+        n = self.length
+        size = lambda z: np.array([len(set(z[i : i + n].tolist())) for i in range(n)])
+        da, db = size(a)[:, None], size(b)[None, :]
+        hit = fit & ((self.num + self.den) * both >= self.num * (da + db)) & (self.num * np.maximum(da, db) <= self.den * np.minimum(da, db))
+        for s, t in np.argwhere(hit).tolist():
+            hit[s, t] = _similar(a[s : s + n], b[t : t + n], self.num, self.den)
+        return hit
 
 
-def _near_batches(batches, shingle, length):
-    """The shingles of a document that a comparison at one of its open windows can reach."""
-    reach = length + SLACK
+def _verify_batches(batches, shingle, length, num, den):
     for batch in batches:
-        out = []
-        for doc, x, cs in zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), batch.column("open").to_pylist()):
-            edge = np.zeros(len(x) + 1, np.int64)
-            c = np.array([w["c"] for w in cs], np.int64)
-            np.add.at(edge, np.maximum(c - reach, 0), 1)
-            np.add.at(edge, np.minimum(c + reach + 1, len(x)), -1)
-            near = np.unique(x[np.cumsum(edge[:-1]) > 0])
-            out.append((np.full(len(near), doc, np.int64), near.view(np.int64)))
+        offsets = [W.text_buffers(batch.column(t))[1] for t in ("ta", "tb")]
+        # a few texts at a time, so that what is held does not grow with the batch
+        for lo, hi in W.pieces(sum(o - o[0] for o in offsets), 8 * W.CHUNK):
+            part = batch.slice(lo, hi - lo)
+            p, mine, theirs = _flat(part.column("anchors"), "place", "other")
+            found = Verifier(part.column("ta"), part.column("tb"), shingle, length, num, den).passages(p, mine >> 2 * REACH_BITS, theirs >> 2 * REACH_BITS)
+            if found:
+                i, *spans = (np.array(q) for q in zip(*found))
+                more = (0, shingle - 1, 0, shingle - 1)
+                yield pa.RecordBatch.from_arrays([part.column(n).take(pa.array(i)) for n in ("doc", "head")] + [pa.array((q + e).astype(np.int32)) for q, e in zip(spans, more)], ["doc", "other", "first", "end", "o_first", "o_end"])
+
+
+def _agreeing_starts(places, length, agree, size):
+    """The windows of one text that overlap with enough others at some start."""
+    _, s0, s1 = _unpacked(places, length)
+    edge = np.zeros(size + length + 2, np.int64)
+    np.add.at(edge, s0, 1)
+    np.add.at(edge, s1 + 1, -1)
+    many = np.concatenate(([0], np.cumsum(np.cumsum(edge) >= agree)))
+    return many[s1 + 1] > many[s0]
+
+
+def _near_batches(batches, shingle, length, agree):
+    """The shingles of a text that a comparison at one of its open windows can reach."""
+    for batch in batches:
+        x, offsets = _tokens(batch.column("text"), shingle)
+        row, places = _flat(batch.column("open"), "place")
+        cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
+        docs, out = batch.column("doc").to_pylist(), []
+        for i, doc in enumerate(docs):
+            mine, own = places[cuts[i] : cuts[i + 1]], x[offsets[i] : offsets[i + 1]]
+            mine = mine[_agreeing_starts(mine, length, agree, len(own))]
+            if len(mine):
+                c, edge = mine >> 2 * REACH_BITS, np.zeros(len(own) + 1, np.int64)
+                np.add.at(edge, np.maximum(c - length + 1, 0), 1)
+                np.add.at(edge, np.minimum(c + length, len(own)), -1)
+                near = np.unique(own[np.cumsum(edge[:-1]) > 0])
+                out.append((np.full(len(near), doc, np.int64), near.view(np.int64)))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "x"])
 
 
-def _possible_batches(batches, shingle, length, num, den):
-    """The open windows with enough shingles that other documents have near their open windows.
+def _possible_batches(batches, shingle, length, num, den, agree):
+    """The open windows with enough shingles that other texts have near their open windows.
 
     Similar sets share at least num/den of either. A window that repeats a shingle is let through.
     """
     least = -(-num * length // den)
     for batch in batches:
-        out = []
-        rows = zip(batch.column("doc_id").to_pylist(), _rows(batch.column("text"), shingle), batch.column("open").to_pylist(), batch.column("common").to_pylist())
-        for doc, x, opens, common in rows:
-            got = np.concatenate(([0], np.cumsum(np.isin(x.view(np.int64), np.array(common or [], np.int64)))))
-            many = got[length:] - got[:-length] >= least
-            for w in opens:
-                c, l, r = w["c"], w["l"], w["r"]
-                if many[l : r - length + 2].any() or len(np.unique(x[l : r + 1])) < r + 1 - l:
-                    out.append((doc, c, l, r))
+        x, offsets = _tokens(batch.column("text"), shingle)
+        repeats = _near_repeats(x, offsets, length)
+        row, places = _flat(batch.column("open"), "place")
+        cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
+        docs, commons, out = batch.column("doc").to_pylist(), batch.column("common"), []
+        for i, doc in enumerate(docs):
+            mine, own = places[cuts[i] : cuts[i + 1]], x[offsets[i] : offsets[i + 1]]
+            mine = mine[_agreeing_starts(mine, length, agree, len(own))]
+            if not len(mine):
+                continue
+            shared = commons[i].values
+            shared = np.zeros(0, np.int64) if shared is None else shared.to_numpy(zero_copy_only=False)
+            run = np.concatenate(([0], np.cumsum(np.isin(own.view(np.int64), shared))))
+            at = repeats[offsets[i] : offsets[i + 1] + 1]
+            good = (run[length:] - run[:-length] >= least) | (at[length:] > at[:-length])
+            good = np.concatenate(([0], np.cumsum(good)))
+            c = mine >> 2 * REACH_BITS
+            keep = mine[good[np.clip(c + 1, 0, len(good) - 1)] > good[np.clip(c - length + 1, 0, len(good) - 1)]]
+            out.append((np.full(len(keep), doc, np.int64), keep))
         if out:
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(q, pa.int32()) for q in cols[1:]]], ["doc", "c", "l", "r"])
-
-
-def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4, heads=2):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "place"])
+
+
+def distinct_texts(docs):
+    """(doc, text) of each distinct text, under its least id; and (doc_id, doc) of all rows, with n_copies and n_words."""
+    row = docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("d"), F.size(F.expr("filter(split(text, '[ \\\\x09-\\\\x0D]+'), x -> x != '')")).alias("n_words"))
+    row = materialize(row, "rows")
+    own = row.groupBy("d").agg(F.min("doc_id").alias("least"), F.count_distinct("doc_id").alias("n_copies"), F.max("n_words").alias("n_words"))
+    # an id under which different texts are the least ones names only one of them
+    again = own.groupBy("least").agg(F.min("d").alias("first"), F.count("*").alias("n")).where("n > 1").select("least", "first")
+    doc = F.when(F.col("d") != F.col("first"), F.xxhash64("d", "least")).otherwise(F.col("least")).alias("doc")
+    named = own.join(small_or_not(again), "least", "left").select("d", "least", "n_copies", "n_words", doc)
+    members = materialize(row.select("doc_id", "d").distinct().join(named, "d"), "members")
+    keyed = docs.withColumn("d", F.unhex(F.md5(F.col("text").cast("binary"))))
+    # most texts stand alone: only what differs is joined
+    gone = members.where("doc_id <> least").select("doc_id", "d").distinct()
+    renamed = members.where("doc_id = least and doc <> least").select("doc_id", "d", "doc").distinct()
+    kept = keyed.join(small_or_not(gone), ["doc_id", "d"], "left_anti").join(small_or_not(renamed), ["doc_id", "d"], "left")
+    return kept.select(F.coalesce("doc", "doc_id").alias("doc"), "text"), members.select("doc_id", "doc", "n_copies", "n_words")
+
+
+def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=6, agree=2, heads=2):
     """doc_id, first_word, end_word, class_id, n_links of every passage that other documents have too."""
     spark = docs.sparkSession
     ship_package(spark)
     length = min_words - shingle + 1
+    if not 0 < length < 1 << REACH_BITS:
+        raise ValueError(f"min_words must leave 1 to {(1 << REACH_BITS) - 1} shingles")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-
-    def grouped(keyed, name):
-        """Windows whose key another document has, beside the first document's window."""
-        dealt = keyed.repartition("key")
-        # all columns take part, so that both sides of the join read one shuffle
-        heads = dealt.groupBy("key").agg(F.min(F.struct("doc", "c", "l", "r")).alias("head"), F.max("doc").alias("most")).where("head.doc <> most")
-        return materialize(dealt.join(heads, "key").select("key", "doc", "l", "r", "c", F.col("head.doc").alias("head"), F.col("head.c").alias("hc")), name)
-
-    members = grouped(docs.mapInArrow(lambda it: _window_batches(it, shingle, length, pairs), WINDOW), "windows")
-    texts = materialize(docs.join(small_or_not(members.select(F.col("doc").alias("doc_id")).distinct()), "doc_id", "left_semi"), "texts")
-
-    def verified(pairs, name):
-        """Passages that pairs (doc, c, l, r, head, hc) of windows have in common."""
-        anchors = pairs.where("doc <> head").groupBy("doc", "head").agg(F.collect_set(F.struct("c", "hc", "l", "r")).alias("anchors"))
-        joined = anchors.join(texts.select(F.col("doc_id").alias("doc"), F.col("text").alias("ta")), "doc").join(texts.select(F.col("doc_id").alias("head"), F.col("text").alias("tb")), "head")
-        return materialize(joined.mapInArrow(lambda it: _verify_batches(it, shingle, length, num, den), LINKS), name)
-
-    def grouped_nodes(links):
-        """Overlapping spans of a document joined into nodes, and the smallest node reachable: node (doc, first word), end, g."""
-        spans = links.select("doc", "first", "end").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("o_end").alias("end"))).distinct()
+    units, copies = distinct_texts(docs)
+    # equal texts share all of their words; texts that are one row each need no row here
+    whole = copies.where(f"n_copies > 1 and n_words >= {min_words}").select("doc", F.lit(0).alias("first"), F.col("n_words").cast("int").alias("end")).distinct()
+
+    windows = lambda d: d.mapInArrow(lambda it: _window_batches(it, shingle, length, functions), WINDOW)
+    crowded = crowded_ranges(windows(units.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")))
+    members = materialize(shared_members(windows(units), "doc", ("doc", "place"), crowded), "windows")
+
+    def verified(pairs, agree, name):
+        """Passages that pairs (doc, place, head, other) of windows have in common."""
+        anchors = pairs.where("doc <> head").groupBy("doc", "head").agg(F.collect_set(F.struct("place", "other")).alias("anchors"))
+        if agree > 1:
+            anchors = anchors.where(F.size("anchors") >= agree).mapInArrow(lambda it: _agreeing_batches(it, length, agree), anchors.schema)
+        anchors = materialize(anchors, "anchors")
+        text = lambda c, t: units.join(small_or_not(anchors.select(F.col(c).alias("doc")).distinct()), "doc", "left_semi").select(F.col("doc").alias(c), F.col("text").alias(t))
+        joined = anchors.join(text("doc", "ta"), "doc").join(text("head", "tb"), "head")
+        found = materialize(joined.mapInArrow(lambda it: _verify_batches(it, shingle, length, num, den), LINKS), name)
+        discard(anchors)
+        return found
+
+    def grouped(links):
+        """Overlapping spans of a text joined into nodes, and the smallest node reachable: node (doc, first word), end, g."""
+        spans = links.select("doc", "first", "end").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("o_end").alias("end"))).unionByName(whole).distinct()
         order = Window.partitionBy("doc").orderBy("first", "end")
         reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
         nth = F.sum(F.when(F.col("first") < F.coalesce(reach, F.lit(-1)), 0).otherwise(1)).over(order)
@@ -228,58 +483,59 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, pairs=4, h
         mine = spans.select("doc", "first", "end", F.col("node").alias("u"))
         theirs = spans.select(F.col("doc").alias("other"), F.col("first").alias("o_first"), F.col("end").alias("o_end"), F.col("node").alias("v"))
         groups = components(links.join(mine, ["doc", "first", "end"]).join(theirs, ["other", "o_first", "o_end"]).select("u", "v"))
-        nodes = spans.select("node", "b").distinct().join(groups.withColumnRenamed("id", "node"), "node")
-        return materialize(nodes.select("node", "b", F.col("component").alias("g")), "groups")
+        nodes = spans.select("node", "b").distinct().join(groups.withColumnRenamed("id", "node"), "node", "left")
+        nodes = materialize(nodes.select("node", "b", F.coalesce("component", "node").alias("g")), "groups")
+        discard(spans)
+        return nodes
 
     def spanning(members, nodes, name):
         """The windows of buckets that still hold different groups, with their group; an uncovered window is in none."""
         cover = nodes.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("node.a").alias("a"), "b", "g")).alias("cover"))
-        inside = F.expr("get(filter(cover, s -> c >= s.a and c < s.b), 0).g")
-        g = members.join(cover, "doc", "left").select("key", "doc", "l", "r", "c", F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
-        dealt = g.repartition("key")
-        open_ = dealt.groupBy("key").agg(F.min(F.struct("g", "doc")).alias("lo"), F.max(F.struct("g", "doc")).alias("hi")).where("lo.g <> hi.g").select("key")
-        return materialize(dealt.join(open_, "key"), name)
-
-    links = verified(members, "spans")
-    covered = grouped_nodes(links)
-    cover = covered.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("node.a").alias("a"), "b")).alias("cover"))
-    open_ = members.join(cover, "doc", "left").where("cover is null or not exists(cover, s -> c >= s.a and c < s.b)")
-    open_ = open_.groupBy("doc").agg(F.collect_set(F.struct("c", "l", "r")).alias("open"))
-    finer = texts.join(open_, texts.doc_id == open_.doc).select("doc_id", "text", "open").mapInArrow(lambda it: _finer_batches(it, shingle, length), WINDOW)
-    links = links.unionByName(verified(grouped(finer, "finer"), "spans"))
-    nodes = grouped_nodes(links)
-
-    left = spanning(members, nodes, "open")
+        c = f"shiftright(place, {2 * REACH_BITS})"
+        inside = F.expr(f"get(filter(cover, s -> {c} >= s.a and {c} < s.b), 0).g")
+        g = members.join(cover, "doc", "left").select("key", "doc", "place", F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
+        g = materialize(g, "marked")
+        open_ = g.groupBy("key").agg(F.min(F.struct("g", "doc")).alias("lo"), F.max(F.struct("g", "doc")).alias("hi")).where("lo.g <> hi.g").select("key")
+        open_ = materialize(g.join(open_, "key"), name)
+        discard(g)
+        return open_
+
+    links = verified(members.select("doc", "place", F.col("head.doc").alias("head"), F.col("head.place").alias("other")), agree, "spans")
+    nodes = grouped(links)
+
+    left = spanning(members.select("key", "doc", "place"), nodes, "open")
+    discard(members)
     if not left.isEmpty():
-        opens = left.groupBy("doc").agg(F.collect_set(F.struct("c", "l", "r")).alias("open"))
-        opens = materialize(texts.join(opens, texts.doc_id == opens.doc).select("doc_id", "text", "open"), "opens")
-        each = opens.mapInArrow(lambda it: _near_batches(it, shingle, length), "doc long, x long").repartition("x")
+        opens = left.groupBy("doc").agg(F.collect_set(F.struct("place")).alias("open"))
+        opens = materialize(units.join(opens, "doc").select("doc", "text", "open"), "opens")
+        each = opens.mapInArrow(lambda it: _near_batches(it, shingle, length, agree), "doc long, x long")
         shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
-        common = each.join(shared, "x", "left_semi").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("x").alias("common"))
-        possible = opens.join(common, "doc_id", "left").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, c int, l int, r int")
-        left = materialize(left.join(possible, ["doc", "c", "l", "r"]), "possible")
-        again = None
+        common = each.join(shared, "x", "left_semi").groupBy("doc").agg(F.collect_list("x").alias("common"))
+        possible = opens.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den, agree), "doc long, place long")
+        kept = materialize(left.join(possible, ["doc", "place"]), "possible")
+        discard(opens, left)
+        left = kept
         for turn in range(heads):
             # another member of each open bucket takes the part of its head
-            pick = left.groupBy("key").agg(F.min_by(F.struct("doc", "c", "g"), F.xxhash64(F.lit(turn), "key", "doc", "c")).alias("p"))
-            pairs = left.join(pick, "key").where("g <> p.g").select("doc", "c", "l", "r", F.col("p.doc").alias("head"), F.col("p.c").alias("hc"))
-            again = verified(pairs, "spans")
+            pick = left.groupBy("key").agg(F.min_by(F.struct("doc", "place", "g"), F.xxhash64(F.lit(turn), "key", "doc", "place")).alias("p"))
+            pairs = left.join(pick, "key").where("g <> p.g").select("doc", "place", F.col("p.doc").alias("head"), F.col("p.place").alias("other"))
+            again = verified(pairs, 1, "spans")
             if again.isEmpty():
                 continue
             links = links.unionByName(again)
-            nodes = grouped_nodes(links)
-            left = spanning(left.drop("g"), nodes, "open")
+            nodes = grouped(links)
+            kept = spanning(left.drop("g"), nodes, "open")
+            discard(left)
+            left = kept
         # what is left: every pair of windows of a bucket that are in different groups, once a pair
         main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
         light = left.join(main, "key").where("g <> main").drop("main")
-        rest = left.select("key", F.col("doc").alias("head"), F.col("c").alias("hc"), F.col("g").alias("hg"))
-        pairs = light.join(rest, "key").where("g <> hg and doc <> head")
-        again = verified(pairs, "spans")
+        rest = left.select("key", F.col("doc").alias("head"), F.col("place").alias("other"), F.col("g").alias("hg"))
+        again = verified(light.join(rest, "key").where("g <> hg and doc <> head").select("doc", "place", "head", "other"), 1, "spans")
         if not again.isEmpty():
-            links = links.unionByName(again)
-            nodes = grouped_nodes(links)
+            nodes = grouped(links.unionByName(again))
 
-    # one row a class, which its passages join
-    sizes = nodes.groupBy("g").agg((F.count_distinct("node.doc") - 1).alias("n_links"))
-    out = nodes.join(sizes, "g")
-    return out.select(F.col("node.doc").alias("doc_id"), F.col("node.a").alias("first_word"), F.col("b").alias("end_word"), F.col("g.doc").alias("class_id"), "n_links")
+    # back to documents: one row a class, which its passages join
+    rows = nodes.join(copies.select("doc_id", "doc").distinct(), F.col("node.doc") == F.col("doc"))
+    sizes = rows.groupBy("g").agg(F.min("doc_id").alias("class_id"), (F.count_distinct("doc_id") - 1).alias("n_links")).where("n_links > 0")
+    return rows.join(sizes, "g").select("doc_id", F.col("node.a").alias("first_word"), F.col("b").alias("end_word"), "class_id", "n_links")

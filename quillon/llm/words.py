@@ -49,6 +49,11 @@ class _Powers:
 _powers = _Powers()
 
 
+def powers(n):
+    """The first n powers of an odd number and of its inverse, for hashes of ranges by prefix sums."""
+    return _powers.upto(n)
+
+
 @dataclass
 class Chunk:
     """Rows lo..hi of a batch: bytes, byte offsets by row, word bounds and hashes, word offsets by row."""
