@@ -4,6 +4,8 @@ Texts are lower-cased and cut into words at spaces and ASCII punctuation. An ite
 an error budget k = floor(rate * m), lowered so that its k + 1 pieces have min_piece words at
 least. With k edits or fewer some piece occurs unchanged, so exact piece hits find every
 candidate; each is verified by Myers' bit-parallel distance of the whole item to the words there.
+The span of a hit is the place of fewest edits that ends first; a second pass from that end back
+over the reversed item gives its start.
 
 The benchmark is a stated query set: it is taken in blocks of bounded size, each block matched in
 one pass over all documents without a join or shuffle. Items without words match nothing; null or
@@ -34,8 +36,8 @@ def budget(m, rate, min_piece):
     return max(0, min(int(rate * m), m // min_piece - 1))
 
 
-def myers_end(peq, m, text):
-    """Least edit distance of the pattern to a substring of text, and where that ends."""
+def myers_end(peq, m, text, anchored=False):
+    """Least edit distance of the pattern to a substring of text, or to a prefix (anchored), and where it first ends."""
     full, top = (1 << m) - 1, 1 << (m - 1)
     pv, mv, score, best, end = full, 0, m, m, 0
     for j, w in enumerate(text):
@@ -48,13 +50,26 @@ def myers_end(peq, m, text):
             score += 1
         elif mh & top:
             score -= 1
-        ph, mh = ph << 1 & full, mh << 1 & full
+        ph, mh = (ph << 1 | anchored) & full, mh << 1 & full
         pv, mv = mh | ~(xv | ph) & full, ph & xv
         if score < best:
             best, end = score, j + 1
     return best, end
 
 
+def myers_span(peq, back, m, text):
+    """Least edit distance to a substring of text, and the shortest such substring that ends first; back is of the reversed pattern."""
+    edits, end = myers_end(peq, m, text)
+    return edits, end - myers_end(back, m, text[:end][::-1], True)[1], end
+
+
+def positions(words):
+    peq = {}
+    for i, w in enumerate(words):
+        peq[w] = peq.get(w, 0) | 1 << i
+    return peq
+
+
 class Items:
     """One block of items: piece hashes by length, and each item's words for verification."""
 
@@ -67,11 +82,8 @@ class Items:
                 if not len(h):
                     continue
                 k = budget(len(h), rate, min_piece)
-                peq = {}
-                for i, w in enumerate(h.tolist()):
-                    peq[w] = peq.get(w, 0) | 1 << i
                 at = len(self.items)
-                self.items.append((ids[c.lo + r], len(h), k, peq))
+                self.items.append((ids[c.lo + r], len(h), k, positions(h.tolist()), positions(h[::-1].tolist())))
                 cuts = [len(h) * i // (k + 1) for i in range(k + 2)]
                 for a, b in zip(cuts, cuts[1:]):
                     by_length.setdefault(b - a, []).append((int(W.windows(h[a:b], b - a)[0]), at, a))
@@ -84,7 +96,7 @@ class Items:
             self.pieces[n] = keys, bits, [f[1:] for f in found]
 
     def hits(self, c):
-        """(row, item, edits, first word, end word) of every contained item, once a row and item."""
+        """By (row, item) of every contained item: (edits, end word, first word)."""
         out, h = {}, c.hashes
         longest = max(self.pieces, default=0)
         w = h
@@ -105,13 +117,17 @@ class Items:
                 while i < len(keys) and keys[i] == w[p]:
                     at, offset = where[i]
                     i += 1
-                    _, m, k, peq = self.items[at]
+                    _, m, k, peq, back = self.items[at]
                     a, b = max(lo, p - offset - k), min(hi, p - offset + m + k)
-                    if out.get((row, at), (m + 1,))[0] == 0:
+                    known = out.get((row, at), (m + 1, 0))
+                    # what lies here unedited ends no sooner; what ends sooner has pieces of its own
+                    if known[0] == 0 and known[1] <= p - offset - lo + m:
                         continue
-                    edits, end = myers_end(peq, m, h[a:b].tolist())
-                    if edits <= k and edits < out.get((row, at), (m + 1,))[0]:
-                        out[row, at] = edits, int(a - lo), int(a - lo) + end
+                    edits, start, end = myers_span(peq, back, m, h[a:b].tolist())
+                    # the fewest edits, then the first to end in the text
+                    got = edits, int(a - lo) + end, int(a - lo) + start
+                    if edits <= k and got < known:
+                        out[row, at] = got
         return out
 
 
@@ -119,7 +135,7 @@ def _find(batches, items):
     for batch in batches:
         rows = []
         for c in word_chunks(batch.column("text")):
-            rows += [(c.lo + r, items.items[at][0], *x) for (r, at), x in items.hits(c).items()]
+            rows += [(c.lo + r, items.items[at][0], edits, first, end) for (r, at), (edits, end, first) in items.hits(c).items()]
         if rows:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()).take(pa.array(cols[0])), *[pa.array(x, pa.int64()) for x in cols[1:]]], ["doc_id", "item_id", "edits", "first_word", "end_word"])

@@ -2,7 +2,7 @@
 
 Texts are lower-cased; byte trigrams inside and at the edges of letter runs are hashed to `DIM`
 counts, damped, weighted by inverse document frequency and normalised. Each language of a
-bounded training sample is split into centroids by spherical k-means. A text gets the language
+bounded training sample, of every language that has a row, is split into centroids by spherical k-means. A text gets the language
 of the nearest centroid by cosine; it is also marked rejected when it lies farther from that
 centroid than nearly all of the language's training texts.
 
@@ -17,12 +17,15 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from quillon.llm import words as W
+from quillon.llm.near_dedup import small_or_not
 from quillon.llm.quality import held_out
 from quillon.session import ship_package
 
 DIM = 4096
-#: Training texts of all languages together, at most about so many.
-SAMPLE_ROWS = 3000
+#: Training texts of all languages together, about so many at most, but LEAST of each language that has them.
+SAMPLE_ROWS, LEAST = 3000, 12
+#: Texts whose dense counts (16 KB each) are held at once.
+ROWS = 512
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
@@ -31,7 +34,7 @@ _FOLD[128:] = np.arange(128, 256)
 def counts(column):
     """(first row, matrix of damped trigram counts) for parts of a text column."""
     data, offsets = W.text_buffers(pc.utf8_lower(column.cast(pa.large_string())))
-    for lo, hi in W.pieces(offsets):
+    for lo, hi in W.pieces(offsets, rows=ROWS):
         b = _FOLD[data[offsets[lo] : offsets[hi]]].astype(np.uint32)
         offs = offsets[lo : hi + 1] - offsets[lo]
         n = hi - lo
@@ -95,7 +98,7 @@ class Centroids:
 
     def predict(self, tf, sharpness=20.0):
         cos = _unit(tf * self.idf) @ self.c.T
-        by = np.stack([cos[:, self.of == i].max(1) for i in range(len(self.langs))], 1)
+        by = np.maximum.reduceat(cos, np.flatnonzero(np.diff(self.of, prepend=-1)), 1)
         best = by.argmax(1)
         e = np.exp(sharpness * (by - by.max(1, keepdims=True)))
         near = cos.argmax(1)
@@ -116,16 +119,18 @@ def _predict_batches(batches, model):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lang, pa.string()), pa.array(score), pa.array(reject)], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
 
-def fit(docs, centroids=4, sample_rows=SAMPLE_ROWS, reject_share=0.001):
-    """Centroids from about sample_rows texts, evenly by language, outside the held-out fifth."""
+def fit(docs, centroids=4, sample_rows=SAMPLE_ROWS, reject_share=0.001, least=LEAST):
+    """Centroids of every language, from about sample_rows texts, evenly by language, outside the held-out fifth.
+
+    A language has `least` texts at least, where it has them, however many languages there are.
+    """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")).where(F.col("lang").isNotNull() & ~held_out("doc_id"))
-    by = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows // 10).collect())
-    if not by:
-        return None
-    each = sample_rows // len(by)
-    share = F.element_at(F.create_map(*[F.lit(v) for k, n in by.items() for v in (k, min(1.0, each / n))]), F.col("lang"))
-    chosen = rows.where(F.col("lang").isin(list(by)) & (F.expr("pmod(xxhash64(doc_id, 11), 1000000)") < share * 1_000_000))
+    by = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # every text of a language counts when it has few; twice `least` are drawn, so that `least` are there
+    each = max(sample_rows // max(by.count(), 1), 2 * least)
+    by = small_or_not(by.withColumn("share", F.least(F.lit(1.0), each / F.col("n"))))
+    chosen = rows.join(by, "lang").where(F.expr("pmod(xxhash64(doc_id, 11), 1000000) < share * 1000000"))
     got = chosen.select("lang", "text").mapInArrow(_sample_batches, "lang string, tf binary").toArrow()
     langs, raw = got.column("lang").to_pylist(), got.column("tf").to_pylist()
     order = sorted(range(len(langs)), key=lambda i: (langs[i], raw[i]))

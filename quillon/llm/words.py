@@ -81,12 +81,12 @@ def text_buffers(column):
     return data, offsets
 
 
-def pieces(offsets, limit=CHUNK):
-    """Row ranges of about limit bytes; a longer text is a range of its own."""
+def pieces(offsets, limit=CHUNK, rows=None):
+    """Row ranges of about limit bytes, and of `rows` rows at most; a longer text is a range of its own."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1
-        hi = min(n, max(hi, lo + 1))
+        hi = min(n, max(hi, lo + 1), n if rows is None else lo + rows)
         yield lo, hi
         lo = hi
 

@@ -230,6 +230,55 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()) == [3, 4, 5]
 
 
+def brute_span(item, text, k):
+    """(edits, end, -start) over all substrings: fewest edits, first end, shortest; None beyond k."""
+    best = None
+    for start in range(len(text) + 1):
+        row = list(range(len(item) + 1))
+        cells = [(row[-1], start, -start)]
+        for j in range(start, len(text)):
+            new = [row[0] + 1]
+            for i, w in enumerate(item, 1):
+                new.append(min(row[i - 1] + (w != text[j]), row[i] + 1, new[i - 1] + 1))
+            row = new
+            cells.append((row[-1], j + 1, -start))
+        best = min([best, *cells] if best else cells)
+    return best if best[0] <= k else None
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(30)]
+    items = [list(rng.choice(words, n)) for n in (3, 10, 12, 20, 20, 25, 31)] + [["w1"] * 20]
+    rows = []
+    for d in range(120):
+        t = list(rng.choice(words, int(rng.integers(0, 25))))
+        for _ in range(int(rng.integers(0, 3))):
+            it = list(items[rng.integers(len(items))])
+            for _ in range(int(rng.integers(0, 4))):
+                at = int(rng.integers(len(it)))
+                it[at : at + 1] = [[], ["new"], [it[at], "more"]][rng.integers(3)]
+            t += it + list(rng.choice(words, int(rng.integers(0, 8))))
+        rows.append((d, " ".join(t), "x"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(i, " ".join(it), 1) for i, it in enumerate(items)], "item_id long, text string, edits int")
+    expect = set()
+    for d, t, _ in rows:
+        for i, it in enumerate(items):
+            got = brute_span(it, t.split(), decontaminate.budget(len(it), 0.1, 5))
+            if got:
+                expect.add((d, i, got[0], -got[2], got[1]))
+    assert {tuple(r) for r in decontaminate.find_items(df, bench).collect()} == expect
+    hit = {d for d, *_ in expect}
+    assert len(hit) > 40 and {r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()} == set(range(120)) - hit
+    # no items, a very long text, repeated rows
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.find_items(df, none).count() == 0 and decontaminate.drop_contaminated(df, none).count() == 120
+    long = "z " * 50_000 + " ".join(items[5])
+    twice = spark.createDataFrame([(1, long), (1, long)], "doc_id long, text string")
+    assert [tuple(r) for r in decontaminate.find_items(twice, bench).where("item_id = 5").collect()] == [(1, 5, 0, 50_000, 50_025)] * 2
+
+
 def test_language(spark):
     en, de = "the quick thing and then some other words with which they think", "der schnelle und dann noch andere worte mit denen sie denken ich"
     rows = [(i, " ".join(np.random.default_rng(i).permutation((en if i % 2 else de).split())), "en" if i % 2 else "de") for i in range(200)]
@@ -240,6 +289,38 @@ def test_language(spark):
     assert all(0 <= r.score <= 1 for r in got.values()) and got[5].held_out == (zlib.crc32(b"5") % 5 == 0)
 
 
+def test_language_equals_brute_force(spark):
+    """400 languages, each learned; labels and scores from the nearest centroid by a plain loop."""
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghijklmnopqrstuvwxyzäöüéèñçßøåπλθωждфц")
+    rows = []
+    for k in range(400):
+        words = ["".join(rng.choice(letters, 5)) for _ in range(12)]
+        rows += [(10 * k + i, " ".join(rng.choice(words, 20)), f"l{k:03d}") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert len(model.langs) == 400
+    got = language.predict(df, model).collect()
+    assert sum(r.lang_pred == f"l{r.doc_id // 10:03d}" for r in got if r.held_out) >= 0.99 * sum(r.held_out for r in got)
+    texts = {d: t for d, t, _ in rows}
+    for r in got[::97]:
+        tf = np.zeros(language.DIM)
+        for w in texts[r.doc_id].split():
+            ((_, x),) = language.counts(pa.array([f" {w} "]))
+            tf += np.expm1(x[0])
+        v = np.log1p(tf) * model.idf
+        cos = model.c @ (v / np.linalg.norm(v))
+        best = [max(c for c, o in zip(cos, model.of) if o == i) for i in range(400)]
+        e = np.exp(20 * (np.array(best) - max(best)))
+        assert r.lang_pred == model.langs[int(np.argmax(best))] and r.score == pytest.approx(1 / e.sum(), rel=1e-3)
+    twice = spark.createDataFrame([(1, rows[0][1], "x", 1), (1, rows[0][1], "y", 2)], "doc_id long, text string, lang string, score int")
+    assert len({tuple(r) for r in language.predict(twice, model).collect()}) == 1 and language.predict(twice, model).count() == 2
+
+
+def test_dense_counts_are_bounded():
+    assert max(len(x) for _, x in language.counts(pa.array(["short"] * 5000))) == language.ROWS
+
+
 def test_quality(spark):
     good, bad = "Some plain words make a sentence here. And another one follows it.", "THIS!! IS!! ALL!! SHOUTED!! ### $$$"
     rows = [(i, f"{good if i % 4 else bad} {i}") for i in range(200)] + [(900, None), (901, "")]
@@ -272,6 +353,25 @@ def test_secrets(spark, docs):
     assert secrets.trigram_query(r"[0-9a-f]{24,}") == [] and secrets.trigram_query("AKIA[A-Z0-9]+") == [[frozenset({"aki", "kia"})]]
 
 
+def test_trigram_index(spark, docs):
+    """Postings against a plain search, Boolean queries against the texts, candidates against the rules."""
+    wanted = secrets.index_trigrams()
+    texts = ["my token is", "TOKEN", "ssword pa", "-----begin rsa private key-----", "eyJabc.eyJ", "", None, "API_key", "apikey", "ghp_ aiza"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1, "TOKEN"), (None, "a Secret")], "doc_id long, text string")
+    index = secrets.postings(df)
+    expect = sorted((i or 0, t) for i, x in [*enumerate(texts), (1, "TOKEN"), (None, "a Secret")] for t in wanted if t in (x or "").lower())
+    assert sorted((r.k, r.trigram) for r in index.collect()) == expect
+    got = {r.k: [secrets.RULES[i].kind for i in r.rules] for r in secrets.candidates(index).collect()}
+    assert got == {0: ["assign"], 1: ["assign"], 3: ["private_key"], 4: ["web_token"], 7: ["assign"], 8: ["assign"], 9: ["repository_token", "map_key"]}
+    for rule in secrets.RULES:
+        assert secrets.scan(docs, [rule, secrets.RULES[2]]).count() == docs.count()
+
+
+@pytest.mark.parametrize("regex, runs", [("a[bc]?d", [{"abd", "acd", "ad"}]), ("(?i)(x|yz)+w", [{""}, {"w"}]), (r"q\x20r{2}", [{"q "}, {""}]), ("ab|cd", [{"ab", "cd"}]), ("a|b*", [])])
+def test_literal_runs(regex, runs):
+    assert secrets.literal_runs(regex) == runs
+
+
 def test_url_filter(spark):
     urls = ["http://WWW.a.net/x", "https://m.example.net/en/1", "http://b.example.com/de/", "http://q.org/fr/?x", "http://casino-1.com/", "http://casinos.com/", "http://free-bets.com/a", "http://free.com", "nothing", None, "http://x.net?y/", "http://q.org/FR/"]
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, host string")
