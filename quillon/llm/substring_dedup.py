@@ -235,10 +235,28 @@ class Verifier:
             out += found
             done[mine] = covered
         left = np.flatnonzero(~done)
+        if len(left):
+            left = left[~self._inside(out, p[left], c[left], h[left])]
         if len(left):
             out += self._around(p[left], c[left], h[left])
         return out
 
+    @staticmethod
+    def _inside(found, p, c, h):
+        """The anchors of which a passage of the same pair holds both ends, as in texts that repeat themselves."""
+        out = np.zeros(len(p), bool)
+        if found:
+            spans = np.array(found)
+            spans = spans[np.argsort(spans[:, 0], kind="stable")]
+            for i in np.unique(p):
+                q, a, b, ya, yb = spans[slice(*np.searchsorted(spans[:, 0], (i, i + 1)))].T
+                mine = np.flatnonzero(p == i)
+                for at in range(0, len(mine), 1000):
+                    m = mine[at : at + 1000]
+                    x, y = c[m][:, None], h[m][:, None]
+                    out[m] = ((x >= a) & (x < b) & (y >= ya) & (y < yb)).any(1)
+        return out
+
     def _along(self, q, move, lo, size, of, c):
         """Similar windows at equal places of one diagonal each; whether the anchors lie in one."""
         n, total = self.length, int(size.sum())
@@ -330,25 +348,35 @@ class Verifier:
             # a window whose ends are inside the text is inside it
             fit = (va[:, :n] & va[:, n - 1 :])[:, :, None] & (vb[:, :n] & vb[:, n - 1 :])[:, None, :]
             hit = fit & (self.den * both >= self.num * (2 * n - both))
-            for i in range(len(a)):
-                q, at, other = int(p[lo + i]), int(c[lo + i]), int(h[lo + i])
-                if len(np.unique(a[i][va[i]])) < va[i].sum() or len(np.unique(b[i][vb[i]])) < vb[i].sum():
-                    hit[i] = self._exact(a[i], b[i], both[i], fit[i])
+            earlier = [self._earlier(z, v) for z, v in ((a, va), (b, vb))]
+            odd = np.flatnonzero((earlier[0] >= 0).any(1) | (earlier[1] >= 0).any(1))
+            if len(odd):
+                hit[odd] = fit[odd] & self._sets(same[odd], *(e[odd] for e in earlier))
+            for i in np.flatnonzero(hit.any((1, 2))).tolist():
                 s, t = np.nonzero(hit[i])
-                if len(s):
-                    s, t = s + at - n + 1, t + other - n + 1
-                    out.append((q, int(s.min()), int(s.max()) + n, int(t.min()), int(t.max()) + n))
+                at, other = int(c[lo + i]) - n + 1, int(h[lo + i]) - n + 1
+                out.append((int(p[lo + i]), int(s.min()) + at, int(s.max()) + at + n, int(t.min()) + other, int(t.max()) + other + n))
         return out
 
-    def _exact(self, a, b, both, fit):
-        """As sets, where tokens repeat; windows whose sizes or common tokens rule it out are not looked at."""
+    @staticmethod
+    def _earlier(z, valid):
+        """The last place before each with the same token; -1 if none."""
+        i = np.arange(z.shape[1])
+        same = (z[:, :, None] == z[:, None, :]) & (i[:, None] > i[None, :]) & valid[:, :, None] & valid[:, None, :]
+        return np.where(same, i[None, None, :], -1).max(2)
+
+    def _sets(self, same, before_a, before_b):
+        """Whether windows are similar as sets: tokens count where they first stand in a window."""
         n = self.length
-        size = lambda z: np.array([len(set(z[i : i + n].tolist())) for i in range(n)])
-        da, db = size(a)[:, None], size(b)[None, :]
-        hit = fit & ((self.num + self.den) * both >= self.num * (da + db)) & (self.num * np.maximum(da, db) <= self.den * np.minimum(da, db))
-        for s, t in np.argwhere(hit).tolist():
-            hit[s, t] = _similar(a[s : s + n], b[t : t + n], self.num, self.den)
-        return hit
+        start, i = np.arange(n)[:, None], np.arange(2 * n - 1)[None, :]
+        window = (i >= start) & (i < start + n)
+        first_a, first_b = (window & (e[:, None, :] < start) for e in (before_a, before_b))
+        run = np.zeros((*same.shape[:2], 2 * n), np.int32)
+        np.cumsum(same, 2, out=run[:, :, 1:])
+        held = (run[:, :, n:] > run[:, :, :n]).astype(np.float32)
+        common = first_a.astype(np.float32) @ held
+        size = first_a.sum(2)[:, :, None] + first_b.sum(2)[:, None, :]
+        return (common > 0) & (self.den * common >= self.num * (size - common))
 
 
 def _verify_batches(batches, shingle, length, num, den):
