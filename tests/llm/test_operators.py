@@ -332,6 +332,30 @@ def test_quality(spark):
     assert quality.drop_rejected(df, model).where("doc_id < 200").count() == 150
 
 
+def test_quality_equals_brute_force(spark):
+    """Scores from the definition; worthless words in good layout rank below others; odd tables."""
+    rng = np.random.default_rng(2)
+    good, bad = [f"plain{i}" for i in range(60)], [f"filler{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(good if i % 3 else bad, 40)) + ".", i, "x") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality long, score string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 5.0) for i in range(400)] * 2, "doc_id long, quality int, text double")
+    model = quality.fit(df, labels)
+    got = quality.score(df, model).collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) >= 0.97 * len(held)
+    texts = {r[0]: r[1] for r in rows}
+    for r in got[::29]:
+        column = pa.array([texts[r.doc_id]])
+        x = np.concatenate([quality.features(column)[0], quality.word_shares(column)[0]])
+        worth = float(((x - model.center) / model.scale) @ model.w)
+        logit = np.log(0.3 / 0.7) + 2 * (worth - model.at) / model.spread
+        assert r.score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-5)
+    twice = df.where("doc_id = 7").unionAll(df.where("doc_id = 7"))
+    assert quality.score(twice, model).count() == 2 and quality.drop_rejected(twice, model).columns == df.columns
+    one_class = quality.fit(df, labels.where("quality = 1"))
+    assert {r.score for r in quality.score(df, one_class).collect()} == {0.3}
+
+
 def brute_spans(t):
     found = []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A):
