@@ -4,8 +4,8 @@ Targets: the words of all sources are shared by weight; a target stops at `cap`
 source's size and the excess is shared by weight again until none is above. Slot t of the
 schedule is a golden-ratio point frac(t * phi), which falls into one source's range of the
 cumulated targets; slots are ranked per source, and slot rank r of a source takes block r of its
-documents, shuffled by hash and cut into blocks of equal word counts. After all blocks the
-documents come round again in the same order, `cap` times at most.
+documents, shuffled by hash and cut into blocks of equal word counts, the same at every table
+size. After all blocks the documents come round again in the same order, `cap` times at most.
 
 Ranks and running word counts are two-level prefix sums: sums per (source, bucket) first, then
 windows inside small buckets, so a source with a third of all rows is never one window.
@@ -14,6 +14,8 @@ Null texts have size 0; null is a source of its own and comes last. Documents wi
 are taken 0 times. An empty table gives an empty result. Rows that repeat an id count each.
 """
 
+import math
+
 from pyspark.sql import Window, functions as F
 
 from quillon.session import materialize, ship_package
@@ -22,6 +24,11 @@ from quillon.session import materialize, ship_package
 PHI = 679_535_556_991
 WEIGHTS = (5, 2, 1)
 SPAN = 1 << 40
+HALF = 1 << 20
+#: Schedule point of slot t: frac(t * phi), multiplied in two halves so that nothing overflows.
+POINT = f"(t div {HALF}L % {HALF}L * {PHI * HALF % SPAN}L + t % {HALF}L * {PHI}L) % {SPAN}L"
+#: Words a block. A source's taken words differ from its target by a few blocks, however large the table.
+BLOCK = 16
 
 
 def word_count(text):
@@ -65,44 +72,51 @@ def _running(df, parts, order, value, buckets):
     return df.join(sums, cond).withColumn("before", F.col("_prior") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_prior", *[f"_{c}" for c in [*parts, buckets]])
 
 
-def mix(docs, weights=WEIGHTS, cap=3, slots=1 << 20, min_block=16, rows_a_bucket=2000, seed=1):
+def shuffle_key():
+    """A number below 2**60 that puts documents in their shuffled order."""
+    named = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def mix(docs, weights=WEIGHTS, cap=3, block=BLOCK, row_key=None):
     """One row per document: doc_id, size, source, source_size, target, taken (words, repeats counted).
 
-    A column named row, where docs has one, must tell the rows apart; it comes back. Blocks hold total/slots words, min_block at least, so a source's taken words differ from its
-    target by a few blocks.
+    row_key names a column that tells rows apart; it comes back under its own name.
     """
     spark = docs.sparkSession
-    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), row.alias("rid"))
+    rid = F.col(row_key) if row_key else F.monotonically_increasing_id()
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), rid.alias("rid"))
     # rid only tells rows alike apart, once it is written
-    sizes = materialize(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), "rid"), "sizes")
-    # its single row of whole-table sums sets the block length and the number of buckets
+    sizes = materialize(docs.select("doc_id", "source", word_count("text").alias("size"), shuffle_key().alias("h"), "rid"), "sizes")
+    # its single row of whole-table sums sets the number of slots and of buckets
     words, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    block = max(min_block, -(-words // slots))
     n_slots = -(-words // block)
     targets = materialize(source_targets(sizes, weights, cap), "targets")
     named = targets.select(F.col("source").alias("s"), "source_size", "target")
 
-    # schedule: slot t -> source -> rank among the source's slots
-    per = 4096
-    points = spark.range(n_slots).select(F.col("id").alias("t"), F.expr(f"pmod(id * {PHI}L, {SPAN}L)").alias("u"), F.expr(f"id div {per}").alias("chunk"))
+    # schedule: slot t -> source -> rank among the source's slots; as many chunks as slots in one
+    per = max(4096, math.isqrt(n_slots))
+    points = spark.range(n_slots).withColumnRenamed("id", "t").select("t", F.expr(POINT).alias("u"), F.expr(f"t div {per}").alias("chunk"))
     # a point meets only the ranges of its cell, so no product of slots and sources is made
     cells = lambda c: F.expr(f"{c} div {SPAN >> 12}L")
     ranges = targets.where("hi > lo").select(F.col("source").alias("s"), "lo", "hi", F.explode(F.sequence(cells("lo"), cells("(hi - 1)"))).alias("cell"))
     slots_ = points.withColumn("cell", cells("u")).join(ranges, "cell").where("u >= lo and u < hi").select("t", "chunk", "s", F.lit(1).alias("one"))
-    ranked = _running(slots_, ["s"], ["t"], "one", "chunk").select("s", F.col("before").alias("block"))
+    ranked = _running(slots_, ["s"], ["t"], "one", "chunk").select("s", F.col("before").alias("b"))
 
-    # blocks: documents in hash order, `cap` times round, cut every `block` words
-    some = max(1, -(-rows // rows_a_bucket))
-    shuffled = sizes.where("size > 0").withColumn("bucket", F.expr(f"shiftrightunsigned(h, 33) * {some}L div {1 << 31}L"))
+    # blocks: documents in hash order, round and round up to the target, cut every `block` words
+    some = -(-rows // max(2000, math.isqrt(rows)))
+    shuffled = sizes.where("size > 0").withColumn("bucket", F.expr(f"shiftright(h, 29) * {max(some, 1)}L div {1 << 31}L"))
     placed = _running(shuffled, ["source"], ["h", "doc_id", "rid"], "size", "bucket").join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    turns = placed.select("rid", "source", "size", "source_size", "before", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("turn")).withColumn("from", F.col("turn") * F.col("source_size") + F.col("before"))
+    turns = placed.select("rid", "source", "size", "target", F.explode(F.expr(f"transform(sequence(0, {cap - 1}), i -> i * source_size + before)")).alias("from"))
+    # the schedule gives a source its target's blocks and a few more or less; later ones meet no slot
+    turns = turns.where(f"`from` < target + 64 * {block}")
     parts = turns.withColumn("block", F.explode(F.expr(f"sequence(`from` div {block}L, (`from` + size - 1) div {block}L)")))
-    parts = parts.withColumn("part", F.expr(f"least(`from` + size, (block + 1) * {block}L) - greatest(`from`, block * {block}L)"))
-    used = parts.join(ranked.withColumnRenamed("block", "b"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left_semi")
+    parts = parts.select("rid", "source", "block", F.expr(f"least(`from` + size, (block + 1) * {block}L) - greatest(`from`, block * {block}L)").alias("part"))
+    used = parts.join(ranked, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left_semi")
     taken = used.groupBy("rid").agg(F.sum("part").alias("taken"))
     out = sizes.join(named, F.col("source").eqNullSafe(F.col("s"))).join(taken, "rid", "left")
-    return out.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("rid").alias("row"))
+    out = out.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *([F.col("rid").alias(row_key)] if row_key else []))
+    return out
 
 
 def apply_mix(docs, **options):
@@ -110,6 +124,29 @@ def apply_mix(docs, **options):
     spark = docs.sparkSession
     ship_package(spark)
     marked = materialize(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "mix-rows")
-    taken = mix(marked.select("doc.doc_id", "doc.source", "doc.text", "row"), **options)
+    taken = mix(marked.select("doc.doc_id", "doc.source", "doc.text", "row"), row_key="row", **options)
     copies = taken.where("size > 0").select("row", F.expr("(2 * taken + size) div (2 * size)").alias("copies")).where("copies > 0")
     return marked.join(copies, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
+
+
+def oracle(block=BLOCK):
+    """DuckDB SQL for mix over documents: a source's slots are counted, and its documents' words up to that are taken."""
+    point = POINT.replace(" div ", " // ").replace("L", "")
+    return f"""
+WITH d AS (SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')), 0) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '-' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
+by_ AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, 3 * source_size AS lim, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM by_),
+f AS (SELECT *, CAST(coalesce(sum(lim) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS full_, CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS open_ FROM w WINDOW o AS (ORDER BY lim / weight, source NULLS LAST)),
+g AS (SELECT *, (total - full_) * weight / open_ AS share FROM f),
+k AS (SELECT min(lim / weight) AS first_ FROM g WHERE lim > share),
+v AS (SELECT max(share / weight) AS level FROM g, k WHERE lim > share AND lim / weight = first_),
+t AS (SELECT source, source_size, total, CASE WHEN lim <= share THEN CAST(lim AS DOUBLE) ELSE level * weight END AS target FROM g LEFT JOIN v ON true),
+e AS (SELECT *, CASE WHEN total > 0 THEN least(CAST(round(sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / total * {SPAN}) AS BIGINT), {SPAN}) ELSE 0 END AS hi FROM t),
+r AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY source NULLS LAST), 0) AS lo FROM e),
+p AS (SELECT {point} AS u FROM (SELECT unnest(range(0, (CAST(sum(size) AS BIGINT) + {block - 1}) // {block})) AS t FROM d)),
+n AS (SELECT source, source_size, target, {block} * (SELECT count(*) FROM p WHERE u >= lo AND u < hi) AS words FROM r),
+s AS (SELECT d.*, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM d)
+SELECT doc_id, size, source_size, target,
+    CAST({' + '.join(f"greatest(0, least({i} * source_size + before + size, words) - ({i} * source_size + before))" for i in range(3))} AS BIGINT) AS taken
+FROM s JOIN n ON s.source IS NOT DISTINCT FROM n.source"""

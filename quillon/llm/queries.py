@@ -1,6 +1,5 @@
 """The queries of this subpackage and their SQL."""
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from quillon.llm import decontaminate, language, mixing, near_dedup, perplexity, quality, secrets, substring_dedup, token_files, url_filter
@@ -19,6 +18,8 @@ def op2_perplexity_rules(spark, sf_dir):
 
 
 def op3_token_files(spark, sf_dir):
+    import public_tokenizers
+
     return token_files.read_token_files(token_files.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
@@ -44,7 +45,7 @@ def op8_url_filter(spark, sf_dir):
 
 
 def op9_source_mixing(spark, sf_dir):
-    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source", "row")
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
 
 
 def op10_quality_classifier(spark, sf_dir):
@@ -57,4 +58,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op6_secret_scan": secrets.oracle(), "op8_url_filter": url_filter.oracle()}
+    return {"op6_secret_scan": secrets.oracle(), "op8_url_filter": url_filter.oracle(), "op9_source_mixing": mixing.oracle()}

@@ -439,6 +439,22 @@ def test_mixing(spark):
     assert set(mixing.apply_mix(df).columns) == set(df.columns)
 
 
+def test_mixing_equals_sql(spark, docs, empty):
+    """Every document's taken words, on awkward rows and with columns that clash."""
+    rows = [(i, f"s{i % 7}" if i % 11 else None, "w " * (i * 13 % 90), 5, i % 2, "b") for i in range(300)] + [(7, "s1", "two words", 5, 1, "b")] * 2 + [(None, "s1", None, 5, 1, "b"), (900, "rare", "x\x0by\fz", 5, 1, "b")]
+    odd = spark.createDataFrame(rows, "doc_id long, source string, text string, row long, size int, block string")
+    for df in (odd, docs, empty):
+        c = duckdb.connect()
+        c.register("rows_", df.select("doc_id", "source", "text").toArrow())
+        c.sql("create view documents as select * from rows_")
+        columns = ["doc_id", "size", "source_size", "target", "taken"]
+        expect = c.sql(f"select {', '.join(columns)} from ({mixing.oracle()})").fetchall()
+        assert sorted(map(repr, map(tuple, mixing.mix(df).select(columns).collect()))) == sorted(map(repr, expect))
+    # schedule points are the golden ratio's multiples, without overflow
+    got = spark.range(1).selectExpr(*[mixing.POINT.replace("t ", f"{t}L ") + f" AS c{i}" for i, t in enumerate((0, 1, 12345, 10**9, 2**41 + 5))]).first()
+    assert list(got) == [t * mixing.PHI % mixing.SPAN for t in (0, 1, 12345, 10**9, 2**41 + 5)]
+
+
 def test_sliding_minima():
     v = W.mix64(np.arange(1, 200, dtype=np.uint64) % np.uint64(37))
     got = substring_dedup.sliding_minima(v, 9)
