@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quillon.session import materialize
+from quillon.session import discard, materialize
 
 
 def _star(pairs, small):
@@ -27,8 +27,9 @@ def components(links):
     print_of = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003)).first()
     before = print_of(pairs)
     while before[0]:
-        pairs = materialize(_star(_star(pairs, False), True), "stars")
+        last, pairs = pairs, materialize(_star(_star(pairs, False), True), "stars")
         now = print_of(pairs)
+        discard(last)
         if now == before:
             break
         before = now

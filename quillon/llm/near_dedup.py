@@ -24,13 +24,16 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillon.llm import words as W
+from quillon.llm.buckets import crowded_ranges, shared_members
 from quillon.llm.components import components
-from quillon.session import materialize, ship_package
+from quillon.session import discard, materialize, ship_package
 
 U = W.U
 #: A broadcast id list has at most this many rows (16 bytes each and some overhead).
 BROADCAST_ROWS = 2_000_000
 SKETCH_BITS = 1024
+#: One set in so many shows which keys are crowded.
+SAMPLE = 16
 
 
 def _seeds(n, salt):
@@ -108,14 +111,13 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
     sig = materialize(docs.mapInArrow(lambda it: signature_batches(it, shingle, bundles, rows), "doc_id long, n long, h1 long, h2 long, left array<long>, right array<long>, sketch array<long>"), "signatures")
     classes = materialize(sig.where("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right"), F.first("sketch").alias("sketch")), "classes")
 
-    tables = (
-        classes.select("id", "n", F.posexplode("left").alias("i", "a"), "right")
-        .select("id", "n", "i", "a", F.posexplode("right").alias("j", "b"))
-        .select(F.xxhash64("i", "j", "a", "b").alias("key"), "id", "n")
-    )
-    dealt = tables.repartition("key")
-    heads = dealt.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head <> tail").select("key", "head")
-    members = materialize(dealt.join(heads, "key").select("key", "head", "id", "n"), "buckets")
+    def tables(rows):
+        pairs = rows.select("id", "n", F.posexplode("left").alias("i", "a"), "right").select("id", "n", "i", "a", F.posexplode("right").alias("j", "b"))
+        return pairs.select(F.xxhash64("i", "j", "a", "b").alias("key"), "id", "n")
+
+    crowded = crowded_ranges(tables(classes.where(f"pmod(xxhash64(id), {SAMPLE}) = 0")))
+    members = shared_members(tables(classes), "id", ("id",), crowded)
+    members = materialize(members.select("key", F.col("head.id").alias("head"), "id", "n"), "buckets")
 
     near = materialize(members.groupBy("id").agg(F.min("head").alias("head"), F.first("n").alias("n")), "candidates")
     texts = materialize(docs.join(small_or_not(near.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi"), "texts")
@@ -135,7 +137,7 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
         """
         ids = left.select(F.col("id").alias("doc_id"), "n").distinct()
         sets = texts.join(ids, "doc_id").select("doc_id", "text").mapInArrow(lambda it: _set_batches(it, shingle), "id long, shingles array<long>")
-        each = sets.select("id", F.explode("shingles").alias("x")).repartition("x")
+        each = sets.select("id", F.explode("shingles").alias("x"))
         common = each.groupBy("x").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("x")
         s = each.join(common, "x", "left_semi").groupBy("id").agg(F.count("*").alias("s"))
         return left.join(s.join(classes.select("id", "sketch"), "id"), "id").where(f"{den} * s >= {num} * n")
@@ -155,14 +157,17 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
         return materialize(g.join(open_, "key"), name)
 
     left = spanning(groups, "open")
+    done = [members, near, left, texts]
     if not left.isEmpty():
         left = materialize(with_shared(left), "bounded")
+        done.append(left)
         pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g", "s", "sketch"), F.xxhash64("key", "id")).alias("p"))
         second = left.join(pick, "key").where(possible("g", "p.g", "n", "p.n", "s", "p.s", "sketch", "p.sketch")).select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
         links = links.unionByName(materialize(verified(second), "verified"))
         groups = components(links)
         rest = spanning(groups, "open").join(left.select("id", "s").distinct(), "id")
         rest = materialize(rest.join(classes.select("id", "left", "right", "sketch"), "id"), "rest")
+        done.append(rest)
         if not rest.isEmpty():
             main = rest.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
             light = rest.join(main, "key").where("g <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("s").alias("sa"), F.col("left").alias("la"), F.col("right").alias("ra"), F.col("sketch").alias("ka"))
@@ -175,6 +180,7 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
             links = links.unionByName(materialize(verified(last), "verified"))
             groups = components(links)
 
+    discard(*done)
     labels = classes.select("n", "h1", "h2", "id").join(groups, "id", "left").select("n", "h1", "h2", F.coalesce("component", "id").alias("component"))
     out = sig.select("doc_id", "n", "h1", "h2").join(labels, ["n", "h1", "h2"], "left")
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
