@@ -6,6 +6,8 @@ schedule is a golden-ratio point frac(t * phi), which falls into one source's ra
 cumulated targets; slots are ranked per source, and slot rank r of a source takes block r of its
 documents, shuffled by hash and cut into blocks of equal word counts, the same at every table
 size. After all blocks the documents come round again in the same order, `cap` times at most.
+The points give a source its target to within a few blocks; its last blocks are then cut or added
+so that it takes its target to the word, however small it is.
 
 Ranks and running word counts are two-level prefix sums: sums per (source, bucket) first, then
 windows inside small buckets, so a source with a third of all rows is never one window.
@@ -27,7 +29,7 @@ SPAN = 1 << 40
 HALF = 1 << 20
 #: Schedule point of slot t: frac(t * phi), multiplied in two halves so that nothing overflows.
 POINT = f"(t div {HALF}L % {HALF}L * {PHI * HALF % SPAN}L + t % {HALF}L * {PHI}L) % {SPAN}L"
-#: Words a block. A source's taken words differ from its target by a few blocks, however large the table.
+#: Words a block.
 BLOCK = 16
 
 
@@ -91,8 +93,9 @@ def mix(docs, weights=WEIGHTS, cap=3, block=BLOCK, row_key=None):
     # its single row of whole-table sums sets the number of slots and of buckets
     words, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     n_slots = -(-words // block)
-    targets = materialize(source_targets(sizes, weights, cap), "targets")
-    named = targets.select(F.col("source").alias("s"), "source_size", "target")
+    end = F.least(F.round("target").cast("long"), F.col("source_size") * cap)
+    targets = materialize(source_targets(sizes, weights, cap).withColumn("end", end), "targets")
+    named = targets.select(F.col("source").alias("s"), "source_size", "target", "end")
 
     # schedule: slot t -> source -> rank among the source's slots; as many chunks as slots in one
     per = max(4096, math.isqrt(n_slots))
@@ -102,16 +105,21 @@ def mix(docs, weights=WEIGHTS, cap=3, block=BLOCK, row_key=None):
     ranges = targets.where("hi > lo").select(F.col("source").alias("s"), "lo", "hi", F.explode(F.sequence(cells("lo"), cells("(hi - 1)"))).alias("cell"))
     slots_ = points.withColumn("cell", cells("u")).join(ranges, "cell").where("u >= lo and u < hi").select("t", "chunk", "s", F.lit(1).alias("one"))
     ranked = _running(slots_, ["s"], ["t"], "one", "chunk").select("s", F.col("before").alias("b"))
+    # the points come within a few blocks of a target: too many are cut, missing ones are added
+    last = targets.select(F.col("source").alias("z"), (-F.floor(-F.col("end") / block)).cast("long").alias("last"))
+    ranked = ranked.join(F.broadcast(last), F.col("s").eqNullSafe(F.col("z"))).where("b < last").select("s", "b")
+    number = slots_.groupBy("s").agg(F.count("*").alias("n"))
+    short = last.join(number, F.col("z").eqNullSafe(F.col("s")), "left").where("coalesce(n, 0) < last")
+    ranked = ranked.unionByName(short.select(F.col("z").alias("s"), F.explode(F.expr("sequence(coalesce(n, 0), last - 1)")).alias("b")))
 
     # blocks: documents in hash order, round and round up to the target, cut every `block` words
     some = -(-rows // max(2000, math.isqrt(rows)))
     shuffled = sizes.where("size > 0").withColumn("bucket", F.expr(f"shiftright(h, 29) * {max(some, 1)}L div {1 << 31}L"))
     placed = _running(shuffled, ["source"], ["h", "doc_id", "rid"], "size", "bucket").join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    turns = placed.select("rid", "source", "size", "target", F.explode(F.expr(f"transform(sequence(0, {cap - 1}), i -> i * source_size + before)")).alias("from"))
-    # the schedule gives a source its target's blocks and a few more or less; later ones meet no slot
-    turns = turns.where(f"`from` < target + 64 * {block}")
-    parts = turns.withColumn("block", F.explode(F.expr(f"sequence(`from` div {block}L, (`from` + size - 1) div {block}L)")))
-    parts = parts.select("rid", "source", "block", F.expr(f"least(`from` + size, (block + 1) * {block}L) - greatest(`from`, block * {block}L)").alias("part"))
+    turns = placed.select("rid", "source", "size", "end", F.explode(F.expr(f"transform(sequence(0, {cap - 1}), i -> i * source_size + before)")).alias("from"))
+    turns = turns.where("`from` < end").withColumn("to", F.least(F.col("from") + F.col("size"), F.col("end")))
+    parts = turns.withColumn("block", F.explode(F.expr(f"sequence(`from` div {block}L, (`to` - 1) div {block}L)")))
+    parts = parts.select("rid", "source", "block", F.expr(f"least(`to`, (block + 1) * {block}L) - greatest(`from`, block * {block}L)").alias("part"))
     used = parts.join(ranked, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left_semi")
     taken = used.groupBy("rid").agg(F.sum("part").alias("taken"))
     out = sizes.join(named, F.col("source").eqNullSafe(F.col("s"))).join(taken, "rid", "left")
@@ -129,9 +137,8 @@ def apply_mix(docs, **options):
     return marked.join(copies, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
-def oracle(block=BLOCK):
-    """DuckDB SQL for mix over documents: a source's slots are counted, and its documents' words up to that are taken."""
-    point = POINT.replace(" div ", " // ").replace("L", "")
+def oracle():
+    """DuckDB SQL for mix over documents: a source's documents are taken in shuffled order up to its target."""
     return f"""
 WITH d AS (SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')), 0) AS BIGINT) AS size,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '-' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
@@ -142,10 +149,7 @@ g AS (SELECT *, (total - full_) * weight / open_ AS share FROM f),
 k AS (SELECT min(lim / weight) AS first_ FROM g WHERE lim > share),
 v AS (SELECT max(share / weight) AS level FROM g, k WHERE lim > share AND lim / weight = first_),
 t AS (SELECT source, source_size, total, CASE WHEN lim <= share THEN CAST(lim AS DOUBLE) ELSE level * weight END AS target FROM g LEFT JOIN v ON true),
-e AS (SELECT *, CASE WHEN total > 0 THEN least(CAST(round(sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / total * {SPAN}) AS BIGINT), {SPAN}) ELSE 0 END AS hi FROM t),
-r AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY source NULLS LAST), 0) AS lo FROM e),
-p AS (SELECT {point} AS u FROM (SELECT unnest(range(0, (CAST(sum(size) AS BIGINT) + {block - 1}) // {block})) AS t FROM d)),
-n AS (SELECT source, source_size, target, {block} * (SELECT count(*) FROM p WHERE u >= lo AND u < hi) AS words FROM r),
+n AS (SELECT source, source_size, target, least(CAST(round(target) AS BIGINT), 3 * source_size) AS words FROM t),
 s AS (SELECT d.*, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM d)
 SELECT doc_id, size, source_size, target,
     CAST({' + '.join(f"greatest(0, least({i} * source_size + before + size, words) - ({i} * source_size + before))" for i in range(3))} AS BIGINT) AS taken
