@@ -15,7 +15,7 @@ windows of `length` tokens that hold a shared minimum, at every offset, and a ve
 takes in all of them. Verified passages are contracted to groups, and buckets that still hold
 different groups are resolved: first windows are dropped that have too few shingles of any other
 open text to be similar to one, or in which fewer than `agree` functions have an open window, then
-the rest meet `heads` other members of their bucket, and finally all pairs of a bucket that are in
+the rest meet the members of their bucket that share most with others, `heads` times, and finally all pairs of a bucket that are in
 different groups are verified, so that no bucket's first member hides a link.
 
 Equal texts are one text in all of this and are brought back at the end.
@@ -342,6 +342,14 @@ class Verifier:
             part = slice(lo, lo + step)
             (a, va), (b, vb) = taken(self.x, self.xo, c[part], p[part]), taken(self.y, self.yo, h[part], p[part])
             same = (a[:, :, None] == b[:, None, :]) & va[:, :, None] & vb[:, None, :]
+            # most fail here: a window needs that many tokens that the other text has nearby
+            run = np.zeros((len(a), 2 * n), np.int64)
+            np.cumsum(same.any(2), 1, out=run[:, 1:])
+            repeat = np.array([len(np.unique(z)) < len(z) for z in a]) | np.array([len(np.unique(z)) < len(z) for z in b])
+            ok = np.flatnonzero(((run[:, n:] - run[:, :n]).max(1) >= self.need) | repeat)
+            if not len(ok):
+                continue
+            same, a, b, va, vb, which = same[ok], a[ok], b[ok], va[ok], vb[ok], ok + lo
             sums = np.zeros((len(a), 2 * n, 2 * n), np.int32)
             sums[:, 1:, 1:] = same.cumsum(1).cumsum(2)
             both = sums[:, n:, n:] - sums[:, :n, n:] - sums[:, n:, :n] + sums[:, :n, :n]
@@ -354,8 +362,8 @@ class Verifier:
                 hit[odd] = fit[odd] & self._sets(same[odd], *(e[odd] for e in earlier))
             for i in np.flatnonzero(hit.any((1, 2))).tolist():
                 s, t = np.nonzero(hit[i])
-                at, other = int(c[lo + i]) - n + 1, int(h[lo + i]) - n + 1
-                out.append((int(p[lo + i]), int(s.min()) + at, int(s.max()) + at + n, int(t.min()) + other, int(t.max()) + other + n))
+                at, other = int(c[which[i]]) - n + 1, int(h[which[i]]) - n + 1
+                out.append((int(p[which[i]]), int(s.min()) + at, int(s.max()) + at + n, int(t.min()) + other, int(t.max()) + other + n))
         return out
 
     @staticmethod
@@ -424,7 +432,7 @@ def _near_batches(batches, shingle, length, agree):
 
 
 def _possible_batches(batches, shingle, length, num, den, agree):
-    """The open windows with enough shingles that other texts have near their open windows.
+    """The open windows with enough shingles that other texts have near their open windows, and how many at best.
 
     Similar sets share at least num/den of either. A window that repeats a shingle is let through.
     """
@@ -444,13 +452,16 @@ def _possible_batches(batches, shingle, length, num, den, agree):
             shared = np.zeros(0, np.int64) if shared is None else shared.to_numpy(zero_copy_only=False)
             run = np.concatenate(([0], np.cumsum(np.isin(own.view(np.int64), shared))))
             at = repeats[offsets[i] : offsets[i + 1] + 1]
-            good = (run[length:] - run[:-length] >= least) | (at[length:] > at[:-length])
-            good = np.concatenate(([0], np.cumsum(good)))
+            held = run[length:] - run[:-length]
+            held = np.where(at[length:] > at[:-length], np.maximum(held, least), held)
+            # of the windows that hold c, the one with most such shingles
+            around = np.concatenate((np.zeros(length - 1, np.int64), held, np.zeros(length - 1, np.int64)))
             c = mine >> 2 * REACH_BITS
-            keep = mine[good[np.clip(c + 1, 0, len(good) - 1)] > good[np.clip(c - length + 1, 0, len(good) - 1)]]
-            out.append((np.full(len(keep), doc, np.int64), keep))
+            best = np.lib.stride_tricks.sliding_window_view(around, length)[c].max(1)
+            keep = best >= least
+            out.append((np.full(int(keep.sum()), doc, np.int64), mine[keep], best[keep]))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "place", "best"])
 
 
 def distinct_texts(docs):
@@ -521,7 +532,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         cover = nodes.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("node.a").alias("a"), "b", "g")).alias("cover"))
         c = f"shiftright(place, {2 * REACH_BITS})"
         inside = F.expr(f"get(filter(cover, s -> {c} >= s.a and {c} < s.b), 0).g")
-        g = members.join(cover, "doc", "left").select("key", "doc", "place", F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
+        g = members.join(cover, "doc", "left").select(*members.columns, F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
         g = materialize(g, "marked")
         open_ = g.groupBy("key").agg(F.min(F.struct("g", "doc")).alias("lo"), F.max(F.struct("g", "doc")).alias("hi")).where("lo.g <> hi.g").select("key")
         open_ = materialize(g.join(open_, "key"), name)
@@ -539,13 +550,15 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         each = opens.mapInArrow(lambda it: _near_batches(it, shingle, length, agree), "doc long, x long")
         shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
         common = each.join(shared, "x", "left_semi").groupBy("doc").agg(F.collect_list("x").alias("common"))
-        possible = opens.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den, agree), "doc long, place long")
+        possible = opens.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den, agree), "doc long, place long, best long")
         kept = materialize(left.join(possible, ["doc", "place"]), "possible")
         discard(opens, left)
         left = kept
         for turn in range(heads):
-            # another member of each open bucket takes the part of its head
-            pick = left.groupBy("key").agg(F.min_by(F.struct("doc", "place", "g"), F.xxhash64(F.lit(turn), "key", "doc", "place")).alias("p"))
+            # the member that shares most with others takes the part of the head; next time one outside the largest group
+            main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
+            some = left if turn == 0 else left.join(main, "key").where("g <> main")
+            pick = some.groupBy("key").agg(F.max_by(F.struct("doc", "place", "g"), F.struct("best", F.xxhash64(F.lit(turn), "key", "doc", "place"))).alias("p"))
             pairs = left.join(pick, "key").where("g <> p.g").select("doc", "place", F.col("p.doc").alias("head"), F.col("p.place").alias("other"))
             again = verified(pairs, 1, "spans")
             if again.isEmpty():
