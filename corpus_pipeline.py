@@ -1,35 +1,22 @@
 """Corpus pipeline: quality, near-dedup, decontamination, mixing, token files.
 
-Each stage takes the documents that its predecessor kept, written as Parquet and read again.
+Each stage takes the documents that its predecessor kept, written as Parquet and read again. Rows
+may lack any value, repeat or be none at all; columns beyond those of documents pass through.
 """
 
-import public_tokenizers
-from pyspark.sql import Window, functions as F
-
 from quillon.llm import decontaminate, mixing, near_dedup, quality, token_files
 from quillon.session import materialize, ship_package
 
 
 def quality_stage(spark, docs, sf_dir):
-    """Documents whose ranking score reaches the cut."""
+    """Documents whose ranking score reaches the cut; empty and null texts are scored like others."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.drop_rejected(docs, quality.fit(docs, labels))
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """One document of each near-duplicate group: five-word shingles, similarity 0.8 or more.
-
-    Rows that repeat the kept id count as copies too, so one of them stays; rows without an id stay.
-    """
-    found = near_dedup.near_dups(docs)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(near_dedup.small_or_not(gone), "doc_id", "left_anti")
-    again = left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return left.select(docs.columns)
-    first = Window.partitionBy("doc_id").orderBy("text")
-    one = left.join(again, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
+    """One row of each near-duplicate group: five-word shingles, similarity 0.8 or more. Rows are judged by text, not id."""
+    return near_dedup.drop_near_dups(docs)
 
 
 def decontamination_stage(spark, docs, sf_dir):
@@ -47,6 +34,8 @@ def mixing_stage(spark, docs, sf_dir):
 
 def token_stage(spark, docs, sf_dir):
     """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
+    import public_tokenizers
+
     return token_files.read_token_files(token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
@@ -58,7 +47,7 @@ STAGES = [
     ("token files", token_stage),
 ]
 
-#: Trained scores, MinHash and byte-pair merges have no SQL form; tests hold run() against brute force.
+#: Trained scores, MinHash and byte-pair merges have no SQL form; a test holds run() against plain Python, row by row.
 ORACLE_SQL = None
 
 
