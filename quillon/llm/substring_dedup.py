@@ -15,7 +15,7 @@ windows of `length` tokens that hold a shared minimum, at every offset, and a ve
 takes in all of them. Verified passages are contracted to groups, and buckets that still hold
 different groups are resolved: first windows are dropped that have too few shingles of any other
 open text to be similar to one, or in which fewer than `agree` functions have an open window, then
-the rest meet the members of their bucket that share most with others, `heads` times, and finally all pairs of a bucket that are in
+the rest (of the texts that still agree in so many) meet the members of their bucket that share most with others, `heads` times, and finally all pairs of a bucket that are in
 different groups are verified, so that no bucket's first member hides a link.
 
 Equal texts are one text in all of this and are brought back at the end.
@@ -211,17 +211,21 @@ def _similar(a, b, num, den):
 class Verifier:
     """Passages of pairs of texts around places (c, h) where their windows have one minimum."""
 
-    def __init__(self, ta, tb, shingle, length, num, den):
-        self.length, self.num, self.den = length, num, den
+    def __init__(self, ta, tb, shingle, length, num, den, local=False):
+        """local: look only at windows that hold an anchor, not along the whole texts."""
+        self.length, self.num, self.den, self.local = length, num, den, local
         self.need = -(-2 * num * length // (num + den))
         (self.x, self.xo), (self.y, self.yo) = _tokens(ta, shingle), _tokens(tb, shingle)
-        self.rx, self.ry = _near_repeats(self.x, self.xo, length), _near_repeats(self.y, self.yo, length)
+        if not local:
+            self.rx, self.ry = _near_repeats(self.x, self.xo, length), _near_repeats(self.y, self.yo, length)
 
     def _repeats(self, running, starts):
         return running[np.minimum(starts + self.length, len(running) - 1)] > running[np.minimum(starts, len(running) - 1)]
 
     def passages(self, p, c, h):
         """(pair, first and end token in x, first and end token in y), from anchors (p, c, h)."""
+        if self.local:
+            return self._around(p, c, h)
         shift = c - h
         diagonal, of = np.unique(np.stack([p, shift], 1), axis=0, return_inverse=True)
         of = of.ravel()
@@ -325,9 +329,10 @@ class Verifier:
 
     def _around(self, p, c, h, step=128):
         """Similar windows among all that hold c and h, for anchors that no diagonal covers."""
-        ok = self._reachable(self.x, self.xo, self.rx, self.y, self.yo, p, c)
-        p, c, h = p[ok], c[ok], h[ok]
-        if len(p):
+        if not self.local:
+            ok = self._reachable(self.x, self.xo, self.rx, self.y, self.yo, p, c)
+            p, c, h = p[ok], c[ok], h[ok]
+        if len(p) and not self.local:
             ok = self._reachable(self.y, self.yo, self.ry, self.x, self.xo, p, h)
             p, c, h = p[ok], c[ok], h[ok]
         n, out = self.length, []
@@ -387,14 +392,14 @@ class Verifier:
         return (common > 0) & (self.den * common >= self.num * (size - common))
 
 
-def _verify_batches(batches, shingle, length, num, den):
+def _verify_batches(batches, shingle, length, num, den, local):
     for batch in batches:
         offsets = [W.text_buffers(batch.column(t))[1] for t in ("ta", "tb")]
         # a few texts at a time, so that what is held does not grow with the batch
         for lo, hi in W.pieces(sum(o - o[0] for o in offsets), 8 * W.CHUNK):
             part = batch.slice(lo, hi - lo)
             p, mine, theirs = _flat(part.column("anchors"), "place", "other")
-            found = Verifier(part.column("ta"), part.column("tb"), shingle, length, num, den).passages(p, mine >> 2 * REACH_BITS, theirs >> 2 * REACH_BITS)
+            found = Verifier(part.column("ta"), part.column("tb"), shingle, length, num, den, local).passages(p, mine >> 2 * REACH_BITS, theirs >> 2 * REACH_BITS)
             if found:
                 i, *spans = (np.array(q) for q in zip(*found))
                 more = (0, shingle - 1, 0, shingle - 1)
@@ -434,7 +439,7 @@ def _near_batches(batches, shingle, length, agree):
 def _possible_batches(batches, shingle, length, num, den, agree):
     """The open windows with enough shingles that other texts have near their open windows, and how many at best.
 
-    Similar sets share at least num/den of either. A window that repeats a shingle is let through.
+    Similar sets share at least num/den of either. A window that repeats a shingle is let through, as odd.
     """
     least = -(-num * length // den)
     for batch in batches:
@@ -453,15 +458,19 @@ def _possible_batches(batches, shingle, length, num, den, agree):
             run = np.concatenate(([0], np.cumsum(np.isin(own.view(np.int64), shared))))
             at = repeats[offsets[i] : offsets[i + 1] + 1]
             held = run[length:] - run[:-length]
-            held = np.where(at[length:] > at[:-length], np.maximum(held, least), held)
-            # of the windows that hold c, the one with most such shingles
-            around = np.concatenate((np.zeros(length - 1, np.int64), held, np.zeros(length - 1, np.int64)))
+            repeated = at[length:] > at[:-length]
             c = mine >> 2 * REACH_BITS
-            best = np.lib.stride_tricks.sliding_window_view(around, length)[c].max(1)
-            keep = best >= least
-            out.append((np.full(int(keep.sum()), doc, np.int64), mine[keep], best[keep]))
+
+            def most(v):
+                """The greatest value among the windows that hold c."""
+                around = np.concatenate((np.zeros(length - 1, np.int64), v, np.zeros(length - 1, np.int64)))
+                return np.lib.stride_tricks.sliding_window_view(around, length)[c].max(1)
+
+            best, odd = most(held), most(repeated) > 0
+            keep = odd | (best >= least)
+            out.append((np.full(int(keep.sum()), doc, np.int64), mine[keep], best[keep], odd[keep]))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "place", "best"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "place", "best", "odd"])
 
 
 def distinct_texts(docs):
@@ -494,24 +503,29 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
     # equal texts share all of their words; texts that are one row each need no row here
     whole = copies.where(f"n_copies > 1 and n_words >= {min_words}").select("doc", F.lit(0).alias("first"), F.col("n_words").cast("int").alias("end")).distinct()
 
+    sizes_ = copies.groupBy("doc").agg(F.max("n_words").alias("n_words"))
+
     windows = lambda d: d.mapInArrow(lambda it: _window_batches(it, shingle, length, functions), WINDOW)
     crowded = crowded_ranges(windows(units.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")))
     members = materialize(shared_members(windows(units), "doc", ("doc", "place"), crowded), "windows")
 
-    def verified(pairs, agree, name):
+    def verified(pairs, name, local=True):
         """Passages that pairs (doc, place, head, other) of windows have in common."""
         anchors = pairs.where("doc <> head").groupBy("doc", "head").agg(F.collect_set(F.struct("place", "other")).alias("anchors"))
-        if agree > 1:
-            anchors = anchors.where(F.size("anchors") >= agree).mapInArrow(lambda it: _agreeing_batches(it, length, agree), anchors.schema)
+        anchors = anchors.where(F.size("anchors") >= agree).mapInArrow(lambda it: _agreeing_batches(it, length, agree), anchors.schema)
         anchors = materialize(anchors, "anchors")
         text = lambda c, t: units.join(small_or_not(anchors.select(F.col(c).alias("doc")).distinct()), "doc", "left_semi").select(F.col("doc").alias(c), F.col("text").alias(t))
         joined = anchors.join(text("doc", "ta"), "doc").join(text("head", "tb"), "head")
-        found = materialize(joined.mapInArrow(lambda it: _verify_batches(it, shingle, length, num, den), LINKS), name)
+        found = materialize(joined.mapInArrow(lambda it: _verify_batches(it, shingle, length, num, den, local), LINKS), name)
         discard(anchors)
         return found
 
     def grouped(links):
-        """Overlapping spans of a text joined into nodes, and the smallest node reachable: node (doc, first word), end, g."""
+        """Overlapping spans of a text joined into nodes, and the smallest node reachable: node (doc, first word), end, g.
+
+        from_ and to_ take in gaps beside a node that are too short for a passage of their own: one
+        that was found there would overlap the node and be joined to it.
+        """
         spans = links.select("doc", "first", "end").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("o_end").alias("end"))).unionByName(whole).distinct()
         order = Window.partitionBy("doc").orderBy("first", "end")
         reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -523,15 +537,22 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         theirs = spans.select(F.col("doc").alias("other"), F.col("first").alias("o_first"), F.col("end").alias("o_end"), F.col("node").alias("v"))
         groups = components(links.join(mine, ["doc", "first", "end"]).join(theirs, ["other", "o_first", "o_end"]).select("u", "v"))
         nodes = spans.select("node", "b").distinct().join(groups.withColumnRenamed("id", "node"), "node", "left")
-        nodes = materialize(nodes.select("node", "b", F.coalesce("component", "node").alias("g")), "groups")
+        nodes = nodes.select("node", "b", F.coalesce("component", "node").alias("g")).join(sizes_, F.col("node.doc") == F.col("doc")).drop("doc")
+        order = Window.partitionBy("node.doc").orderBy("node.a")
+        before, after = F.coalesce(F.lag("b").over(order), F.lit(0)), F.lead("node.a").over(order)
+        nodes = nodes.withColumns({
+            "from_": F.when(F.col("node.a") - before < min_words, before).otherwise(F.col("node.a")),
+            "to_": F.when(after.isNull() & (F.col("n_words") - F.col("b") < min_words), F.col("n_words")).otherwise(F.col("b")),
+        })
+        nodes = materialize(nodes, "groups")
         discard(spans)
         return nodes
 
     def spanning(members, nodes, name):
         """The windows of buckets that still hold different groups, with their group; an uncovered window is in none."""
-        cover = nodes.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("node.a").alias("a"), "b", "g")).alias("cover"))
+        cover = nodes.groupBy(F.col("node.doc").alias("doc")).agg(F.collect_list(F.struct("from_", "to_", "g")).alias("cover"))
         c = f"shiftright(place, {2 * REACH_BITS})"
-        inside = F.expr(f"get(filter(cover, s -> {c} >= s.a and {c} < s.b), 0).g")
+        inside = F.expr(f"get(filter(cover, s -> {c} >= s.from_ and {c} < s.to_), 0).g")
         g = members.join(cover, "doc", "left").select(*members.columns, F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
         g = materialize(g, "marked")
         open_ = g.groupBy("key").agg(F.min(F.struct("g", "doc")).alias("lo"), F.max(F.struct("g", "doc")).alias("hi")).where("lo.g <> hi.g").select("key")
@@ -539,7 +560,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         discard(g)
         return open_
 
-    links = verified(members.select("doc", "place", F.col("head.doc").alias("head"), F.col("head.place").alias("other")), agree, "spans")
+    links = verified(members.select("doc", "place", F.col("head.doc").alias("head"), F.col("head.place").alias("other")), "spans", False)
     nodes = grouped(links)
 
     left = spanning(members.select("key", "doc", "place"), nodes, "open")
@@ -550,8 +571,12 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         each = opens.mapInArrow(lambda it: _near_batches(it, shingle, length, agree), "doc long, x long")
         shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
         common = each.join(shared, "x", "left_semi").groupBy("doc").agg(F.collect_list("x").alias("common"))
-        possible = opens.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den, agree), "doc long, place long, best long")
-        kept = materialize(left.join(possible, ["doc", "place"]), "possible")
+        possible = opens.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den, agree), "doc long, place long, best long, odd boolean")
+        kept = left.join(possible, ["doc", "place"])
+        # windows of `length` different shingles each share more of them than those that repeat some
+        uneven = kept.groupBy("key").agg(F.max("odd").alias("uneven")).where("uneven").select("key", "uneven")
+        kept = kept.join(uneven, "key", "left").where(F.expr(f"uneven or best >= {-(-2 * num * length // (num + den))}")).drop("odd", "uneven")
+        kept = materialize(kept, "possible")
         discard(opens, left)
         left = kept
         for turn in range(heads):
@@ -560,7 +585,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
             some = left if turn == 0 else left.join(main, "key").where("g <> main")
             pick = some.groupBy("key").agg(F.max_by(F.struct("doc", "place", "g"), F.struct("best", F.xxhash64(F.lit(turn), "key", "doc", "place"))).alias("p"))
             pairs = left.join(pick, "key").where("g <> p.g").select("doc", "place", F.col("p.doc").alias("head"), F.col("p.place").alias("other"))
-            again = verified(pairs, 1, "spans")
+            again = verified(pairs, "spans")
             if again.isEmpty():
                 continue
             links = links.unionByName(again)
@@ -572,7 +597,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
         light = left.join(main, "key").where("g <> main").drop("main")
         rest = left.select("key", F.col("doc").alias("head"), F.col("place").alias("other"), F.col("g").alias("hg"))
-        again = verified(light.join(rest, "key").where("g <> hg and doc <> head").select("doc", "place", "head", "other"), 1, "spans")
+        again = verified(light.join(rest, "key").where("g <> hg and doc <> head").select("doc", "place", "head", "other"), "spans")
         if not again.isEmpty():
             nodes = grouped(links.unionByName(again))
 
