@@ -24,7 +24,7 @@ Result: one row per passage of a document that another document has too: doc_id,
 end_word, class_id (smallest doc_id reachable over verified passages), n_links (other documents of
 its class). Null or short texts have no passages; rows without an id are left out; a passage
 repeated only under one id is not reported. Repeated ids with different texts are each looked at.
-A passage that a text repeats in equal surroundings is reported where it comes first. Extra
+A passage that a text repeats is reported where it comes first, and elsewhere as far as found. Extra
 columns are ignored. An empty table gives an empty result.
 """
 
@@ -84,7 +84,12 @@ def _hashed(x, f):
 
 
 def compact_windows(c, shingle, length, functions):
-    """(function, row, first token of the row, l, c, r, key) arrays of a chunk, one tuple a function."""
+    """(row, first token of the row, l, c, r, key, context) arrays of a chunk, one tuple a function.
+
+    In a run of one token, which would have a node at each place, the run's last node stands for all
+    windows that hold it, and its first for those inside the run. context is a hash of all tokens of
+    the windows that a node is the minimum of.
+    """
     x = W.windows(c.hashes, shingle)
     n = len(x) - length + 1
     if n <= 0:
@@ -96,10 +101,19 @@ def compact_windows(c, shingle, length, functions):
     if not len(starts):
         return
     low = (U(1) << U(max(int(len(x)).bit_length(), 1))) - U(1)
+    place = np.searchsorted(c.ptr, np.arange(len(x)), "right")
+    new = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (place[1:] != place[:-1]))))
+    run = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(x))))
+    run_first, run_last = new[run], (np.append(new[1:], len(x)) - 1)[run]
+    power, inverse = W.powers(len(x) + 1)
+    total = np.zeros(len(x) + 1, U)
+    np.cumsum(x * power[: len(x)], out=total[1:])
     for f in range(functions):
         v = _hashed(x, f)
         least = sliding_minima(v, length)[starts]
-        at = least[np.concatenate(([True], least[1:] != least[:-1]))]
+        least = np.where(run_last[least] - starts < length, run_last[least], run_first[least])
+        edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+        at, s0, s1 = least[edge], starts[edge], starts[np.append(edge[1:], len(starts)) - 1] + length
         of = np.searchsorted(c.ptr, at, "right") - 1
         cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True])))
         values, places = (v[at] & ~low).tolist(), at.tolist()
@@ -109,27 +123,17 @@ def compact_windows(c, shingle, length, functions):
             left += l
             right += r
         key = (W.mix64(v[at] + U(f)) & ~U(7)) | U(f & 7)
-        yield f, of, begin[of], np.array(left), at, np.array(right), key
-
-
-def _contexts(c, shingle, length, of, at):
-    """A hash of the tokens that any window of `length` tokens around each position can hold."""
-    x = W.windows(c.hashes, shingle)
-    power, inverse = W.powers(len(x) + 1)
-    total = np.zeros(len(x) + 1, U)
-    np.cumsum(x * power[: len(x)], out=total[1:])
-    begin = c.ptr[:-1][of]
-    a, b = np.maximum(at - length + 1, begin), np.minimum(at + length, c.ptr[1:][of] - shingle + 1)
-    return W.mix64((total[b] - total[a]) * inverse[a] + W.mix64(((at - a) * 1000 + b - at).astype(U)))
+        context = W.mix64((total[s1] - total[s0]) * inverse[s0] + W.mix64((s1 - s0).astype(U)))
+        yield of, begin[of], np.array(left), at, np.array(right), key, context
 
 
 def _window_batches(batches, shingle, length, functions):
     for batch in batches:
         ids = batch.column("doc").to_numpy(zero_copy_only=False)
         for c in W.chunks(batch.column("text")):
-            for _, of, begin, l, at, r, key in compact_windows(c, shingle, length, functions):
-                # equal windows of a text in equal surroundings count once, so loops stay small
-                same = W.mix64(key ^ _contexts(c, shingle, length, of, at)) ^ W.mix64(of.astype(U))
+            for of, begin, l, at, r, key, context in compact_windows(c, shingle, length, functions):
+                # equal windows of a text count once, so loops stay small
+                same = W.mix64(key ^ context) ^ W.mix64(of.astype(U))
                 i = np.sort(np.unique(same, return_index=True)[1])
                 reach = [np.minimum(q[i], length - 1).astype(np.int64) for q in (at - l, r - at)]
                 place = (at - begin)[i] << 2 * REACH_BITS | reach[0] << REACH_BITS | reach[1]
