@@ -82,5 +82,26 @@ def vote_weight_of(q: int) -> float:
     return math.log(1 - p) - math.log(p / 3)
 
 
+def reverse_quality(qual) -> Column:
+    """Qualities in the order of the reverse complement."""
+    return F.reverse(col(qual))
+
+
+def sanitize(token, default="unknown") -> Column:
+    """A token of letters, digits, points, dashes and underscores, for file names."""
+    kept = F.trim(F.regexp_replace(F.trim(col(token)), "[^A-Za-z0-9._-]+", "_"), F.lit("_"))
+    return F.coalesce(F.nullif(kept, F.lit("")), F.lit(default))
+
+
+def trimmed_name(file) -> Column:
+    """The file name of a trimmed FASTQ."""
+    f = col(file)
+    return (
+        F.when(f.endswith(".fastq.gz"), F.replace(f, F.lit(".fastq.gz"), F.lit(".trimmed.fastq.gz")))
+        .when(f.endswith(".fq.gz"), F.replace(f, F.lit(".fq.gz"), F.lit(".trimmed.fq.gz")))
+        .otherwise(F.concat(f, F.lit(".trimmed.fastq.gz")))
+    )
+
+
 def safe_name(name) -> Column:
     return F.regexp_replace(F.trim(col(name)), "[ /]", "_")

@@ -6,8 +6,9 @@ CONDITIONS = ("lib", "neg", "pos3x", "pos1x")
 PSEUDOCOUNT = 1e-9
 #: 1: a positive arm is enriched and the negative arm is not; 0: the other way round; 2: neither.
 SPECIFICITY = """
-    CASE WHEN (pos_vs_neg_status = 'Enriched' OR pos_vs_lib_status = 'Enriched') = (neg_vs_lib_status = 'Enriched') THEN 2
-         WHEN neg_vs_lib_status = 'Enriched' THEN 0 ELSE 1 END"""
+    CASE WHEN (pos_vs_neg_status = 'Enriched' OR pos_vs_lib_status = 'Enriched') AND neg_vs_lib_status <> 'Enriched' THEN 1
+         WHEN pos_vs_neg_status <> 'Enriched' AND pos_vs_lib_status <> 'Enriched' AND neg_vs_lib_status = 'Enriched' THEN 0
+         ELSE 2 END"""
 
 
 def wide_counts(selection, conditions=CONDITIONS, shared="lib"):
@@ -45,6 +46,9 @@ def combine(a, b):
 
 def label(w, positives=("pos3x", "pos1x"), eps=PSEUDOCOUNT):
     """Adds ratios, statuses and specificity: 1 binder, 0 non-binder, 2 undecided."""
+    missing = {f"freq_{c}" for c in ("lib", "neg", *positives)} - set(w.columns)
+    if missing:
+        raise ValueError(f"missing columns: {sorted(missing)}")
     for den in ("neg", "lib"):
         for p in positives:
             w = ratio(w, p, den, eps=eps)
@@ -59,13 +63,21 @@ def label(w, positives=("pos3x", "pos1x"), eps=PSEUDOCOUNT):
     return w.withColumn("specificity", F.expr(SPECIFICITY))
 
 
+def gated(selection, conditions=("neg", "pos3x", "pos1x"), shared="lib"):
+    """The rows of peptides that have every required condition, and of the shared one."""
+    complete = complete_peptides(selection.where(F.col("condition") != shared), conditions).where("complete").select("peptide")
+    own = selection.join(complete, "peptide", "left_semi").where(F.col("condition") != shared)
+    return own.unionByName(selection.where(F.col("condition") == shared))
 
-def parse_condition(name, prefix="clib", suffixes=(("originallib", "lib"), ("2xnegative", "neg"), ("31xpositive", "pos1x"), ("3xpositive", "pos3x"))):
-    """peptide and condition of a sample name; both null when no suffix fits. A name that is all suffix is the shared one."""
+def parse_condition(name, prefix="clib", suffixes=(("originallib", "lib"), ("2xnegative", "neg"), ("31xpositive", "pos1x"), ("3xpositive", "pos3x")), exact_lib=False):
+    """peptide and condition of a sample name; both null when no suffix fits. A name that is all suffix is the shared one.
+
+    With exact_lib the shared condition's suffix must be the whole name.
+    """
     token = F.regexp_replace(name, f"^{prefix}", "")
     peptide, condition = F, F
     for suffix, what in suffixes:
-        hit = token.endswith(suffix)
+        hit = token == suffix if what == "lib" and exact_lib else token.endswith(suffix)
         rest = F.regexp_replace(F.regexp_replace(token, f"{suffix}$", ""), "[-_]+$", "")
         peptide, condition = peptide.when(hit, F.when(rest == "", "lib" if what == "lib" else "peptide").otherwise(rest)), condition.when(hit, F.lit(what))
     none = F.lit(None).cast("string")
@@ -82,14 +94,36 @@ def complete_peptides(selection, conditions=("neg", "pos3x", "pos1x")):
     return g.select("peptide", (F.size(F.array_except(F.array(*[F.lit(c) for c in conditions]), "has")) == 0).alias("complete"))
 
 
-def ml_rows(labels, mapping=None):
-    """tcr, peptide, label of the confident rows; peptide names are looked up in mapping (name, sequence)."""
+def last_by_name(mapping, order=None):
+    """One row a name of mapping (name, sequence): the last one, by the column order or else by place in the table."""
+    place = F.monotonically_increasing_id() if order is None else F.col(order)
+    return mapping.select("name", "sequence", place.alias("at")).groupBy("name").agg(F.max_by("sequence", "at").alias("sequence"))
+
+
+def ml_rows(labels, mapping=None, order=None):
+    """tcr, peptide, label of the confident rows; peptide names are looked up in mapping (name, sequence), where the last of a name counts."""
     rows = labels.where(F.col("specificity").isin(0, 1)).select(F.col("aa_seq").alias("tcr"), "peptide", F.col("specificity").alias("label"))
     if mapping is None:
         return rows
-    one = mapping.groupBy("name").agg(F.max("sequence").alias("sequence"))
+    one = last_by_name(mapping, order)
     return rows.join(one, rows.peptide == one.name, "left").select("tcr", F.col("sequence").alias("peptide"), "label")
 
 
 def output_name(peptide):
-    return F.coalesce(F.nullif(F.trim(F.lit("_"), F.regexp_replace(peptide, "[^A-Za-z0-9._-]+", "_")), F.lit("")), F.lit("peptide"))
+    """A peptide's name as part of a file name."""
+    return F.coalesce(F.nullif(F.trim(F.regexp_replace(peptide, "[^A-Za-z0-9._-]+", "_"), F.lit("_")), F.lit("")), F.lit("peptide"))
+
+
+def union_labels(tables):
+    """All rows of label tables in one; columns that a table lacks are null."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out
+
+
+def label_shares(labels):
+    """specificity, n, and percent of all rows."""
+    g = labels.groupBy("specificity").agg(F.count("*").alias("n"))
+    total = g.agg(F.sum("n").alias("total"))
+    return g.join(F.broadcast(total)).select("specificity", "n", (100 * F.col("n") / F.col("total")).alias("percent"))

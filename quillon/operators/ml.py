@@ -3,25 +3,63 @@
 from pyspark.sql import Window, functions as F
 
 
-def _nth(label, key):
-    return F.row_number().over(Window.partitionBy(label).orderBy(F.md5(F.col(key).cast("string")), key))
+BUCKETS = 4096
+
+
+def _ranked(rows, label, key):
+    """Adds _n, the place of each row among those of its label by hash order, and _all, their number.
+
+    Two levels: counts of hash ranges first, then a window inside each small range, so that no
+    label is one task's.
+    """
+    r = rows.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+    counts = r.groupBy(label, "_b").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).withColumn("_all", F.sum("_size").over(Window.partitionBy(label)))
+    # 4,096 ranges a label
+    r = r.join(counts.drop("_size"), [label, "_b"])
+    inside = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
+    return r.withColumn("_n", F.col("_before") + inside).drop("_h", "_b", "_before")
 
 
 def stratified_split(rows, label, key, share=0.2):
     """Adds test: exactly floor(share * n) rows of each label, by hash order."""
-    n = F.count("*").over(Window.partitionBy(label))
-    return rows.withColumn("test", _nth(label, key) <= F.floor(share * n))
+    return _ranked(rows, label, key).withColumn("test", F.col("_n") <= F.floor(share * F.col("_all"))).drop("_n", "_all")
+
+
+def _class_sizes(rows, label):
+    return F.broadcast(rows.agg(F.count_if(F.col(label) == 1).alias("_1"), F.count_if(F.col(label) == 0).alias("_0")))
 
 
 def balance(rows, label, key, fraction=0.5):
     """Under-samples the larger class so that label 1 is about the fraction of rows."""
-    every = Window.partitionBy()
-    ones, zeros = (F.count_if(F.col(label) == v).over(every) for v in (1, 0))
-    r = rows.withColumn("_n", _nth(label, key)).withColumn("_1", ones).withColumn("_0", zeros)
+    r = _ranked(rows, label, key).drop("_all").join(_class_sizes(rows, label))
     limit = F.when(F.col(label) == 1, F.floor(F.col("_0") * fraction / (1 - fraction))).otherwise(F.floor(F.col("_1") * (1 - fraction) / fraction))
     return r.where(F.col("_n") <= limit).drop("_n", "_1", "_0")
 
 
+def oversample(rows, label, key, fraction=0.5):
+    """Repeats rows of the smaller class, in hash order and round again, until label 1 is about the fraction of rows; adds copy."""
+    r = _ranked(rows, label, key).join(_class_sizes(rows, label))
+    want = F.when(F.col(label) == 1, F.floor(F.col("_0") * fraction / (1 - fraction))).otherwise(F.floor(F.col("_1") * (1 - fraction) / fraction))
+    want = F.greatest(want, F.col("_all"))
+    copies = (F.floor(want / F.col("_all")) + F.when(F.col("_n") <= want % F.col("_all"), 1).otherwise(0)).cast("int")
+    return r.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("_n", "_all", "_1", "_0")
+
+
+def curve_points(scored, group, label, score):
+    """One row a distinct score, from the highest: cut, fpr, tpr (recall) and precision at that cut."""
+    g = scored.groupBy(group, score).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q"))
+    down, every = Window.partitionBy(group).orderBy(F.desc(score)), Window.partitionBy(group)
+    tp, fp = F.sum("p").over(down), F.sum("q").over(down)
+    return g.select(group, F.col(score).alias("cut"), F.try_divide(fp, F.sum("q").over(every)).alias("fpr"), F.try_divide(tp, F.sum("p").over(every)).alias("tpr"), F.try_divide(tp, tp + fp).alias("precision"))
+
+
+def best_by_auroc(scored, group, label, score):
+    """The group of the highest area under the curve, the first by name among equals."""
+    return auroc(scored, group, label, score).orderBy(F.desc_nulls_last("auroc"), group).limit(1)
+
+
 def auroc(scored, group, label, score):
     """Area under the ROC curve from rank sums, ties at average rank. One pass per distinct score."""
     g = scored.groupBy(group, score).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q"))
@@ -58,13 +96,47 @@ def one_hot(rows, seq, length, letters):
     return rows.withColumn("features", F.flatten(F.transform(F.sequence(F.lit(1), F.lit(length)), lambda i: F.transform(F.split(F.lit(letters), ""), lambda a: F.when(F.substr(F.col(seq), i, F.lit(1)) == a, 1.0).otherwise(0.0)))))
 
 
-def models():
-    """MLlib estimators with the settings of the analysis: balanced logistic regression, forest, linear SVM, perceptron."""
-    from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+def balanced_weights(rows, label):
+    """Adds weight: n / (2 * rows of the label)."""
+    sizes = rows.groupBy(label).agg(F.count("*").alias("_size"))
+    total = rows.agg(F.count("*").alias("_total"))
+    return rows.join(F.broadcast(sizes), label).join(F.broadcast(total)).withColumn("weight", F.col("_total") / (2 * F.col("_size"))).drop("_size", "_total")
+
 
-    return {
-        "logistic": LogisticRegression(maxIter=500, weightCol="weight"),
-        "forest": RandomForestClassifier(numTrees=300, maxDepth=15, minInstancesPerNode=5, weightCol="weight", seed=42),
-        "svm": LinearSVC(weightCol="weight"),
-        "perceptron": lambda d: MultilayerPerceptronClassifier(layers=[d, 256, 64, 2], seed=42),
-    }
+def scale(rows, features="features"):
+    """Adds scaled: features over their population standard deviation, not centred; constant features stay."""
+    size = F.posexplode(features).alias("i", "x")
+    d = rows.select(size).groupBy("i").agg(F.stddev_pop("x").alias("sd"))
+    every = d.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "sd"))), lambda s: F.when(s["sd"] > 0, s["sd"]).otherwise(1.0)).alias("_sd"))
+    return rows.join(F.broadcast(every)).withColumn("scaled", F.zip_with(features, "_sd", lambda x, sd: x / sd)).drop("_sd")
+
+
+def fit_model(train, kind, label="label", features="features"):
+    """A fitted MLlib model of balanced classes: logistic regression, forest, linear SVM or perceptron.
+
+    Kernel machines have no MLlib form; the perceptron has sigmoid units in place of rectified ones.
+    """
+    from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rows = balanced_weights(train, label).withColumn("vector", array_to_vector(features))
+    shared = {"featuresCol": "vector", "labelCol": label}
+    if kind == "perceptron":
+        width = rows.select(F.size(features)).first()[0]
+        made = MultilayerPerceptronClassifier(layers=[width, 256, 64, 2], maxIter=15, seed=42, **shared)
+    else:
+        made = {
+            "logistic": lambda: LogisticRegression(maxIter=500, weightCol="weight", **shared),
+            "forest": lambda: RandomForestClassifier(numTrees=300, maxDepth=15, minInstancesPerNode=5, weightCol="weight", seed=42, **shared),
+            "svm": lambda: LinearSVC(weightCol="weight", **shared),
+        }[kind]()
+    return made.fit(rows)
+
+
+def predict(model, rows, features="features"):
+    """Adds score (the chance of label 1, or the margin of an SVM) and predicted."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    out = model.transform(rows.withColumn("vector", array_to_vector(features)))
+    raw = "probability" if "probability" in out.columns else "rawPrediction"
+    return out.withColumn("score", vector_to_array(raw)[1]).withColumn("predicted", F.col("prediction").cast("int")).select(*rows.columns, "score", "predicted")

@@ -8,6 +8,12 @@ def positions(rows, seq="aa_seq", keep=()):
     return rows.select(*keep, F.posexplode(F.split(seq, "")).alias("pos", "aa"))
 
 
+def group_starts(rows, order, value, partition):
+    """Adds starts: whether a row's value is another than that of the row before."""
+    w = Window.partitionBy(*partition).orderBy(order)
+    return rows.withColumn("starts", ~F.col(value).eqNullSafe(F.lag(value).over(w)) | (F.row_number().over(w) == 1))
+
+
 def position_matrix(rows, seq="aa_seq"):
     """pos, aa, n, share of the position."""
     g = positions(rows, seq).groupBy("pos", "aa").agg(F.count("*").alias("n"))
@@ -50,18 +56,102 @@ def gapped_motifs(rows, gap=2, tile=4, seq="aa_seq"):
     return p.groupBy("tile", F.col("i").alias("start"), "gap", "a", "b").agg(F.count("*").alias("n"))
 
 
-def top_residue(rows, letters, label="specificity", pseudo=1):
-    """The most enriched residue of each position by log ratio of counts; ties go to the earlier letter."""
-    p = positions(rows, keep=(label,))
+def dense_counts(rows, letters, length, label="specificity", seq="aa_seq"):
+    """pos, aa, a, b: rows of label 1 and 0 with each letter at each position, 0 where there are none."""
+    p = positions(rows, seq, keep=(label,))
     g = p.groupBy("pos", "aa").agg(F.count_if(F.col(label) == 1).alias("a"), F.count_if(F.col(label) == 0).alias("b"))
-    g = g.where(F.col("aa").isin(*letters)).withColumn("r", F.round(F.ln((F.col("a") + pseudo) / (F.col("b") + pseudo)), 9)).withColumn("k", -F.instr(F.lit(letters), F.col("aa")))
+    grid = rows.sparkSession.range(length).select(F.col("id").cast("int").alias("pos"), F.explode(F.split(F.lit(letters), "")).alias("aa"))
+    return grid.join(g, ["pos", "aa"], "left").na.fill(0, ["a", "b"])
+
+
+def top_residue(rows, letters, label="specificity", pseudo=1, length=11):
+    """The most enriched residue of each position by log ratio of counts; ties go to the earlier letter."""
+    g = dense_counts(rows, letters, length, label)
+    g = g.withColumn("r", F.round(F.ln((F.col("a") + pseudo) / (F.col("b") + pseudo)), 9)).withColumn("k", -F.instr(F.lit(letters), F.col("aa")))
     return g.groupBy("pos").agg(F.max_by("aa", F.struct("r", "k")).alias("aa"), F.max("r").alias("log_ratio"))
 
 
-def cooccurrence(rows, anchor_pos, anchor_aa, reach=3):
-    """pos, aa, n, share around an anchor residue, among rows that have it."""
+def tile_log_odds(rows, letters, length, first=1, size=4, pseudo=1, label="specificity"):
+    """tile, pos, place (1-based in its tile), aa, log_odds: natural log of the shares of label 1 and 0 at each position of sliding tiles."""
+    g = dense_counts(rows, letters, length, label).withColumns({c: F.col(c) + pseudo for c in ("a", "b")})
+    own = Window.partitionBy("pos")
+    odds = F.ln((F.col("a") / F.sum("a").over(own)) / (F.col("b") / F.sum("b").over(own)))
+    g = g.select("pos", "aa", odds.alias("log_odds"))
+    tiles = rows.sparkSession.range(first, length - size + 1).select((F.col("id") - first).alias("tile"), F.explode(F.sequence(F.col("id"), F.col("id") + size - 1)).alias("pos"), F.col("id").alias("_from"))
+    return g.join(F.broadcast(tiles), "pos").select("tile", "pos", (F.col("pos") - F.col("_from") + 1).alias("place"), "aa", "log_odds")
+
+
+def cooccurrence(rows, anchor_pos, anchor_aa, reach=3, least=0, top_only=False, following=False):
+    """pos, aa, n, share around an anchor residue, among rows that have it.
+
+    Positions with fewer than `least` rows are left out; top_only keeps each one's commonest
+    residue, the first by letter among equals; following keeps positions behind the anchor.
+    """
     own = rows.where(F.substr("aa_seq", F.lit(anchor_pos + 1), F.lit(1)) == anchor_aa)
-    return position_matrix(own).where(F.abs(F.col("pos") - anchor_pos).between(1, reach))
+    d = F.col("pos") - anchor_pos
+    m = position_matrix(own).where(d.between(1, reach) if following else F.abs(d).between(1, reach))
+    if least:
+        m = m.withColumn("_n", F.sum("n").over(Window.partitionBy("pos"))).where(F.col("_n") >= least).drop("_n")
+    if top_only:
+        m = m.withColumn("_k", F.row_number().over(Window.partitionBy("pos").orderBy(F.desc("n"), "aa"))).where("_k = 1").drop("_k")
+    return m
+
+
+def commonest_residue(rows, seq="aa_seq"):
+    """One row: the residue that occurs most, the first by letter among equals, its number, and the first position that has it."""
+    g = positions(rows, seq).groupBy("aa").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
+    return g.orderBy(F.desc("n"), "aa").limit(1)
+
+
+def top_per_group(rows, group, order, k):
+    """The first k rows of each group in an order."""
+    return rows.withColumn("_k", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_k") <= k).drop("_k")
+
+
+def distance_histogram(rows, reference, seq="aa_seq"):
+    """distance, n of distinct sequences by edit distance to a reference."""
+    return rows.select(seq).distinct().groupBy(F.levenshtein(seq, F.lit(reference)).cast("long").alias("distance")).agg(F.count("*").alias("n"))
+
+
+def fixed_length(rows, seq="aa_seq"):
+    """rows, checked as they are read: a sequence of another length than the first by order raises."""
+    length = rows.agg(F.min(F.length(seq)).alias("_length"))
+    same = F.assert_true(F.length(seq) == F.col("_length"), F.lit("sequences differ in length"))
+    return rows.join(F.broadcast(length)).where(same.isNull()).select(rows.columns)
+
+
+def sequence_length_check(rows, seq="aa_seq"):
+    """One row: how many lengths the sequences have, and whether it is one."""
+    return rows.agg(F.count_distinct(F.length(seq)).alias("n_lengths")).withColumn("fixed", F.col("n_lengths") == 1)
+
+
+def within_edits(reference, query, most, tiled=False):
+    """Whether a sequence is at most so many edits from the reference and, tiled, all of them in a span of `most` of its letters.
+
+    Edits are those of difflib's matching blocks, which only sequences within the distance reach.
+    """
+    near = F.levenshtein(F.lit(reference), F.col(query)) <= most
+    if not tiled:
+        return near
+
+    @F.pandas_udf("boolean")
+    def inside(s):
+        import difflib
+
+        def span(q):
+            cuts = [(i, j) for tag, i, j, _, _ in difflib.SequenceMatcher(None, reference, q).get_opcodes() if tag != "equal"]
+            return not cuts or max(j for _, j in cuts) - min(i for i, _ in cuts) <= most
+
+        return s.map(lambda q: None if q is None else span(q)).astype("boolean")
+
+    return F.when(near, inside(F.when(near, F.col(query)))).otherwise(near)
+
+
+def finite(c):
+    """A number, 0 where it is null, infinite or not a number."""
+    c = F.col(c) if isinstance(c, str) else c
+    bad = c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
+    return F.when(bad, 0.0).otherwise(c)
 
 
 def distance_bins(rows, reference, count="n"):
@@ -70,8 +160,20 @@ def distance_bins(rows, reference, count="n"):
     return rows.groupBy(F.when(d >= 5, "4+").otherwise(d.cast("string")).alias("bin")).agg(F.sum(count).alias("n"), F.count("*").alias("n_variants"))
 
 
-def consecutive_collapse(rows, order, value, partition=()):
-    """Rows whose value differs from the row before, in order."""
+def frequent(rows, value, least):
+    """The rows whose value occurs `least` times or more."""
+    often = rows.groupBy(value).count().where(F.col("count") >= least).select(value)
+    return rows.join(often, value, "left_semi").select(rows.columns)
+
+
+def consecutive_collapse(rows, order, value, partition, least=1):
+    """Rows whose value differs from the row before, in order within their partition; first those of values seen less than `least` times go.
+
+    A partition is one task's, so it must be a column or more.
+    """
+    if not partition:
+        raise ValueError("give the columns within which rows follow each other")
+    rows = rows if least <= 1 else frequent(rows, value, least)
     w = Window.partitionBy(*partition).orderBy(order)
     return rows.withColumn("_before", F.lag(value).over(w)).where(~F.col(value).eqNullSafe(F.col("_before"))).drop("_before")
 

@@ -2,32 +2,31 @@
 
 from pyspark.sql import functions as F
 
-from quillon.functions import search, seq as S
-from quillon.operators import label, library, ml, stats, trim, umi
+from quillon.functions import protein as P, search, seq as S
+from quillon.operators import label, library, ml, stats, trim
 from quillon.plans import derived as D
+from quillon.plans.registry import FOUND, query
 from quillon.sources import fastq
 
-_FOUND = {}
 ANCHOR = D.ANCHOR
 PATTERNS = ("NNN", "NNN", "NNB", "VNN", "NNK", "NNN", "DNN", "NNN", "NNN", "NHN", "NNN")
 WILDTYPE = "GCCAGCAGCCCGAATATGGCGGATGAACAGTAC"
 DNA = f"{D.HEX}, 'ACGTACGTACGTACGT'"
 
 
-def query(sql=None):
-    def add(f):
-        _FOUND[f.__name__] = (f, sql)
-        return f
+def _every():
+    """All queries: importing a module of them registers them."""
+    from quillon.plans import analysis, learning, reads, samples  # noqa: F401
 
-    return add
+    return FOUND
 
 
 def queries():
-    return {name: f for name, (f, _) in _FOUND.items()}
+    return {name: f for name, (f, _) in _every().items()}
 
 
 def oracle_sql():
-    return {name: sql for name, (_, sql) in _FOUND.items() if sql}
+    return {name: sql for name, (_, sql) in _every().items() if sql}
 
 
 def _table(spark, sf_dir, name):
@@ -96,9 +95,9 @@ def label_summary(spark, sf_dir):
     return label.label_summary(_labels(spark, sf_dir))
 
 
-@query(f"WITH sel AS ({D.SELECTION}) SELECT peptide, count(DISTINCT condition) FILTER (condition IN ('neg', 'pos3x', 'pos1x')) = 3 AS complete FROM sel WHERE aa_seq < 'K' GROUP BY 1")
+@query(f"WITH sel AS ({D.SELECTION}) SELECT peptide, count(DISTINCT condition) FILTER (condition IN ('neg', 'pos3x', 'pos1x')) = 3 AS complete FROM sel GROUP BY 1")
 def required_condition_gate(spark, sf_dir):
-    return label.complete_peptides(D.selection(spark, sf_dir).where("aa_seq < 'K'"))
+    return label.complete_peptides(D.selection(spark, sf_dir))
 
 
 _SAMPLE = "concat('clib', p_brand, CASE p_size % 6 WHEN 0 THEN 'originallib' WHEN 1 THEN '_2xnegative' WHEN 2 THEN '3xpositive' WHEN 3 THEN '31xpositive' ELSE '' END)"
@@ -110,133 +109,39 @@ def condition_token_parse(spark, sf_dir):
     return _table(spark, sf_dir, "part").selectExpr("p_partkey", f"{_SAMPLE} AS s").select("p_partkey", peptide.alias("peptide"), condition.alias("condition"))
 
 
-_MAP = "SELECT DISTINCT p_brand AS name, translate(substr(md5(p_brand), 1, 9), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS sequence FROM part WHERE p_brand NOT LIKE '%1'"
+#: Several lines a name, with other sequences: the last line counts.
+_LINES = "SELECT p_brand AS name, translate(substr(md5(concat(p_brand, cast(p_partkey % 3 AS string))), 1, 9), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS sequence, p_partkey AS line FROM part WHERE p_brand NOT LIKE '%1'"
+_MAP = f"SELECT name, sequence FROM ({_LINES}) l QUALIFY row_number() OVER (PARTITION BY name ORDER BY line DESC) = 1"
+
+
+def _mapping(spark, sf_dir):
+    return D.view(spark, sf_dir, _LINES, "part")
 
 
 @query(f"WITH {LABELS}, m AS ({_MAP}) SELECT aa_seq AS tcr, sequence AS peptide, specificity AS label FROM labels_ LEFT JOIN m ON peptide = name WHERE specificity IN (0, 1)")
 def ml_export(spark, sf_dir):
-    return label.ml_rows(_labels(spark, sf_dir), D.view(spark, sf_dir, _MAP, "part"))
+    return label.ml_rows(_labels(spark, sf_dir), _mapping(spark, sf_dir), "line")
 
 
 @query(f"WITH m AS ({_MAP}) SELECT p_partkey, sequence FROM part LEFT JOIN m ON p_brand = name")
 def peptide_lookup(spark, sf_dir):
-    m = D.view(spark, sf_dir, _MAP, "part")
+    m = label.last_by_name(_mapping(spark, sf_dir), "line")
     p = _table(spark, sf_dir, "part")
     return p.join(m, p.p_brand == m.name, "left").select("p_partkey", "sequence")
 
 
 @query(f"WITH m AS ({_MAP}) SELECT p_brand, count(*) AS n FROM part WHERE p_brand NOT IN (SELECT name FROM m) GROUP BY 1")
 def unmapped_peptides(spark, sf_dir):
-    m = D.view(spark, sf_dir, _MAP, "part")
+    m = label.last_by_name(_mapping(spark, sf_dir), "line")
     p = _table(spark, sf_dir, "part")
     return p.join(m, p.p_brand == m.name, "left_anti").groupBy("p_brand").agg(F.count("*").alias("n"))
 
 
-# --- reads: barcodes and consensus -------------------------------------------------------------
-
-EXTRACTED = f"""
-reads AS ({D.READS}),
-ex AS (SELECT *, instr(seq, '{ANCHOR}') AS hit, CASE WHEN length(seq) < 23 THEN 'too_short' WHEN instr(seq, '{ANCHOR}') = 0 THEN 'no_anchor' WHEN instr(seq, '{ANCHOR}') - 1 NOT BETWEEN 12 AND 15 THEN 'anchor_wrong_pos' WHEN length(seq) < instr(seq, '{ANCHOR}') + 8 THEN 'empty_insert' END AS drop_reason FROM reads),
-ok AS (SELECT k, read_no, tmpl, substr(seq, hit - 12, 12) AS umi, substr(seq, hit + 8) AS insert, substr(qual, hit + 8) AS insert_qual FROM ex WHERE drop_reason IS NULL)"""
-COLUMNS = f"""{EXTRACTED},
-b AS (SELECT umi, p - 1 AS pos, substr(insert, p, 1) AS base, least(greatest(pow(10.0::double, -(ascii(substr(insert_qual, p, 1)) - 33) / 10.0::double), 1e-12), 1 - 1e-12) AS pe FROM (SELECT umi, insert, insert_qual, unnest(range(1, length(insert) + 1)) AS p FROM ok)),
-v AS (SELECT umi, pos, {', '.join(f"coalesce(round(sum(ln(1 - pe) - ln(pe / 3)) FILTER (base = '{x}'), 9), 0) AS {x}" for x in 'ACGT')} FROM b GROUP BY 1, 2),
-s AS (SELECT *, list_sort([A, C, G, T], 'DESC') AS r FROM v),
-d AS (SELECT *, round(r[1] - r[2], 6) AS log_delta FROM s),
-cols AS (SELECT umi, pos, CASE WHEN log_delta < 2 THEN 'N' WHEN A = r[1] THEN 'A' WHEN C = r[1] THEN 'C' WHEN G = r[1] THEN 'G' ELSE 'T' END AS call, log_delta FROM d)"""
-
-
-def _extracted(spark, sf_dir):
-    return umi.extract(D.reads(spark, sf_dir), ANCHOR)
-
-
-def _umis(spark, sf_dir):
-    # one shuffle of the reads by barcode; everything grouped below by barcode needs no other
-    return _extracted(spark, sf_dir).where("drop_reason IS NULL").select("k", "read_no", "tmpl", "umi", "insert", "insert_qual").repartition("umi")
-
-
-@query(f"WITH {EXTRACTED} SELECT coalesce(drop_reason, 'ok') AS reason, count(*) AS n FROM ex GROUP BY 1")
-def umi_extract_reasons(spark, sf_dir):
-    return _extracted(spark, sf_dir).groupBy(F.coalesce("drop_reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
-
-
-@query(f"WITH {COLUMNS} SELECT umi, CAST(pos AS int) AS pos, call, log_delta FROM cols")
-def umi_consensus_calls(spark, sf_dir):
-    return umi.posterior_columns(_umis(spark, sf_dir))
-
-
-@query(f"""WITH {COLUMNS}, g AS (SELECT umi, string_agg(call, '' ORDER BY pos) AS cons_seq, list(log_delta ORDER BY log_delta) AS d FROM cols GROUP BY 1)
-SELECT umi, cons_seq, len(d) AS cons_len, CAST(length(cons_seq) - length(replace(cons_seq, 'N', '')) AS bigint) AS n_n, round(d[1], 3) AS min_log_delta, round((d[(len(d) + 1) // 2] + d[len(d) // 2 + 1]) / 2, 3) AS median_log_delta, round(d[(len(d) - 1) // 10 + 1], 3) AS p10_log_delta FROM g""")
-def umi_consensus_qc(spark, sf_dir):
-    return umi.consensus(umi.posterior_columns(_umis(spark, sf_dir)))
-
-
-CLASSES = f"{EXTRACTED}, c AS (SELECT umi, count(*) AS n_reads FROM ok GROUP BY 1), k AS (SELECT *, CASE WHEN n_reads >= 3 THEN 'consensus' WHEN n_reads = 1 THEN 'singleton' ELSE 'other' END AS kind FROM c)"
-
-
-@query(f"WITH {CLASSES} SELECT kind, count(*) AS n_umis, CAST(sum(n_reads) AS bigint) AS n_reads FROM k GROUP BY 1")
-def umi_classes(spark, sf_dir):
-    return umi.classes(_umis(spark, sf_dir), 3).groupBy("kind").agg(F.count("*").alias("n_umis"), F.sum("n_reads").alias("n_reads"))
-
-
-@query(f"WITH {CLASSES} SELECT n_reads, count(*) AS n_umis FROM k GROUP BY 1")
-def reads_per_umi_hist(spark, sf_dir):
-    return umi.classes(_umis(spark, sf_dir)).groupBy("n_reads").agg(F.count("*").alias("n_umis"))
-
-
-@query(f"WITH {EXTRACTED} SELECT substr(insert, 1, 12) AS variant, count(DISTINCT umi) AS n_umis FROM ok GROUP BY 1 HAVING count(DISTINCT umi) >= 3")
-def singleton_rescue(spark, sf_dir):
-    return umi.rescue(_umis(spark, sf_dir).withColumn("variant", F.substring("insert", 1, 12)), 3)
-
-
-@query(f"WITH {EXTRACTED} SELECT k, read_no, substr(insert, 1, 12) AS variant FROM ok WHERE substr(insert, 1, 12) IN (SELECT substr(insert, 1, 12) FROM ok GROUP BY 1 HAVING count(DISTINCT umi) >= 3)")
-def rescued_reads(spark, sf_dir):
-    return umi.rescued_reads(_umis(spark, sf_dir).withColumn("variant", F.substring("insert", 1, 12)), 3).select("k", "read_no", "variant")
-
-
-@query(f"""WITH {EXTRACTED}, b AS (SELECT umi, read_no, p - 1 AS pos, substr(insert, p, 1) AS base FROM (SELECT umi, read_no, insert, unnest(range(1, length(insert) + 1)) AS p FROM ok)),
-v AS (SELECT umi, pos, base, count(*) AS n, min(read_no) AS seen FROM b GROUP BY 1, 2, 3)
-SELECT umi, CAST(pos AS int) AS pos, base AS call FROM v QUALIFY row_number() OVER (PARTITION BY umi, pos ORDER BY n DESC, seen) = 1""")
-def majority_consensus(spark, sf_dir):
-    return umi.majority(_umis(spark, sf_dir))
-
-
-SOFT = f"""{EXTRACTED}, c AS (SELECT umi, insert, count(*) AS n FROM ok GROUP BY 1, 2),
-w AS (SELECT umi, insert, n, row_number() OVER o AS rank, sum(n) OVER (PARTITION BY umi) AS total, coalesce(sum(n) OVER (PARTITION BY umi ORDER BY n DESC, insert ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c WINDOW o AS (PARTITION BY umi ORDER BY n DESC, insert))"""
-
-
-@query(f"WITH {SOFT} SELECT umi, insert, n, rank FROM w WHERE before / total < 0.9 AND rank <= 3")
-def soft_consensus(spark, sf_dir):
-    return umi.soft(_umis(spark, sf_dir))
-
-
-@query(f"WITH {SOFT}, p AS (SELECT * FROM (VALUES (1, 1), (2, 1), (3, 1), (1, 2), (2, 2)) t(top_k, least)), f AS (SELECT p.*, c.* FROM c, p WHERE n >= least), r AS (SELECT *, row_number() OVER (PARTITION BY top_k, least, umi ORDER BY n DESC, insert) AS rank FROM f) SELECT CAST(top_k AS int) AS top_k, CAST(least AS int) AS least, count(*) AS n_rows, CAST(sum(n) AS bigint) AS n_reads FROM r WHERE rank <= top_k GROUP BY 1, 2")
-def soft_consensus_grid(spark, sf_dir):
-    base = _umis(spark, sf_dir)
-    out = None
-    for k, least in ((1, 1), (2, 1), (3, 1), (1, 2), (2, 2)):
-        one = umi.soft(base, k, 0, least).agg(F.lit(k).alias("top_k"), F.lit(least).alias("least"), F.count("*").alias("n_rows"), F.sum("n").alias("n_reads"))
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@query(f"WITH {EXTRACTED} SELECT umi, round(avg(CAST(hamming(insert, tmpl) AS double)), 9) AS divergence FROM ok GROUP BY 1")
-def hamming_divergence(spark, sf_dir):
-    return _umis(spark, sf_dir).withColumn("h", S.hamming("insert", "tmpl")).groupBy("umi").agg(F.round(F.avg("h"), 9).alias("divergence"))
-
+# --- library: regions and designs --------------------------------------------------------------
 
 _codon_sql = lambda s, i: f"CASE WHEN regexp_full_match(substr({s}, {3 * i + 1}, 3), '[ACGT]{{3}}') THEN substr('{S.AMINO}', 16 * (instr('TCAG', substr({s}, {3 * i + 1}, 1)) - 1) + 4 * (instr('TCAG', substr({s}, {3 * i + 2}, 1)) - 1) + instr('TCAG', substr({s}, {3 * i + 3}, 1)), 1) ELSE 'X' END"
 _translate_sql = lambda s, n=11: "concat(" + ", ".join(_codon_sql(s, i) for i in range(n)) + ")"
 
-
-@query(f"WITH {EXTRACTED}, t AS (SELECT umi, {_translate_sql('insert')} AS aa FROM ok) SELECT aa, count(*) AS reads, count(DISTINCT umi) AS umi_count, array_to_string(list_sort(list(DISTINCT umi)), ',') AS umis FROM t GROUP BY 1")
-def translation_rollup(spark, sf_dir):
-    t = _umis(spark, sf_dir).select("umi", S.translate_region("insert").alias("aa"))
-    return t.groupBy("aa").agg(F.count("*").alias("reads"), F.count_distinct("umi").alias("umi_count"), F.array_join(F.sort_array(F.collect_set("umi")), ",").alias("umis"))
-
-
-# --- library: regions and designs --------------------------------------------------------------
-
 REGION = f"""
 r AS ({D.REGIONS}),
 f AS (SELECT k, seq, CASE WHEN instr(seq, '{ANCHOR}') = 0 THEN 0 ELSE length(seq) - instr(reverse(seq), '{ANCHOR[::-1]}') - 6 END AS hit FROM r),
@@ -298,37 +203,7 @@ def mutation_position_report(spark, sf_dir):
     return spark.range(1, 12).withColumnRenamed("id", "pos").join(seen, "pos", "left").select("pos", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-# --- trimming and funnels ----------------------------------------------------------------------
-
-FUNNEL = f"""reads AS ({D.READS}), t AS (SELECT k % 8 AS sample, qual, length(regexp_replace(qual, '[!-4]+$', '')) AS kept_length FROM reads),
-fun AS (SELECT sample, count(*) AS reads_in, CAST(sum(length(qual)) AS bigint) AS bases_in, count(*) FILTER (kept_length >= 50) AS reads_out, CAST(coalesce(sum(kept_length) FILTER (kept_length >= 50), 0) AS bigint) AS bases_out, count(*) FILTER (kept_length < length(qual)) AS reads_qtrimmed FROM t GROUP BY 1)"""
-
-
-def _funnel(spark, sf_dir):
-    return trim.trim_summary(trim.quality_trim(D.reads(spark, sf_dir).withColumn("sample", F.col("k") % 8), 20, 50), ["sample"])
-
-
-@query(f"WITH reads AS ({D.READS}) SELECT k, read_no, CAST(length(regexp_replace(qual, '[!-4]+$', '')) AS bigint) AS kept_length FROM reads")
-def quality_trim(spark, sf_dir):
-    return trim.quality_trim(D.reads(spark, sf_dir), 20).select("k", "read_no", "kept_length")
-
-
-@query(f"WITH {FUNNEL} SELECT * FROM fun")
-def read_funnel_pivot(spark, sf_dir):
-    long = trim.long_metrics(_funnel(spark, sf_dir), ["sample"], "trim")
-    wide = trim.metric_table(long, ["sample"])
-    return wide.select("sample", *[F.col(c).cast("long").alias(c) for c in wide.columns if c != "sample"])
-
-
-@query(f"WITH {FUNNEL} SELECT sample, metric, CAST(value AS double) AS value, 'trim' AS step FROM (UNPIVOT fun ON reads_in, bases_in, reads_out, bases_out, reads_qtrimmed INTO NAME metric VALUE value)")
-def read_funnel_long(spark, sf_dir):
-    return trim.long_metrics(_funnel(spark, sf_dir), ["sample"], "trim")
-
-
-@query(f"WITH {FUNNEL} SELECT sample, reads_out / reads_in AS pass_rate, bases_out / bases_in AS base_rate FROM fun")
-def pass_rate_report(spark, sf_dir):
-    return _funnel(spark, sf_dir).select("sample", F.try_divide("reads_out", "reads_in").alias("pass_rate"), F.try_divide("bases_out", "bases_in").alias("base_rate"))
-
+# --- sample sheets -----------------------------------------------------------------------------
 
 _PATH = "concat('/data/', CASE WHEN o_orderkey % 3 = 0 THEN 'run1-1000M/' WHEN o_orderkey % 3 = 1 THEN 'run2-500M/' ELSE '' END, CASE WHEN o_orderkey % 17 = 0 THEN 'notes' ELSE concat('GFB-', cast(o_custkey AS string), '_2510601042_1_clib', o_orderstatus, 'x_S12_L00', cast(o_orderkey % 4 + 1 AS string), '_R1_001') END, '.fastq.gz')"
 
@@ -339,22 +214,15 @@ def sample_sheet_parse(spark, sf_dir):
     return fastq.sample_sheet(_table(spark, sf_dir, "orders").selectExpr(f"{_PATH} AS path"))
 
 
-@query(f"""WITH {FUNNEL}, x AS (SELECT CAST(sample % 3 AS bigint) AS lane, * FROM fun)
-SELECT lane, count(*) AS n, count(DISTINCT sample) AS samples, CAST(sum(reads_in) AS bigint) AS reads_in, CAST(sum(reads_out) AS bigint) AS reads_out, sum(reads_out) / sum(reads_in) AS rate FROM x GROUP BY 1""")
-def sample_qc_summary(spark, sf_dir):
-    g = _funnel(spark, sf_dir).groupBy((F.col("sample") % 3).alias("lane"))
-    return g.agg(F.count("*").alias("n"), F.count_distinct("sample").alias("samples"), F.sum("reads_in").alias("reads_in"), F.sum("reads_out").alias("reads_out")).withColumn("rate", F.try_divide("reads_out", "reads_in"))
-
-
 # --- statistics --------------------------------------------------------------------------------
 
-REFERENCE = "ACDEF"
+REFERENCE = "ACDEFGHIKLM"
 
 
-@query(f"WITH s AS ({D.SELECTION}), c AS (SELECT substr(aa_seq, 1, 5) AS aa_seq, count(*) AS n FROM s GROUP BY 1) SELECT CASE WHEN levenshtein(aa_seq, '{REFERENCE}') >= 5 THEN '4+' ELSE CAST(levenshtein(aa_seq, '{REFERENCE}') AS varchar) END AS bin, CAST(sum(n) AS bigint) AS n, count(*) AS n_variants FROM c GROUP BY 1")
+@query(f"""WITH s AS ({D.SELECTION}), c AS (SELECT aa_seq, levenshtein(aa_seq, '{REFERENCE}') AS d, count(*) AS n FROM s GROUP BY 1)
+SELECT CASE WHEN d >= 5 THEN '4+' ELSE CAST(d AS varchar) END AS bin, CAST(sum(n) AS bigint) AS n, count(*) AS n_variants FROM c GROUP BY 1""")
 def edit_distance_bins(spark, sf_dir):
-    c = D.selection(spark, sf_dir).groupBy(F.substring("aa_seq", 1, 5).alias("aa_seq")).agg(F.count("*").alias("n"))
-    return stats.distance_bins(c, REFERENCE)
+    return stats.distance_bins(D.selection(spark, sf_dir).groupBy("aa_seq").agg(F.count("*").alias("n")), REFERENCE)
 
 
 @query(f"WITH s AS ({D.SELECTION}), c AS (SELECT peptide, aa_seq, count(*) AS n FROM s GROUP BY 1, 2), w AS (SELECT peptide, aa_seq AS wt FROM c QUALIFY row_number() OVER (PARTITION BY peptide ORDER BY n DESC, aa_seq) = 1) SELECT peptide, wt, CAST(min(levenshtein(aa_seq, wt)) AS bigint) AS least, CAST(max(levenshtein(aa_seq, wt)) AS bigint) AS most, round(avg(levenshtein(aa_seq, wt)), 9) AS mean, CAST(median(levenshtein(aa_seq, wt)) AS double) AS middle FROM c JOIN w USING (peptide) GROUP BY 1, 2")
@@ -430,7 +298,8 @@ def gapped_motifs(spark, sf_dir):
     return stats.gapped_motifs(_labels(spark, sf_dir))
 
 
-@query(f"""WITH {POSITIONS}, g AS (SELECT CAST(pos AS int) AS pos, aa, round(ln((count(*) FILTER (specificity = 1) + 1) / (count(*) FILTER (specificity <> 1 AND specificity = 0) + 1)), 9) AS log_ratio FROM px GROUP BY 1, 2)
+@query(f"""WITH {POSITIONS}, grid AS (SELECT unnest(range(0, 11)) AS pos, a AS aa FROM (SELECT unnest(string_split('{S.AMINO_LETTERS}', '')) AS a)),
+g AS (SELECT CAST(grid.pos AS int) AS pos, grid.aa, round(ln((count(*) FILTER (specificity = 1) + 1) / (count(*) FILTER (specificity = 0) + 1)), 9) AS log_ratio FROM grid LEFT JOIN px ON grid.pos = px.pos AND grid.aa = px.aa GROUP BY 1, 2)
 SELECT pos, aa, log_ratio FROM g QUALIFY row_number() OVER (PARTITION BY pos ORDER BY log_ratio DESC, instr('{S.AMINO_LETTERS}', aa)) = 1""")
 def top_anchor_residue(spark, sf_dir):
     return stats.top_residue(_labels(spark, sf_dir), S.AMINO_LETTERS)
@@ -447,16 +316,10 @@ def aa_composition(spark, sf_dir):
     return g.crossJoin(F.broadcast(g.agg(F.sum("n").alias("t")))).select("aa", "n", (F.col("n") / F.col("t")).alias("share"))
 
 
-#: Kyte-Doolittle hydropathy.
-HYDROPATHY = {"A": 1.8, "R": -4.5, "N": -3.5, "D": -3.5, "C": 2.5, "Q": -3.5, "E": -3.5, "G": -0.4, "H": -3.2, "I": 4.5, "L": 3.8, "K": -3.9, "M": 1.9, "F": 2.8, "P": -1.6, "S": -0.8, "T": -0.7, "W": -0.9, "Y": -1.3, "V": 4.2}
-
-
-@query(f"WITH s AS ({D.SELECTION}), v AS (SELECT DISTINCT aa_seq FROM s), k AS (SELECT * FROM (VALUES {', '.join(f"('{a}', {v}::double)" for a, v in HYDROPATHY.items())}) t(aa, h)), x AS (SELECT aa_seq, substr(aa_seq, p, 1) AS aa FROM (SELECT aa_seq, unnest(range(1, 12)) AS p FROM v)) SELECT aa_seq, round(avg(h), 6) AS gravy, round(avg(CAST(aa IN ('F', 'W', 'Y') AS int)), 6) AS aromaticity FROM x JOIN k USING (aa) GROUP BY 1")
+@query(f"WITH s AS ({D.SELECTION}), v AS (SELECT DISTINCT aa_seq FROM s), k AS (SELECT * FROM (VALUES {', '.join(f"('{a}', {v}::double)" for a, v in P.HYDROPATHY.items())}) t(aa, h)), x AS (SELECT aa_seq, substr(aa_seq, p, 1) AS aa FROM (SELECT aa_seq, unnest(range(1, 12)) AS p FROM v)) SELECT aa_seq, round(avg(h), 6) AS gravy, round(avg(CAST(aa IN ('F', 'W', 'Y') AS int)), 6) AS aromaticity FROM x JOIN k USING (aa) GROUP BY 1")
 def gravy(spark, sf_dir):
     v = D.selection(spark, sf_dir).select("aa_seq").distinct()
-    h = F.create_map(*[F.lit(x) for kv in HYDROPATHY.items() for x in kv])
-    p = v.select("aa_seq", F.explode(F.split("aa_seq", "")).alias("aa"))
-    return p.groupBy("aa_seq").agg(F.round(F.avg(h[F.col("aa")]), 6).alias("gravy"), F.round(F.avg(F.col("aa").isin("F", "W", "Y").cast("int")), 6).alias("aromaticity"))
+    return v.select("aa_seq", F.round(P.gravy("aa_seq"), 6).alias("gravy"), F.round(P.aromaticity("aa_seq"), 6).alias("aromaticity"))
 
 
 @query(f"WITH {LABELS} SELECT pos_vs_lib_status, count(*) AS n, round(avg(count_pos3x), 6) AS mean, round(stddev_samp(count_pos3x), 6) AS sd, min(count_pos3x) AS min, quantile_cont(count_pos3x, 0.25) AS q1, quantile_cont(count_pos3x, 0.5) AS q2, quantile_cont(count_pos3x, 0.75) AS q3, max(count_pos3x) AS max FROM labels_ GROUP BY 1")
@@ -506,15 +369,3 @@ SELECT *, round((tp + tn) / (tp + fp + fn + tn), 9) AS accuracy, round(tp / (tp
 def confusion_mcc(spark, sf_dir):
     c = ml.confusion(_scored(spark, sf_dir), "grp", "label", "score", 100)
     return c.withColumns({n: F.round(n, 9) for n in ("accuracy", "precision", "recall", "f1", "mcc")})
-
-
-@query()
-def fuzzy_anchor(spark, sf_dir):
-    r = D.reads(spark, sf_dir).select("k", "read_no", "seq").withColumn("hit", search.edit_anchor("seq", ANCHOR, 1, 12, 15))
-    return r.select("k", "read_no", F.col("hit.start").alias("start"), F.col("hit.end").alias("end"), F.col("hit.any").alias("any"))
-
-
-@query(f"""WITH reads AS ({D.READS}), h AS (SELECT k, read_no, list_filter(range(1, CAST(length(seq) - 6 AS bigint)), lambda i: hamming(substr(seq, i, 8), '{ANCHOR}') <= 1) AS h FROM reads)
-SELECT k, read_no, CAST(coalesce(list_max(h), 0) AS int) AS hit FROM h""")
-def substitution_anchor_rightmost(spark, sf_dir):
-    return D.reads(spark, sf_dir).select("k", "read_no", search.last_substitution_hit("seq", ANCHOR, 1).alias("hit"))

@@ -1,5 +1,7 @@
 """Reads and selection rows derived from the driver's tables, as SQL text that Spark and DuckDB share."""
 
+from quillon.session import materialize
+
 HEX = "'0123456789abcdef'"
 ANCHOR = "ACATGACG"
 _K = "cast(l_orderkey AS string)"
@@ -43,8 +45,17 @@ def view(spark, sf_dir, sql, *tables):
     return spark.sql(sql)
 
 
+_reads = {}
+
+
 def reads(spark, sf_dir):
-    return view(spark, sf_dir, READS, "lineitem")
+    """The reads of a folder, written once a session: their text is made of hashes that no query should work out again."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _reads:
+        made = view(spark, sf_dir, READS, "lineitem")
+        _reads[key] = materialize(made.repartition(spark.sparkContext.defaultParallelism), "reads").written_to, made.schema
+    path, schema = _reads[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def selection(spark, sf_dir):

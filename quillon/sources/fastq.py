@@ -55,24 +55,38 @@ def write_fastq(reads, path):
     reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), "qual").alias("value")).write.option("compression", "gzip").text(path)
 
 
-def sample_sheet(paths, path="path"):
-    """sample_id, sample_name, run_depth, lane, read, fastq of FASTQ paths; sample_id is null where the name does not fit."""
+def sample_sheet(paths, path="path", run_depth=True):
+    """sample_id, sample_name, run_depth, lane, read, fastq of FASTQ paths; sample_id is null where the name does not fit.
+
+    run_depth is the first folder named like one, else null; without it, it is empty.
+    """
     file = F.element_at(F.split(path, "/"), -1)
     part = lambda i: F.nullif(F.regexp_extract(file, NAME, i), F.lit(""))
     folders = F.filter(F.split(path, "/"), lambda p: p.rlike(r"^run\d+-\d+M"))
-    return paths.select(part(1).alias("sample_id"), part(3).alias("sample_name"), F.try_element_at(folders, F.lit(1)).alias("run_depth"), part(4).alias("lane"), part(5).alias("read"), F.col(path).alias("fastq"))
+    depth = F.try_element_at(folders, F.lit(1)) if run_depth else F.lit("")
+    return paths.select(part(1).alias("sample_id"), part(3).alias("sample_name"), depth.alias("run_depth"), part(4).alias("lane"), part(5).alias("read"), F.col(path).alias("fastq"))
+
+
+def sheet_order():
+    return [F.col(c).asc_nulls_first() for c in ("sample_id", "sample_name", "lane", "read")]
+
+
+def collect_sample_sheet(spark, root, strict=True):
+    """(sheet in order, paths that do not fit). No file at all that fits is an error, unless not strict."""
+    every = sample_sheet(list_fastq(spark, root), run_depth=strict)
+    sheet, odd = every.where("sample_id is not null"), every.where("sample_id is null").select("fastq")
+    if strict and sheet.isEmpty():
+        raise ValueError(f"no FASTQ name below {root} fits")
+    return sheet.orderBy(*sheet_order(), "fastq"), odd
+
+
+def read_pairs(sheet):
+    """sample_id, sample_name, lane, r1, r2: the files of both reads, r2 null where it is missing."""
+    keys = ["sample_id", "sample_name", "lane"]
+    one, two = (sheet.where(F.col("read") == str(i)).groupBy(*keys).agg(F.min("fastq").alias(f"r{i}")) for i in (1, 2))
+    return one.join(two, keys, "left")
 
 
 def list_fastq(spark, root):
     """Paths of the gzip FASTQ files below root."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.fastq.gz").load(root).select("path")
-
-
-def read_table(spark, path, required=()):
-    """TSV, or CSV when the header has no tab; raises when required columns are missing."""
-    head = spark.read.text(path).first()
-    df = spark.read.csv(path, header=True, sep="\t" if head and "\t" in head[0] else ",")
-    missing = set(required) - set(df.columns)
-    if missing:
-        raise ValueError(f"{path}: missing columns {sorted(missing)}")
-    return df
