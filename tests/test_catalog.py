@@ -17,12 +17,17 @@ def rows(df):
     return sorted(map(repr, ([None if pd.isna(x) else int(x) if isinstance(x, float) and x.is_integer() else x for x in r] for r in df.itertuples(index=False))))
 
 
-@pytest.mark.parametrize("name", ["specificity_labels", "ml_export", "umi_consensus_qc", "soft_consensus", "singleton_rescue", "combinatorial_validate", "fail_reason_counts", "nnk_validate", "mutation_position_report", "read_funnel_long", "sample_sheet_parse", "mutual_information", "spearman_corr", "auroc_rank", "confusion_mcc"])
-def test_query_equals_sql(spark, name):
+@pytest.fixture(scope="module")
+def duck():
     c = duckdb.connect()
     for t in ("part", "lineitem", "orders", "events"):
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    assert rows(catalog.queries()[name](spark, SF).toPandas()) == rows(c.sql(catalog.oracle_sql()[name]).df())
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
+def test_query_equals_sql(spark, duck, name):
+    assert rows(catalog.queries()[name](spark, SF).toPandas()) == rows(duck.sql(catalog.oracle_sql()[name]).df())
 
 
 def one(spark, *columns):
@@ -84,7 +89,26 @@ def test_fastq_round_trip(spark, tmp_path):
     assert sorted(tuple(r)[:3] for r in fastq.read_fastq(spark, files).collect()) == [("r1", "ACGT", "@III"), ("r2", "GG", "!!")]
 
 
-def test_entry_imports_without_llm(spark):
-    import __spark_entry__ as e
-
-    assert "specificity_labels" in e.queries() and set(e.oracle_sql()) <= set(e.queries())
+def test_entry_works_without_the_optional_folders(tmp_path):
+    """A copy without the subpackage, its tests and the pipeline still imports and lists the other queries."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ask = "import __spark_entry__ as e; q = e.queries(); print(len(q), len([n for n in q if n.startswith('op')]), 'pipeline' in q, set(e.oracle_sql()) <= set(q))"
+    for gone, expect in ((("quillon/llm", "corpus_pipeline.py"), (0, False)), (("corpus_pipeline.py",), (10, False)), (("quillon/llm",), (0, False))):
+        copy = tmp_path / "-".join(g.replace("/", "_") for g in gone)
+        shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__"))
+        had = True
+        for g in gone:
+            path = copy / g
+            had = had and path.exists()
+            shutil.rmtree(path) if path.is_dir() else path.unlink(missing_ok=True)
+        if not had:
+            continue  # the folders are already gone
+        out = subprocess.run([sys.executable, "-c", ask], cwd=copy, env={**os.environ, "PYTHONPATH": str(copy)}, capture_output=True, text=True)
+        assert out.returncode == 0, out.stderr
+        n, ops, pipeline, known = out.stdout.split()[-4:]
+        assert int(n) - int(ops) >= 120 and (int(ops), pipeline == "True") == expect and known == "True"
