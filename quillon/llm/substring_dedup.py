@@ -42,7 +42,7 @@ U = W.U
 #: A window's place is one number: its minimum's token, and how far it reaches to either side.
 REACH_BITS = 10
 WINDOW = "key long, doc long, place long"
-LINKS = "doc long, other long, first int, end int, o_first int, o_end int"
+LINKS = "doc long, other long, first int, end int, o_first int, o_end int, n_words int, o_n_words int"
 #: One text in so many shows which keys are crowded.
 SAMPLE = 16
 
@@ -198,11 +198,13 @@ def _tokens(column, shingle):
 def _near_repeats(x, offsets, length):
     """Running count of tokens that the same row has less than `length` tokens before."""
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    key = W.mix64(x ^ W.mix64(row.astype(U) + U(1)))
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
+    # hash and place in one number: equal hashes lie together in order after one sort
+    low = (U(1) << U(max(int(len(x)).bit_length(), 1))) - U(1)
+    order = np.sort((W.mix64(x ^ W.mix64(row.astype(U) + U(1))) & ~low) | np.arange(len(x), dtype=U))
+    place = (order & low).astype(np.int64)
+    same = ((order[1:] ^ order[:-1]) & ~low) == 0
     close = np.zeros(len(x) + 1, np.int64)
-    close[order[1:][same & (order[1:] - order[:-1] < length)] + 1] = 1
+    close[place[1:][same & (place[1:] - place[:-1] < length)] + 1] = 1
     return np.cumsum(close)
 
 
@@ -231,9 +233,9 @@ class Verifier:
         if self.local:
             return self._around(p, c, h)
         shift = c - h
-        diagonal, of = np.unique(np.stack([p, shift], 1), axis=0, return_inverse=True)
-        of = of.ravel()
-        q, move = diagonal[:, 0], diagonal[:, 1]
+        half = np.int64(1) << 31
+        diagonal, of = np.unique((p << 32) + shift + half, return_inverse=True)
+        q, move = diagonal >> 32, (diagonal & ((half << 1) - 1)) - half
         lo = np.maximum(move, 0)
         size = np.maximum(np.minimum(np.diff(self.xo)[q], np.diff(self.yo)[q] + move) - lo, 0)
         done, out = np.zeros(len(p), bool), []
@@ -403,24 +405,35 @@ def _verify_batches(batches, shingle, length, num, den, local):
         for lo, hi in W.pieces(sum(o - o[0] for o in offsets), 8 * W.CHUNK):
             part = batch.slice(lo, hi - lo)
             p, mine, theirs = _flat(part.column("anchors"), "place", "other")
-            found = Verifier(part.column("ta"), part.column("tb"), shingle, length, num, den, local).passages(p, mine >> 2 * REACH_BITS, theirs >> 2 * REACH_BITS)
+            verifier = Verifier(part.column("ta"), part.column("tb"), shingle, length, num, den, local)
+            found = verifier.passages(p, mine >> 2 * REACH_BITS, theirs >> 2 * REACH_BITS)
             if found:
                 i, *spans = (np.array(q) for q in zip(*found))
                 more = (0, shingle - 1, 0, shingle - 1)
-                yield pa.RecordBatch.from_arrays([part.column(n).take(pa.array(i)) for n in ("doc", "head")] + [pa.array((q + e).astype(np.int32)) for q, e in zip(spans, more)], ["doc", "other", "first", "end", "o_first", "o_end"])
-
-
-def _agreeing_starts(places, length, agree, size):
-    """The windows of one text that overlap with enough others at some start."""
-    _, s0, s1 = _unpacked(places, length)
-    edge = np.zeros(size + length + 2, np.int64)
-    np.add.at(edge, s0, 1)
-    np.add.at(edge, s1 + 1, -1)
-    many = np.concatenate(([0], np.cumsum(np.cumsum(edge) >= agree)))
-    return many[s1 + 1] > many[s0]
+                sizes = [(np.diff(o)[i] + shingle - 1).astype(np.int32) for o in (verifier.xo, verifier.yo)]
+                columns = [part.column(n).take(pa.array(i)) for n in ("doc", "head")] + [pa.array((q + e).astype(np.int32)) for q, e in zip(spans, more)]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(z) for z in sizes], ["doc", "other", "first", "end", "o_first", "o_end", "n_words", "o_n_words"])
 
 
-def _near_batches(batches, shingle, length, agree):
+def _agreeing_windows(batches, length, agree):
+    """The windows of each text that overlap with enough others of it at some start."""
+    for batch in batches:
+        row, places = _flat(batch.column("open"), "place")
+        _, s0, s1 = _unpacked(places, length)
+        # starts of all texts on one line, a text's behind those of the one before
+        size = np.zeros(batch.num_rows + 1, np.int64)
+        np.maximum.at(size, row + 1, s1 + 2)
+        base = np.cumsum(size)[row]
+        edge = np.zeros(int(size.sum()) + 2, np.int64)
+        np.add.at(edge, base + s0, 1)
+        np.add.at(edge, base + s1 + 1, -1)
+        many = np.concatenate(([0], np.cumsum(np.cumsum(edge) >= agree)))
+        keep = many[base + s1 + 1] > many[base + s0]
+        docs = batch.column("doc").to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(docs[row[keep]]), pa.array(places[keep])], ["doc", "place"])
+
+
+def _near_batches(batches, shingle, length):
     """The shingles of a text that a comparison at one of its open windows can reach."""
     for batch in batches:
         x, offsets = _tokens(batch.column("text"), shingle)
@@ -429,7 +442,6 @@ def _near_batches(batches, shingle, length, agree):
         docs, out = batch.column("doc").to_pylist(), []
         for i, doc in enumerate(docs):
             mine, own = places[cuts[i] : cuts[i + 1]], x[offsets[i] : offsets[i + 1]]
-            mine = mine[_agreeing_starts(mine, length, agree, len(own))]
             if len(mine):
                 c, edge = mine >> 2 * REACH_BITS, np.zeros(len(own) + 1, np.int64)
                 np.add.at(edge, np.maximum(c - length + 1, 0), 1)
@@ -440,59 +452,65 @@ def _near_batches(batches, shingle, length, agree):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "x"])
 
 
-def _possible_batches(batches, shingle, length, num, den, agree):
+def _possible_batches(batches, shingle, length, num, den, step=256):
     """The open windows with enough shingles that other texts have near their open windows, and how many at best.
 
-    Similar sets share at least num/den of either. A window that repeats a shingle is let through, as odd.
+    Of similar sets either shares num/den or more of its shingles, each counted where it first
+    stands in a window. odd: some window there repeats a shingle.
     """
-    least = -(-num * length // den)
+    start, i = np.arange(length)[:, None], np.arange(2 * length - 1)[None, :]
+    window = (i >= start) & (i < start + length)
+    near = np.arange(-length + 1, length)
     for batch in batches:
         x, offsets = _tokens(batch.column("text"), shingle)
-        repeats = _near_repeats(x, offsets, length)
         row, places = _flat(batch.column("open"), "place")
-        cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        docs, commons, out = batch.column("doc").to_pylist(), batch.column("common"), []
-        for i, doc in enumerate(docs):
-            mine, own = places[cuts[i] : cuts[i + 1]], x[offsets[i] : offsets[i + 1]]
-            mine = mine[_agreeing_starts(mine, length, agree, len(own))]
-            if not len(mine):
-                continue
-            shared = commons[i].values
-            shared = np.zeros(0, np.int64) if shared is None else shared.to_numpy(zero_copy_only=False)
-            run = np.concatenate(([0], np.cumsum(np.isin(own.view(np.int64), shared))))
-            at = repeats[offsets[i] : offsets[i + 1] + 1]
-            held = run[length:] - run[:-length]
-            repeated = at[length:] > at[:-length]
-            c = mine >> 2 * REACH_BITS
-
-            def most(v):
-                """The greatest value among the windows that hold c."""
-                around = np.concatenate((np.zeros(length - 1, np.int64), v, np.zeros(length - 1, np.int64)))
-                return np.lib.stride_tricks.sliding_window_view(around, length)[c].max(1)
-
-            best, odd = most(held), most(repeated) > 0
-            keep = odd | (best >= least)
-            out.append((np.full(int(keep.sum()), doc, np.int64), mine[keep], best[keep], odd[keep]))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "place", "best", "odd"])
+        commons, of = batch.column("common"), np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        sizes = commons.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        named = lambda z, r: W.mix64(z ^ W.mix64(r.astype(U) + U(1)))
+        shared = np.isin(named(x, of), named(commons.flatten().to_numpy(zero_copy_only=False).view(U), np.repeat(np.arange(batch.num_rows), sizes)))
+        docs, close = batch.column("doc").to_numpy(zero_copy_only=False), _near_repeats(x, offsets, 2 * length)
+        for lo in range(0, len(row), step):
+            r, c = row[lo : lo + step], places[lo : lo + step] >> 2 * REACH_BITS
+            at = c[:, None] + near
+            valid = (at >= 0) & (at < np.diff(offsets)[r][:, None])
+            at = np.clip(at + offsets[r][:, None], 0, max(len(x) - 1, 0))
+            fits = valid[:, :length] & valid[:, length - 1 :]
+            mark = shared[at] & valid
+            run = np.zeros((len(r), 2 * length), np.int64)
+            np.cumsum(mark, 1, out=run[:, 1:])
+            size, held = np.full(fits.shape, length), run[:, length:] - run[:, :length]
+            again = np.flatnonzero(close[np.minimum(offsets[r] + c + length, offsets[r + 1])] > close[np.maximum(offsets[r] + c - length + 1, offsets[r])])
+            if len(again):
+                earlier = Verifier._earlier(x[at[again]], valid[again])
+                first = window & (earlier[:, None, :] < start)
+                size[again], held[again] = first.sum(2), (first & mark[again][:, None, :]).sum(2)
+            ok = fits & (held > 0) & (den * held >= num * size)
+            keep = ok.any(1)
+            odd = (fits & (size < length)).any(1)
+            if keep.any():
+                best = np.where(ok, held, 0).max(1)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[r[keep]]), pa.array(places[lo : lo + step][keep]), pa.array(best[keep]), pa.array(odd[keep])], ["doc", "place", "best", "odd"])
 
 
 def distinct_texts(docs):
-    """(doc, text) of each distinct text, under its least id; and (doc_id, doc) of all rows, with n_copies and n_words."""
-    row = docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("d"), F.size(F.expr("filter(split(text, '[ \\\\x09-\\\\x0D]+'), x -> x != '')")).alias("n_words"))
-    row = materialize(row, "rows")
-    own = row.groupBy("d").agg(F.min("doc_id").alias("least"), F.count_distinct("doc_id").alias("n_copies"), F.max("n_words").alias("n_words"))
+    """(doc, text) of each distinct text, under its least id; and (doc_id, doc) of all rows, with n_copies."""
+    digest = F.unhex(F.md5(F.col("text").cast("binary"))).alias("d")
+    row = materialize(docs.select("doc_id", digest), "rows")
+    own = row.groupBy("d").agg(F.min("doc_id").alias("least"), F.count_distinct("doc_id").alias("n_copies"))
     # an id under which different texts are the least ones names only one of them
     again = own.groupBy("least").agg(F.min("d").alias("first"), F.count("*").alias("n")).where("n > 1").select("least", "first")
     doc = F.when(F.col("d") != F.col("first"), F.xxhash64("d", "least")).otherwise(F.col("least")).alias("doc")
-    named = own.join(small_or_not(again), "least", "left").select("d", "least", "n_copies", "n_words", doc)
-    members = materialize(row.select("doc_id", "d").distinct().join(named, "d"), "members")
-    keyed = docs.withColumn("d", F.unhex(F.md5(F.col("text").cast("binary"))))
-    # most texts stand alone: only what differs is joined
-    gone = members.where("doc_id <> least").select("doc_id", "d").distinct()
-    renamed = members.where("doc_id = least and doc <> least").select("doc_id", "d", "doc").distinct()
-    kept = keyed.join(small_or_not(gone), ["doc_id", "d"], "left_anti").join(small_or_not(renamed), ["doc_id", "d"], "left")
-    return kept.select(F.coalesce("doc", "doc_id").alias("doc"), "text"), members.select("doc_id", "doc", "n_copies", "n_words")
+    named = own.join(small_or_not(again), "least", "left").select("d", "least", "n_copies", doc)
+    members = materialize(row.distinct().join(named, "d"), "members")
+    # most texts stand alone under an id of their own; only rows of ids that repeat are told apart by text
+    repeated = materialize(row.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    gone = members.where("doc_id <> least").select("doc_id").distinct()
+    kept = docs.join(small_or_not(gone.unionByName(repeated).distinct()), "doc_id", "left_anti").select(F.col("doc_id").alias("doc"), "text")
+    if not repeated.isEmpty():
+        first = members.where("doc_id = least").select("doc_id", "d", "doc").distinct()
+        odd = docs.join(small_or_not(repeated), "doc_id", "left_semi").select("doc_id", "text", digest).join(first, ["doc_id", "d"])
+        kept = kept.unionByName(odd.select("doc", "text").dropDuplicates(["doc"]))
+    return kept, members.select("doc_id", "doc", "n_copies")
 
 
 def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=6, agree=2, heads=2):
@@ -505,9 +523,9 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     units, copies = distinct_texts(docs)
     # equal texts share all of their words; texts that are one row each need no row here
-    whole = copies.where(f"n_copies > 1 and n_words >= {min_words}").select("doc", F.lit(0).alias("first"), F.col("n_words").cast("int").alias("end")).distinct()
-
-    sizes_ = copies.groupBy("doc").agg(F.max("n_words").alias("n_words"))
+    copied = units.join(small_or_not(copies.where("n_copies > 1").select("doc").distinct()), "doc", "left_semi")
+    whole = copied.select("doc", F.lit(0).alias("first"), F.size(F.expr("filter(split(text, '[ \\\\x09-\\\\x0D]+'), x -> x != '')")).alias("end"))
+    whole = materialize(whole.where(f"end >= {min_words}"), "copied")
 
     windows = lambda d: d.mapInArrow(lambda it: _window_batches(it, shingle, length, functions), WINDOW)
     crowded = crowded_ranges(windows(units.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")))
@@ -530,18 +548,19 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         from_ and to_ take in gaps beside a node that are too short for a passage of their own: one
         that was found there would overlap the node and be joined to it.
         """
-        spans = links.select("doc", "first", "end").unionByName(links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("o_end").alias("end"))).unionByName(whole).distinct()
+        theirs = links.select(F.col("other").alias("doc"), F.col("o_first").alias("first"), F.col("o_end").alias("end"), F.col("o_n_words").alias("n_words"))
+        spans = links.select("doc", "first", "end", "n_words").unionByName(theirs).unionByName(whole.withColumn("n_words", F.col("end"))).distinct()
         order = Window.partitionBy("doc").orderBy("first", "end")
         reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
         nth = F.sum(F.when(F.col("first") < F.coalesce(reach, F.lit(-1)), 0).otherwise(1)).over(order)
         own = Window.partitionBy("doc", "nth")
-        spans = spans.withColumn("nth", nth).select("doc", "first", "end", F.struct("doc", F.min("first").over(own).alias("a")).alias("node"), F.max("end").over(own).alias("b"))
+        spans = spans.withColumn("nth", nth).select("doc", "first", "end", "n_words", F.struct("doc", F.min("first").over(own).alias("a")).alias("node"), F.max("end").over(own).alias("b"))
         spans = materialize(spans, "nodes")
         mine = spans.select("doc", "first", "end", F.col("node").alias("u"))
         theirs = spans.select(F.col("doc").alias("other"), F.col("first").alias("o_first"), F.col("end").alias("o_end"), F.col("node").alias("v"))
         groups = components(links.join(mine, ["doc", "first", "end"]).join(theirs, ["other", "o_first", "o_end"]).select("u", "v"))
-        nodes = spans.select("node", "b").distinct().join(groups.withColumnRenamed("id", "node"), "node", "left")
-        nodes = nodes.select("node", "b", F.coalesce("component", "node").alias("g")).join(sizes_, F.col("node.doc") == F.col("doc")).drop("doc")
+        nodes = spans.select("node", "b", "n_words").distinct().join(groups.withColumnRenamed("id", "node"), "node", "left")
+        nodes = nodes.select("node", "b", "n_words", F.coalesce("component", "node").alias("g"))
         order = Window.partitionBy("node.doc").orderBy("node.a")
         before, after = F.coalesce(F.lag("b").over(order), F.lit(0)), F.lead("node.a").over(order)
         nodes = nodes.withColumns({
@@ -570,18 +589,20 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
     left = spanning(members.select("key", "doc", "place"), nodes, "open")
     discard(members)
     if not left.isEmpty():
-        opens = left.groupBy("doc").agg(F.collect_set(F.struct("place")).alias("open"))
-        opens = materialize(units.join(opens, "doc").select("doc", "text", "open"), "opens")
-        each = opens.mapInArrow(lambda it: _near_batches(it, shingle, length, agree), "doc long, x long")
+        places = F.collect_set(F.struct("place")).alias("open")
+        agreed = left.groupBy("doc").agg(places).mapInArrow(lambda it: _agreeing_windows(it, length, agree), "doc long, place long")
+        opens = materialize(agreed.groupBy("doc").agg(places), "agreeing")
+        texts = units.join(small_or_not(opens.select("doc")), "doc", "left_semi").join(opens, "doc").select("doc", "text", "open")
+        each = materialize(texts.mapInArrow(lambda it: _near_batches(it, shingle, length), "doc long, x long"), "near")
         shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
         common = each.join(shared, "x", "left_semi").groupBy("doc").agg(F.collect_list("x").alias("common"))
-        possible = opens.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den, agree), "doc long, place long, best long, odd boolean")
+        possible = texts.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, place long, best long, odd boolean")
         kept = left.join(possible, ["doc", "place"])
         # windows of `length` different shingles each share more of them than those that repeat some
         uneven = kept.groupBy("key").agg(F.max("odd").alias("uneven")).where("uneven").select("key", "uneven")
         kept = kept.join(uneven, "key", "left").where(F.expr(f"uneven or best >= {-(-2 * num * length // (num + den))}")).drop("odd", "uneven")
         kept = materialize(kept, "possible")
-        discard(opens, left)
+        discard(opens, each, left)
         left = kept
         for turn in range(heads):
             # the member that shares most with others takes the part of the head; next time one outside the largest group
