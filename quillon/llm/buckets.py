@@ -26,18 +26,25 @@ def crowded_ranges(sample, key="key"):
     return sorted(r.r for r in counted.where(F.col("n") > max(total / n, 100)).collect())
 
 
-def shared_members(rows, doc, head, crowded, key="key"):
-    """rows of keys that two or more docs have, each beside `head`, the least struct of its key.
+def shared_members(rows, doc, crowded, key="key"):
+    """rows of keys that two or more docs have, each beside `head`, the least row (by doc, then the rest) of its key.
 
-    Rows are dealt by key in one shuffle that both the aggregate and the join read. Those of
+    Rows are dealt by key in one shuffle that the aggregates and the join all read. Those of
     crowded ranges are dealt by key and salt: each salt finds its least row, these are brought
     together by key, one row a salt, and every salt joins its own rows with the outcome.
     """
+    rest = [doc, *[c for c in rows.columns if c not in (key, doc)]]
+    rows = rows.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in [key, *rest]])
     hot = _range(key).isin(crowded) if crowded else F.lit(False)
-    salt = F.when(hot, F.expr(f"pmod(xxhash64({', '.join(c for c in rows.columns if c != key)}), {parts(rows.sparkSession)})")).otherwise(0).cast("int")
+    salt = F.when(hot, F.expr(f"pmod(xxhash64({', '.join(rest)}), {parts(rows.sparkSession)})")).otherwise(-1).cast("int")
     dealt = rows.withColumn("salt", salt).repartition(key, "salt")
-    part = dealt.groupBy(key, "salt").agg(F.min(F.struct(*head)).alias("head"), F.max(doc).alias("most"))
+    # every branch below uses all columns and no filter that could move below the shuffle, so it is made once
+    part = dealt.groupBy(key, "salt").agg(F.min(F.struct(*rest)).alias("head"), F.max(doc).alias("most"), F.max("salt").alias("of"))
     if crowded:
-        whole = part.where(hot).groupBy(key).agg(F.min("head").alias("head"), F.max("most").alias("most"))
-        part = part.where(~hot).unionByName(part.where(hot).select(key, "salt").join(whole, key))
+        salted = part.where("of >= 0")
+        whole = salted.groupBy(key).agg(F.min("head").alias("h"), F.max("most").alias("m"))
+        salted = salted.join(whole, key).select(key, "salt", F.least("head", "h").alias("head"), F.greatest("most", "m").alias("most"))
+        part = part.where("of < 0").drop("of").unionByName(salted)
+    else:
+        part = part.drop("of")
     return dealt.join(part.where(F.col(f"head.{doc}") != F.col("most")).drop("most"), [key, "salt"]).drop("salt")

@@ -116,7 +116,7 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
         return pairs.select(F.xxhash64("i", "j", "a", "b").alias("key"), "id", "n")
 
     crowded = crowded_ranges(tables(classes.where(f"pmod(xxhash64(id), {SAMPLE}) = 0")))
-    members = shared_members(tables(classes), "id", ("id",), crowded)
+    members = shared_members(tables(classes), "id", crowded)
     members = materialize(members.select("key", F.col("head.id").alias("head"), "id", "n"), "buckets")
 
     near = materialize(members.groupBy("id").agg(F.min("head").alias("head"), F.first("n").alias("n")), "candidates")

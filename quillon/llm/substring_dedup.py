@@ -422,7 +422,7 @@ def _agreeing_windows(batches, length, agree):
         _, s0, s1 = _unpacked(places, length)
         # starts of all texts on one line, a text's behind those of the one before
         size = np.zeros(batch.num_rows + 1, np.int64)
-        np.maximum.at(size, row + 1, s1 + 2)
+        np.maximum.at(size, row + 1, np.maximum(s0, s1) + 2)
         base = np.cumsum(size)[row]
         edge = np.zeros(int(size.sum()) + 2, np.int64)
         np.add.at(edge, base + s0, 1)
@@ -529,7 +529,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
 
     windows = lambda d: d.mapInArrow(lambda it: _window_batches(it, shingle, length, functions), WINDOW)
     crowded = crowded_ranges(windows(units.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")))
-    members = materialize(shared_members(windows(units), "doc", ("doc", "place"), crowded), "windows")
+    members = materialize(shared_members(windows(units), "doc", crowded), "windows")
 
     def verified(pairs, name, local=True):
         """Passages that pairs (doc, place, head, other) of windows have in common."""
