@@ -30,6 +30,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Window, functions as F
 
 from quillon.llm import words as W
+from quillon.llm.near_dedup import small_or_not
 from quillon.llm.token_files import filesystem
 from quillon.session import materialize, ship_package, work_path
 
@@ -324,7 +325,9 @@ def judge(docs, width=1.5, short=30, few=30):
         at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("step")))
         return t.groupBy(*by).agg(at(0.25).alias(names[0]), at(0.75).alias(names[1]), F.max("all").alias(names[2]))
 
-    out = seen.join(quartiles(["lang"], ("p1", "p3", "_")), "lang", "left").join(quartiles(["lang", "length"], ("q1", "q3", "n")), ["lang", "length"], "left")
+    # a row a language, or eight: a few languages hold most documents, so these are not dealt by language
+    by_lang, by_length = (materialize(quartiles(by, names), "quartiles") for by, names in ((["lang"], ("p1", "p3", "_")), (["lang", "length"], ("q1", "q3", "n"))))
+    out = seen.join(small_or_not(by_lang), "lang", "left").join(small_or_not(by_length), ["lang", "length"], "left")
     enough = F.coalesce(F.col("n") >= few, F.lit(False))
     out = out.withColumn("low", F.when(enough, F.col("q1")).otherwise(F.col("p1"))).withColumn("high", F.when(enough, F.col("q3")).otherwise(F.col("p3")))
     range_ = F.col("high") - F.col("low")
