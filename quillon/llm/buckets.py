@@ -35,16 +35,17 @@ def shared_members(rows, doc, crowded, key="key"):
     """
     rest = [doc, *[c for c in rows.columns if c not in (key, doc)]]
     rows = rows.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in [key, *rest]])
-    hot = _range(key).isin(crowded) if crowded else F.lit(False)
+    if not crowded:
+        dealt = rows.repartition(key)
+        part = dealt.groupBy(key).agg(F.min(F.struct(*rest)).alias("head"), F.max(doc).alias("most"))
+        return dealt.join(part.where(F.col(f"head.{doc}") != F.col("most")).drop("most"), key)
+    hot = _range(key).isin(crowded)
     salt = F.when(hot, F.expr(f"pmod(xxhash64({', '.join(rest)}), {parts(rows.sparkSession)})")).otherwise(-1).cast("int")
     dealt = rows.withColumn("salt", salt).repartition(key, "salt")
     # every branch below uses all columns and no filter that could move below the shuffle, so it is made once
     part = dealt.groupBy(key, "salt").agg(F.min(F.struct(*rest)).alias("head"), F.max(doc).alias("most"), F.max("salt").alias("of"))
-    if crowded:
-        salted = part.where("of >= 0")
-        whole = salted.groupBy(key).agg(F.min("head").alias("h"), F.max("most").alias("m"))
-        salted = salted.join(whole, key).select(key, "salt", F.least("head", "h").alias("head"), F.greatest("most", "m").alias("most"))
-        part = part.where("of < 0").drop("of").unionByName(salted)
-    else:
-        part = part.drop("of")
+    salted = part.where("of >= 0")
+    whole = salted.groupBy(key).agg(F.min("head").alias("h"), F.max("most").alias("m"))
+    salted = salted.join(whole, key).select(key, "salt", F.least("head", "h").alias("head"), F.greatest("most", "m").alias("most"))
+    part = part.where("of < 0").drop("of").unionByName(salted)
     return dealt.join(part.where(F.col(f"head.{doc}") != F.col("most")).drop("most"), [key, "salt"]).drop("salt")
