@@ -1,5 +1,7 @@
 """Splits, resampling, features and metrics for labelled sequences."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Window, functions as F
 
 
@@ -111,10 +113,31 @@ def scale(rows, features="features"):
     return rows.join(F.broadcast(every)).withColumn("scaled", F.zip_with(features, "_sd", lambda x, sd: x / sd)).drop("_sd")
 
 
+def fourier_features(rows, kernel="rbf", gamma=0.05, width=256, seed=42, features="features"):
+    """Adds mapped: random features whose products come near a kernel, so that a linear model stands for a kernel machine.
+
+    rbf is exp(-gamma * squared distance), laplace exp(-gamma * sum of differences).
+    """
+    if kernel not in ("rbf", "laplace"):
+        raise ValueError(f"no such kernel: {kernel}")
+
+    @F.pandas_udf("array<double>")
+    def mapped(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        x = np.stack(x.to_numpy())
+        rng = np.random.default_rng(seed)
+        size = (x.shape[1], width)
+        w = rng.normal(scale=np.sqrt(2 * gamma), size=size) if kernel == "rbf" else gamma * rng.standard_cauchy(size)
+        return pd.Series(list(np.sqrt(2 / width) * np.cos(x @ w + rng.uniform(0, 2 * np.pi, width))))
+
+    return rows.withColumn("mapped", mapped(features))
+
+
 def fit_model(train, kind, label="label", features="features"):
     """A fitted MLlib model of balanced classes: logistic regression, forest, linear SVM or perceptron.
 
-    Kernel machines have no MLlib form; the perceptron has sigmoid units in place of rectified ones.
+    A kernel machine is an svm on fourier_features; the perceptron has sigmoid units in place of rectified ones.
     """
     from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
     from pyspark.ml.functions import array_to_vector

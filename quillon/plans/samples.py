@@ -203,6 +203,17 @@ def sample_configs(spark, sf_dir):
     return tables.sample_configs(_sheet(spark, sf_dir).where("sample_id IS NOT NULL"), {"quality": 20, "min_length": 50})
 
 
+@query(f"WITH reads AS ({D.READS}) SELECT concat(k, '-', read_no) AS read_id, seq, qual FROM reads")
+def fastq_round_trip(spark, sf_dir):
+    """All reads as gzip FASTQ files, a lane each, and back."""
+    r = D.reads(spark, sf_dir).select(F.concat_ws("-", "k", "read_no").alias("read_id"), "seq", "qual")
+    path = work_path(spark, "fastq")
+    fastq.write_fastq(r, path)
+    # a file a task that wrote one
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path").collect()
+    return fastq.read_fastq(spark, [f.path for f in files]).select("read_id", "seq", "qual")
+
+
 # --- extraction summaries ------------------------------------------------------------------------------
 
 

@@ -21,7 +21,7 @@ class _Reader(DataSourceReader):
         return [_File(p) for p in self.paths]
 
     def read(self, partition):
-        path = partition.path
+        path = partition.path.removeprefix("file://").removeprefix("file:")
         opened = gzip.open(path, "rt") if path.endswith(".gz") else open(path)
         with opened as f:
             while head := f.readline():

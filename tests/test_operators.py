@@ -3,6 +3,7 @@
 import difflib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.errors import PySparkException
@@ -195,6 +196,16 @@ def test_last_line_of_a_name_counts(spark):
     assert sorted(map(tuple, label.ml_rows(labels, m, "line").collect())) == sorted(map(tuple, label.ml_rows(labels, m.drop("line")).collect())) == [("X", "B", 1), ("Y", None, 0)]
 
 
+def test_random_features_come_near_their_kernel(spark):
+    x = [[0.0, 0.0, 1.0], [1.0, 0.0, 0.5], [0.2, 0.9, 0.1]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, features array<double>").coalesce(1)
+    for kernel, far in (("rbf", lambda a, b: sum((p - q) ** 2 for p, q in zip(a, b))), ("laplace", lambda a, b: sum(abs(p - q) for p, q in zip(a, b)))):
+        z = {r.i: np.array(r.mapped) for r in ml.fourier_features(df, kernel, 0.5, 20_000).collect()}
+        for i in range(3):
+            for j in range(3):
+                assert abs(z[i] @ z[j] - np.exp(-0.5 * far(x[i], x[j]))) < 0.03
+
+
 @pytest.mark.parametrize("kind", ["logistic", "svm", "forest", "perceptron"])
 def test_models_learn(spark, kind):
     rng = random.Random(3)
