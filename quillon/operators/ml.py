@@ -1,8 +1,9 @@
 """Splits, resampling, features and metrics for labelled sequences."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 
 BUCKETS = 4096
@@ -121,17 +122,18 @@ def fourier_features(rows, kernel="rbf", gamma=0.05, width=256, seed=42, feature
     if kernel not in ("rbf", "laplace"):
         raise ValueError(f"no such kernel: {kernel}")
 
-    @F.pandas_udf("array<double>")
-    def mapped(x: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype=object)
-        x = np.stack(x.to_numpy())
-        rng = np.random.default_rng(seed)
-        size = (x.shape[1], width)
-        w = rng.normal(scale=np.sqrt(2 * gamma), size=size) if kernel == "rbf" else gamma * rng.standard_cauchy(size)
-        return pd.Series(list(np.sqrt(2 / width) * np.cos(x @ w + rng.uniform(0, 2 * np.pi, width))))
-
-    return rows.withColumn("mapped", mapped(features))
+    def mapped(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(features).flatten().to_numpy().reshape(b.num_rows, -1)
+            rng = np.random.default_rng(seed)
+            size = (x.shape[1], width)
+            w = rng.normal(scale=np.sqrt(2 * gamma), size=size) if kernel == "rbf" else gamma * rng.standard_cauchy(size)
+            z = np.sqrt(2 / width) * np.cos(x @ w + rng.uniform(0, 2 * np.pi, width))
+            yield b.append_column("mapped", pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * width, pa.int32()), pa.array(z.ravel())))
+
+    return rows.mapInArrow(mapped, StructType([*rows.schema.fields, StructField("mapped", ArrayType(DoubleType()))]))
 
 
 def fit_model(train, kind, label="label", features="features"):

@@ -93,7 +93,7 @@ def extraction_inputs(consensus=None, rescued=None):
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def posterior_columns(umis, min_delta=2.0, digits=9):
+def posterior_columns(umis, min_delta=2.0, digits=6):
     """umi, pos (0-based), call, log_delta, and n_reads where umis have it. One hash aggregation; N where the lead is below min_delta."""
     keep = ["n_reads"] if "n_reads" in umis.columns else []
     bases = umis.select("umi", *keep, F.posexplode(F.split("insert", "")).alias("pos", "base"), "insert_qual")

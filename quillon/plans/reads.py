@@ -23,7 +23,7 @@ k AS (SELECT *, CASE WHEN n_reads >= 3 THEN 'consensus' WHEN n_reads = 1 THEN 's
 COLUMNS = f"""{EXTRACTED}, c AS (SELECT umi, count(*) AS n_reads FROM ok GROUP BY 1 HAVING count(*) >= {MIN_READS}),
 b AS (SELECT umi, n_reads, p - 1 AS pos, substr(insert, p, 1) AS base, least(greatest(pow(10.0::double, -(ascii(substr(insert_qual, p, 1)) - 33) / 10.0::double), 1e-12), 1 - 1e-12) AS pe
     FROM (SELECT umi, n_reads, insert, insert_qual, unnest(range(1, length(insert) + 1)) AS p FROM ok JOIN c USING (umi))),
-v AS (SELECT umi, n_reads, pos, {', '.join(f"coalesce(round(sum(ln(1 - pe) - ln(pe / 3)) FILTER (base = '{x}'), 9), 0) AS {x}" for x in 'ACGT')} FROM b GROUP BY 1, 2, 3),
+v AS (SELECT umi, n_reads, pos, {', '.join(f"coalesce(round(sum(ln(1 - pe) - ln(pe / 3)) FILTER (base = '{x}'), 6), 0) AS {x}" for x in 'ACGT')} FROM b GROUP BY 1, 2, 3),
 s AS (SELECT *, list_sort([A, C, G, T], 'DESC') AS r FROM v),
 d AS (SELECT *, round(r[1] - r[2], 6) AS log_delta FROM s),
 cols AS (SELECT umi, n_reads, pos, CASE WHEN log_delta < 2 THEN 'N' WHEN A = r[1] THEN 'A' WHEN C = r[1] THEN 'C' WHEN G = r[1] THEN 'G' ELSE 'T' END AS call, log_delta FROM d)"""
