@@ -113,7 +113,7 @@ def mix(docs, weights=WEIGHTS, cap=3, block=BLOCK, row_key=None):
     ranked = ranked.unionByName(short.select(F.col("z").alias("s"), F.explode(F.expr("sequence(coalesce(n, 0), last - 1)")).alias("b")))
 
     # blocks: documents in hash order, round and round up to the target, cut every `block` words
-    some = -(-rows // max(2000, math.isqrt(rows)))
+    some = -(-rows // max(256, math.isqrt(rows)))
     shuffled = sizes.where("size > 0").withColumn("bucket", F.expr(f"shiftright(h, 29) * {max(some, 1)}L div {1 << 31}L"))
     placed = _running(shuffled, ["source"], ["h", "doc_id", "rid"], "size", "bucket").join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     turns = placed.select("rid", "source", "size", "end", F.explode(F.expr(f"transform(sequence(0, {cap - 1}), i -> i * source_size + before)")).alias("from"))
