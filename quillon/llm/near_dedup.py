@@ -188,7 +188,7 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
 
 
 def drop_near_dups(docs, **options):
-    """docs with one row of each near-duplicate group: the one of least doc_id, rows without an id last.
+    """docs with one row of each near-duplicate group, the first in the order of the table.
 
     Rows are judged by their text, whatever their id: rows that share an id are copies only if
     their texts are, and rows without an id are judged like others. All columns pass through.
@@ -196,9 +196,7 @@ def drop_near_dups(docs, **options):
     spark = docs.sparkSession
     ship_package(spark)
     marked = materialize(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "near-dedup-rows")
-    found = near_dups(marked.select(F.col("row").alias("doc_id"), "doc.text"), **options).select(F.col("doc_id").alias("row"), F.col("component_id").alias("g"))
-    many = found.groupBy("g").count().where("count > 1").select("g")
-    groups = materialize(found.join(many, "g").join(marked.select("row", F.col("doc.doc_id").cast("long").alias("id")), "row"), "groups")
-    first = groups.groupBy("g").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")).select(F.col("first.row").alias("row"))
-    gone = groups.join(first, "row", "left_anti").select("row")
+    # a component's id is its least row, so no group is brought together to choose one
+    found = near_dups(marked.select(F.col("row").alias("doc_id"), "doc.text"), **options)
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("row")), "gone")
     return marked.join(small_or_not(gone), "row", "left_anti").select("doc.*")
