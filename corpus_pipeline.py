@@ -15,7 +15,7 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """One row of each near-duplicate group: five-word shingles, similarity 0.8 or more. Rows are judged by text, not id."""
+    """The first row of each near-duplicate group: five-word shingles, similarity 0.8 or more. Rows are judged by text, not id."""
     return near_dedup.drop_near_dups(docs)
 
 
