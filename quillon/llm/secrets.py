@@ -181,9 +181,10 @@ def _keyed(docs):
 
 def postings(docs, rules=RULES):
     """The index: trigram and the text (k, h) that has it, once each for equal rows of a partition."""
-    low = F.lower(F.col("text"))
-    held = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in index_trigrams(rules)]))
-    return _keyed(docs).select("k", "h", F.explode(held).alias("trigram"))
+    # exploded, so that each text is lowered once and not for each trigram again
+    low = _keyed(docs).select("k", "h", F.explode(F.array(F.lower("text"))).alias("low"))
+    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in index_trigrams(rules)]))
+    return low.select("k", "h", F.explode(held).alias("trigram"))
 
 
 def candidates(index, rules=RULES):
