@@ -15,7 +15,7 @@ windows of `length` tokens that hold a shared minimum, at every offset, and a ve
 takes in all of them. Verified passages are contracted to groups, and buckets that still hold
 different groups are resolved: first windows are dropped that have too few shingles of any other
 open text to be similar to one, or in which fewer than `agree` functions have an open window, then
-the rest (of the texts that still agree in so many) meet the members of their bucket that share most with others, `heads` times, and finally all pairs of a bucket that are in
+the rest (of the texts that still agree in so many) meet the members of their bucket that share most with others, up to `heads` times, and finally all pairs of a bucket that are in
 different groups are verified, so that no bucket's first member hides a link.
 
 Equal texts are one text in all of this and are brought back at the end.
@@ -453,7 +453,7 @@ def _near_batches(batches, shingle, length):
 
 
 def _possible_batches(batches, shingle, length, num, den, step=256):
-    """The open windows with enough shingles that other texts have near their open windows, and how many at best.
+    """The open windows with enough shingles that other texts have near their open windows, how many at best, and at what share.
 
     Of similar sets either shares num/den or more of its shingles, each counted where it first
     stands in a window. odd: some window there repeats a shingle.
@@ -488,8 +488,8 @@ def _possible_batches(batches, shingle, length, num, den, step=256):
             keep = ok.any(1)
             odd = (fits & (size < length)).any(1)
             if keep.any():
-                best = np.where(ok, held, 0).max(1)
-                yield pa.RecordBatch.from_arrays([pa.array(docs[r[keep]]), pa.array(places[lo : lo + step][keep]), pa.array(best[keep]), pa.array(odd[keep])], ["doc", "place", "best", "odd"])
+                best, share = np.where(ok, held, 0).max(1), np.where(ok, 1000 * held // np.maximum(size, 1), 0).max(1)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[r[keep]]), pa.array(places[lo : lo + step][keep]), pa.array(best[keep]), pa.array(share[keep]), pa.array(odd[keep])], ["doc", "place", "best", "share", "odd"])
 
 
 def distinct_texts(docs):
@@ -513,7 +513,7 @@ def distinct_texts(docs):
     return kept, members.select("doc_id", "doc", "n_copies")
 
 
-def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=6, agree=2, heads=2):
+def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=6, agree=2, heads=8):
     """doc_id, first_word, end_word, class_id, n_links of every passage that other documents have too."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -596,7 +596,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         each = materialize(texts.mapInArrow(lambda it: _near_batches(it, shingle, length), "doc long, x long"), "near")
         shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
         common = each.join(shared, "x", "left_semi").groupBy("doc").agg(F.collect_list("x").alias("common"))
-        possible = texts.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, place long, best long, odd boolean")
+        possible = texts.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, place long, best long, share long, odd boolean")
         kept = left.join(possible, ["doc", "place"])
         # windows of `length` different shingles each share more of them than those that repeat some
         uneven = kept.groupBy("key").agg(F.max("odd").alias("uneven")).where("uneven").select("key", "uneven")
@@ -605,19 +605,25 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         discard(opens, each, left)
         left = kept
         for turn in range(heads):
-            # the member that shares most with others takes the part of the head; next time one outside the largest group
+            # a member whose shingles others have all takes the part of the head; next time one outside the largest group
             main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
             some = left if turn == 0 else left.join(main, "key").where("g <> main")
-            pick = some.groupBy("key").agg(F.max_by(F.struct("doc", "place", "g"), F.struct("best", F.xxhash64(F.lit(turn), "key", "doc", "place"))).alias("p"))
+            pick = some.groupBy("key").agg(F.max_by(F.struct("doc", "place", "g"), F.struct("share", F.xxhash64(F.lit(turn), "key", "doc", "place"))).alias("p"))
             pairs = left.join(pick, "key").where("g <> p.g").select("doc", "place", F.col("p.doc").alias("head"), F.col("p.place").alias("other"))
             again = verified(pairs, "spans")
-            if again.isEmpty():
-                continue
-            links = links.unionByName(again)
+            found = again.count()
+            if found:
+                links = links.unionByName(again)
+            # two rounds at least, and more while they join many windows: each leaves fewer pairs to the end
+            last = turn > 0 and 50 * found < left.count()
+            if last and not found:
+                break
             nodes = grouped(links)
             kept = spanning(left.drop("g"), nodes, "open")
             discard(left)
             left = kept
+            if last:
+                break
         # what is left: every pair of windows of a bucket that are in different groups, once a pair
         main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
         light = left.join(main, "key").where("g <> main").drop("main")
