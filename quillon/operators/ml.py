@@ -136,14 +136,29 @@ def fourier_features(rows, kernel="rbf", gamma=0.05, width=256, seed=42, feature
     return rows.mapInArrow(mapped, StructType([*rows.schema.fields, StructField("mapped", ArrayType(DoubleType()))]))
 
 
+class OneLabel:
+    """Stands for a model where all rows to learn from have one label, or where there are none (label None)."""
+
+    def __init__(self, label, margin):
+        self.predicted = label
+        self.score = None if label is None else float(label or -margin)
+
+
 def fit_model(train, kind, label="label", features="features"):
     """A fitted MLlib model of balanced classes: logistic regression, forest, linear SVM or perceptron.
 
     A kernel machine is an svm on fourier_features; the perceptron has sigmoid units in place of rectified ones.
+    MLlib's fits fail or give single-class vectors unless both labels are there; other rows give a OneLabel.
     """
     from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
+    if kind not in ("logistic", "forest", "svm", "perceptron"):
+        raise ValueError(f"no such model: {kind}")
+    train = train.where(F.col(label).isNotNull())
+    least, most = train.agg(F.min(label), F.max(label)).first()
+    if least == most:
+        return OneLabel(least, margin=kind == "svm")
     rows = balanced_weights(train, label).withColumn("vector", array_to_vector(features))
     shared = {"featuresCol": "vector", "labelCol": label}
     if kind == "perceptron":
@@ -159,9 +174,14 @@ def fit_model(train, kind, label="label", features="features"):
 
 
 def predict(model, rows, features="features"):
-    """Adds score (the chance of label 1, or the margin of an SVM) and predicted."""
+    """Adds score (the chance of label 1, or the margin of an SVM) and predicted.
+
+    A OneLabel gives its label with chance 1 or margin 1 to every row, nulls if it learned from no row.
+    """
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
+    if isinstance(model, OneLabel):
+        return rows.withColumn("score", F.lit(model.score).cast("double")).withColumn("predicted", F.lit(model.predicted).cast("int"))
     out = model.transform(rows.withColumn("vector", array_to_vector(features)))
     raw = "probability" if "probability" in out.columns else "rawPrediction"
     return out.withColumn("score", vector_to_array(raw)[1]).withColumn("predicted", F.col("prediction").cast("int")).select(*rows.columns, "score", "predicted")

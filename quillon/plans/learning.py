@@ -7,6 +7,7 @@ from quillon.operators import ml
 from quillon.plans import derived as D
 from quillon.plans.catalog import LABELS, SCORED, _labels, _scored
 from quillon.plans.registry import query
+from quillon.session import materialize
 
 _ROWS = f"{LABELS}, r AS (SELECT concat(peptide, aa_seq) AS id, aa_seq, CAST(specificity = 1 AS int) AS label FROM labels_ WHERE specificity IN (0, 1))"
 
@@ -57,7 +58,8 @@ def _fitted(name, kind, kernel=None):
         rows, inputs = _features(spark, sf_dir), "features"
         if kernel:
             rows, inputs = ml.fourier_features(rows, kernel), "mapped"
-        split = ml.stratified_split(rows, "label", "id")
+        # a fit reads its rows many times; the labels behind them are worked out once
+        split = materialize(ml.stratified_split(rows, "label", "id"), f"split-{name}")
         model = ml.fit_model(split.where("NOT test"), kind, features=inputs)
         return ml.predict(model, split.where("test").select("id", "label", inputs), inputs).select("id", "label", F.round("score", 6).alias("score"), "predicted")
 

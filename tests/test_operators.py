@@ -214,3 +214,25 @@ def test_models_learn(spark, kind):
     split = ml.stratified_split(df, "label", "id").cache()
     out = ml.predict(ml.fit_model(split.where("NOT test"), kind), split.where("test")).collect()
     assert len(out) == 48 and sum(r.predicted == r.label for r in out) >= 44
+
+
+@pytest.mark.parametrize("kind", ["logistic", "svm", "forest", "perceptron"])
+def test_models_of_one_label_or_none(spark, kind):
+    """Larger selections have few labelled variants: none, or those of one label, are no error."""
+    schema = "id int, label int, features array<double>"
+    ask = spark.createDataFrame([(7, None, [1.0, 0.0]), (8, None, [0.0, 1.0])], schema)
+    for labels, score, predicted in (([], None, None), ([0, 0, 0], -1.0 if kind == "svm" else 0.0, 0), ([1], 1.0, 1)):
+        model = ml.fit_model(spark.createDataFrame([(i, x, [1.0, float(i)]) for i, x in enumerate(labels)], schema), kind)
+        out = ml.predict(model, ask)
+        assert out.columns == ["id", "label", "features", "score", "predicted"]
+        assert [(r.id, r.score, r.predicted) for r in out.orderBy("id").collect()] == [(7, score, predicted), (8, score, predicted)]
+
+
+def test_model_queries_without_labelled_rows(spark, tmp_path):
+    from quillon.plans import catalog
+
+    for t in ("lineitem", "part"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    for name in ("logistic", "svm", "svm_rbf", "svm_laplace", "forest", "perceptron"):
+        out = catalog.queries()[f"model_{name}"](spark, str(tmp_path))
+        assert out.columns == ["id", "label", "score", "predicted"] and out.isEmpty()
