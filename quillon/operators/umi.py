@@ -129,10 +129,10 @@ def consensus(columns):
 
 
 def majority(umis, order="read_no"):
-    """umi, pos, call by most votes; ties go to the base seen first."""
+    """umi, pos, call by most votes; ties go to the base seen first, then to the first letter, so that reruns agree."""
     bases = umis.select("umi", order, F.posexplode(F.split("insert", "")).alias("pos", "base"))
     votes = bases.groupBy("umi", "pos", "base").agg(F.count("*").alias("n"), F.min(order).alias("seen"))
-    return votes.groupBy("umi", "pos").agg(F.max_by("base", F.struct("n", -F.col("seen"))).alias("call"))
+    return votes.groupBy("umi", "pos").agg(F.min_by("base", F.struct(-F.col("n"), "seen", "base")).alias("call"))
 
 
 def divergence(umis, consensus):
