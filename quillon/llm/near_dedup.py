@@ -7,11 +7,11 @@ pair meets in some table with probability (1 - (1 - s**rows)**bundles)**2: 0.999
 with the default 14 bundles of 3. Links are confirmed on full shingle sets.
 
 Equal sets are collapsed first. Buckets are then resolved in three rounds, each verified and
-contracted before the next: the smallest id of each document's buckets, a different member of
-each bucket that still spans groups, and finally every pair of a bucket that is still in
+contracted before the next: the smallest id of each document's buckets, the member of least hash
+in each bucket that still spans groups, and finally every pair of a bucket that is still in
 different groups and whose sizes, shared shingles and parity sketches allow the similarity, once
 a pair. So no candidate link between groups is lost, yet a large group of copies costs a few pairs
-a document. A parity sketch has a bit for each of SKETCH_BITS hash values, set if an odd number of
+a document: buckets order their members by one hash, so those of a document mostly agree on it. A parity sketch has a bit for each of SKETCH_BITS hash values, set if an odd number of
 shingles has that value: two sketches differ in no more bits than the sets differ in shingles.
 
 Null or wordless texts have no shingles and link with nothing; rows without an id are returned
@@ -161,7 +161,7 @@ def near_dups(docs, shingle=5, num=80, den=100, bundles=14, rows=3):
     if not left.isEmpty():
         left = materialize(with_shared(left), "bounded")
         done.append(left)
-        pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g", "s", "sketch"), F.xxhash64("key", "id")).alias("p"))
+        pick = left.groupBy("key").agg(F.min_by(F.struct("id", "n", "g", "s", "sketch"), F.struct(F.xxhash64("id"), "id")).alias("p"))
         second = left.join(pick, "key").where(possible("g", "p.g", "n", "p.n", "s", "p.s", "sketch", "p.sketch")).select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
         links = links.unionByName(materialize(verified(second), "verified"))
         groups = components(links)

@@ -68,6 +68,30 @@ def test_near_dups_with_a_hub(spark):
     assert {r.doc_id: r.component_id for r in got} == expect
 
 
+def test_near_copies_make_few_links(spark, monkeypatch):
+    """Near copies whose first ones are too far from all others: a few links a document, no group lost."""
+    from quillon.llm import components as C
+
+    rng, rows = np.random.default_rng(5), []
+    for d in range(240):
+        t = [f"w{j}" for j in range(400)]
+        for j in rng.choice(400, 12 if d < 3 else 4, replace=False):
+            t[j] = f"e{d}x{j}"
+        rows.append((d, " ".join(t)))
+    links = []
+
+    def counting(df, name, written=near_dedup.materialize):
+        out = written(df, name)
+        if name == "links":
+            links.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "materialize", counting)
+    got = near_dedup.near_dups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_groups(rows, 5)
+    assert max(links) <= 12 * len(rows)
+
+
 def test_sketches_bound_the_difference():
     """Two parity sketches never differ in more bits than the sets differ in shingles."""
     rng = np.random.default_rng(5)
