@@ -13,10 +13,13 @@ on where `agree` of them overlap at one place in both texts: a pair of similarit
 probability 0.998, equal passages always do. Candidates are verified on the shingle sets of all
 windows of `length` tokens that hold a shared minimum, at every offset, and a verified passage
 takes in all of them. Verified passages are contracted to groups, and buckets that still hold
-different groups are resolved: first windows are dropped that have too few shingles of any other
-open text to be similar to one, or in which fewer than `agree` functions have an open window, then
-the rest (of the texts that still agree in so many) meet the members of their bucket that share most with others, up to `heads` times, and finally all pairs of a bucket that are in
-different groups are verified, so that no bucket's first member hides a link.
+different groups are resolved: windows are dropped in which fewer than `agree` functions have an
+open window, and those that have too few shingles of any other open text to be similar to one. Of
+the others each is dealt by its key and by each of its rarest shingles that others have, of which
+similar windows have one in common whatever else they differ in. So texts that share a frequent
+line, but not what stands beside it, don't meet. The texts of such a finer bucket meet one of it,
+and finally all its pairs that are still in different groups are verified, so that no bucket's
+first member hides a link.
 
 Equal texts are one text in all of this and are brought back at the end.
 
@@ -452,22 +455,50 @@ def _near_batches(batches, shingle, length):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)) for q in zip(*out)], ["doc", "x"])
 
 
-def _possible_batches(batches, shingle, length, num, den, step=256):
-    """The open windows with enough shingles that other texts have near their open windows, how many at best, and at what share.
+def _texts_with(x, of, commons):
+    """How many texts have each token x of the rows `of`, by the rows' list<struct<x, n>> column; 0 where it names none."""
+    row, tokens, n = _flat(commons, "x", "n")
+    if not len(tokens):
+        return np.zeros(len(x), np.int64)
+    named = lambda z, r: W.mix64(z ^ W.mix64(r.astype(U) + U(1)))
+    names, mine = named(tokens.view(U), row), named(x, of)
+    order = np.argsort(names)
+    names = names[order]
+    at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
+    return np.where(names[at] == mine, n[order][at], 0)
+
+
+def _before(order, first, length):
+    """How many tokens of each window come before each place's in `order`: rows by places by starts.
+
+    first: the places of each start whose token is there for the first time; None if no token repeats.
+    """
+    less = order[:, None, :] < order[:, :, None]
+    if first is not None:
+        return less.astype(np.float32) @ first.transpose(0, 2, 1).astype(np.float32)
+    run = np.zeros((*less.shape[:2], 2 * length), np.int16)
+    np.cumsum(less, 2, out=run[:, :, 1:])
+    return run[:, :, length:] - run[:, :, :length]
+
+
+def _possible_batches(batches, shingle, length, num, den, step=128):
+    """The open windows with enough shingles that other texts have near their open windows, and the rarest of these.
 
     Of similar sets either shares num/den or more of its shingles, each counted where it first
-    stands in a window. odd: some window there repeats a shingle.
+    stands in a window. Therefore the least shared one, in an order that is the same for all texts,
+    is among the few least of either. `rare` are those few of all windows that hold the minimum,
+    ordered by the number of texts that have them, less those that no other text has. The first
+    `sure` suffice if no window on either side repeats a shingle; odd: some window there does.
     """
     start, i = np.arange(length)[:, None], np.arange(2 * length - 1)[None, :]
     window = (i >= start) & (i < start + length)
     near = np.arange(-length + 1, length)
+    need = -(-2 * num * length // (num + den))
     for batch in batches:
         x, offsets = _tokens(batch.column("text"), shingle)
         row, places = _flat(batch.column("open"), "place")
-        commons, of = batch.column("common"), np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-        sizes = commons.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        named = lambda z, r: W.mix64(z ^ W.mix64(r.astype(U) + U(1)))
-        shared = np.isin(named(x, of), named(commons.flatten().to_numpy(zero_copy_only=False).view(U), np.repeat(np.arange(batch.num_rows), sizes)))
+        n_texts = _texts_with(x, np.repeat(np.arange(batch.num_rows), np.diff(offsets)), batch.column("common"))
+        order = np.where(n_texts > 0, np.minimum(n_texts, (1 << 22) - 1) << 40 | (W.mix64(x) >> U(24)).astype(np.int64), 0)
         docs, close = batch.column("doc").to_numpy(zero_copy_only=False), _near_repeats(x, offsets, 2 * length)
         for lo in range(0, len(row), step):
             r, c = row[lo : lo + step], places[lo : lo + step] >> 2 * REACH_BITS
@@ -475,21 +506,39 @@ def _possible_batches(batches, shingle, length, num, den, step=256):
             valid = (at >= 0) & (at < np.diff(offsets)[r][:, None])
             at = np.clip(at + offsets[r][:, None], 0, max(len(x) - 1, 0))
             fits = valid[:, :length] & valid[:, length - 1 :]
-            mark = shared[at] & valid
+            mark = (n_texts[at] > 0) & valid
             run = np.zeros((len(r), 2 * length), np.int64)
             np.cumsum(mark, 1, out=run[:, 1:])
             size, held = np.full(fits.shape, length), run[:, length:] - run[:, :length]
-            again = np.flatnonzero(close[np.minimum(offsets[r] + c + length, offsets[r + 1])] > close[np.maximum(offsets[r] + c - length + 1, offsets[r])])
-            if len(again):
+            again = close[np.minimum(offsets[r] + c + length, offsets[r + 1])] > close[np.maximum(offsets[r] + c - length + 1, offsets[r])]
+            first = np.zeros((len(r), *window.shape), bool)
+            if again.any():
                 earlier = Verifier._earlier(x[at[again]], valid[again])
-                first = window & (earlier[:, None, :] < start)
-                size[again], held[again] = first.sum(2), (first & mark[again][:, None, :]).sum(2)
+                first[again] = window & (earlier[:, None, :] < start)
+                size[again], held[again] = first[again].sum(2), (first[again] & mark[again][:, None, :]).sum(2)
             ok = fits & (held > 0) & (den * held >= num * size)
-            keep = ok.any(1)
             odd = (fits & (size < length)).any(1)
-            if keep.any():
-                best, share = np.where(ok, held, 0).max(1), np.where(ok, 1000 * held // np.maximum(size, 1), 0).max(1)
-                yield pa.RecordBatch.from_arrays([pa.array(docs[r[keep]]), pa.array(places[lo : lo + step][keep]), pa.array(best[keep]), pa.array(share[keep]), pa.array(odd[keep])], ["doc", "place", "best", "share", "odd"])
+            # where no set is smaller, similar windows have `need` in common
+            wide, sure = np.zeros(at.shape, bool), np.zeros(at.shape, bool)
+            for some in (np.flatnonzero(ok.any(1) & ~again), np.flatnonzero(ok.any(1) & again)):
+                if len(some):
+                    before = _before(order[at[some]], first[some] if again[some[0]] else None, length)
+                    z, held_by = size[some][:, None, :], window.T[None] & mark[some][:, :, None]
+                    wide[some] = (held_by & ok[some][:, None, :] & (before <= z + -num * z // den)).any(2)
+                    sure[some] = (held_by & (ok & (held >= need))[some][:, None, :] & (before <= length - need)).any(2)
+            wide |= sure
+            keep = np.flatnonzero(wide.any(1))
+            if len(keep):
+                of, j = np.nonzero(wide[keep])
+                tokens, late = x[at[keep[of], j]], ~sure[keep[of], j]
+                by = np.lexsort((late, tokens, of))
+                of, tokens, late = of[by], tokens[by], late[by]
+                once = np.concatenate(([True], (of[1:] != of[:-1]) | (tokens[1:] != tokens[:-1])))
+                of, tokens, late = of[once], tokens[once], late[once]
+                by = np.lexsort((late, of))
+                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(keep) + 1)), pa.int32()), pa.array(tokens[by].view(np.int64)))
+                n_sure = np.bincount(of, ~late, len(keep)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[r[keep]]), pa.array(places[lo : lo + step][keep]), rare, pa.array(n_sure), pa.array(odd[keep])], ["doc", "place", "rare", "sure", "odd"])
 
 
 def distinct_texts(docs):
@@ -513,7 +562,7 @@ def distinct_texts(docs):
     return kept, members.select("doc_id", "doc", "n_copies")
 
 
-def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=6, agree=2, heads=8):
+def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=6, agree=2):
     """doc_id, first_word, end_word, class_id, n_links of every passage that other documents have too."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -594,36 +643,24 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         opens = materialize(agreed.groupBy("doc").agg(places), "agreeing")
         texts = units.join(small_or_not(opens.select("doc")), "doc", "left_semi").join(opens, "doc").select("doc", "text", "open")
         each = materialize(texts.mapInArrow(lambda it: _near_batches(it, shingle, length), "doc long, x long"), "near")
-        shared = each.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("x")
-        common = each.join(shared, "x", "left_semi").groupBy("doc").agg(F.collect_list("x").alias("common"))
-        possible = texts.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, place long, best long, share long, odd boolean")
-        kept = left.join(possible, ["doc", "place"])
-        # windows of `length` different shingles each share more of them than those that repeat some
-        uneven = kept.groupBy("key").agg(F.max("odd").alias("uneven")).where("uneven").select("key", "uneven")
-        kept = kept.join(uneven, "key", "left").where(F.expr(f"uneven or best >= {-(-2 * num * length // (num + den))}")).drop("odd", "uneven")
-        kept = materialize(kept, "possible")
+        shared = each.groupBy("x").agg(F.count("*").alias("n")).where("n > 1")
+        common = each.join(shared, "x").groupBy("doc").agg(F.collect_list(F.struct("x", "n")).alias("common"))
+        possible = texts.join(common, "doc").mapInArrow(lambda it: _possible_batches(it, shingle, length, num, den), "doc long, place long, rare array<long>, sure long, odd boolean")
+        possible = materialize(left.join(possible, ["doc", "place"]), "possible")
         discard(opens, each, left)
-        left = kept
-        for turn in range(heads):
-            # a member whose shingles others have all takes the part of the head; next time one outside the largest group
-            main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
-            some = left if turn == 0 else left.join(main, "key").where("g <> main")
-            pick = some.groupBy("key").agg(F.max_by(F.struct("doc", "place", "g"), F.struct("share", F.xxhash64(F.lit(turn), "key", "doc", "place"))).alias("p"))
-            pairs = left.join(pick, "key").where("g <> p.g").select("doc", "place", F.col("p.doc").alias("head"), F.col("p.place").alias("other"))
-            again = verified(pairs, "spans")
-            found = again.count()
-            if found:
-                links = links.unionByName(again)
-            # two rounds at least, and more while they join many windows: each leaves fewer pairs to the end
-            last = turn > 0 and 50 * found < left.count()
-            if last and not found:
-                break
-            nodes = grouped(links)
-            kept = spanning(left.drop("g"), nodes, "open")
-            discard(left)
-            left = kept
-            if last:
-                break
+        # windows of `length` different shingles each share more of them than those that repeat some
+        uneven = possible.groupBy("key").agg(F.max("odd").alias("uneven")).where("uneven").select("key", "uneven")
+        rare = F.expr("if(uneven, rare, slice(rare, 1, int(sure)))")
+        kept = possible.join(uneven, "key", "left").select("key", F.xxhash64("g.doc", "g.a").alias("g"), "doc", "place", F.explode(rare).alias("x"))
+        finer = kept.select(F.xxhash64("key", "x").alias("key"), "g", "doc", "place")
+        crowded = crowded_ranges(finer.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0"))
+        left = materialize(shared_members(finer, "g", crowded), "finer")
+        discard(possible)
+        pairs = left.where("g <> head.g").select("doc", "place", F.col("head.doc").alias("head"), F.col("head.place").alias("other"))
+        links = links.unionByName(verified(pairs, "spans"))
+        nodes = grouped(links)
+        finer, left = left, spanning(left.select("key", "doc", "place"), nodes, "open")
+        discard(finer)
         # what is left: every pair of windows of a bucket that are in different groups, once a pair
         main = left.groupBy("key", "g").count().groupBy("key").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
         light = left.join(main, "key").where("g <> main").drop("main")

@@ -520,6 +520,64 @@ def test_passages_of_later_documents_only(spark):
     assert got == {4 * g + d for g in range(24) for d in (2, 3)}
 
 
+def test_pairs_of_a_common_line(spark, monkeypatch):
+    """80 texts share a line of 30 words, and 14 words on either side with one other text each: no passage, and few pairs."""
+    fresh = lambda d, n: [f"{d}_{i}" for i in range(n)]
+    line, m = fresh("line", 30), 40
+    texts = [fresh(f"l{k % m}", 14) + line + fresh(f"r{(k + k // m) % m}", 14) for k in range(2 * m)]
+    pairs, written = [], substring_dedup.materialize
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "anchors":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(substring_dedup, "materialize", counted)
+    got = substring_dedup.repeated_passages(spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string"))
+    assert got.isEmpty()
+    assert len(pairs) > 1 and sum(pairs) <= 4 * len(texts)
+
+
+def test_possible_windows_keep_a_shared_shingle():
+    """Every two similar windows around a minimum of theirs have one of their rarest shingles in common."""
+    rng, length = np.random.default_rng(5), 16
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for d in range(40):
+        t = list(base if d % 2 else [base[int(i)] for i in rng.integers(0, 60, 60)])
+        for at in rng.integers(0, 60, 3):
+            t[at] = f"w{rng.integers(0, 60)}"
+        texts.append(" ".join(t))
+    x, offsets = substring_dedup._tokens(pa.array(texts), 1)
+    own = [x[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    tokens, n = np.unique(np.concatenate([np.unique(o) for o in own]), return_counts=True)
+    common = [[{"x": int(t), "n": int(c)} for t, c in zip(tokens.view(np.int64), n) if c > 1 and t in o.view(np.int64)] for o in own]
+    open_ = [[{"place": c << 2 * substring_dedup.REACH_BITS} for c in range(len(o))] for o in own]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array(open_, pa.list_(pa.struct({"place": pa.int64()}))), pa.array(common, pa.list_(pa.struct({"x": pa.int64(), "n": pa.int64()})))],
+        ["doc", "text", "open", "common"],
+    )
+    found = {}
+    for b in substring_dedup._possible_batches([batch], 1, length, 80, 100):
+        for r in b.to_pylist():
+            found[r["doc"], r["place"] >> 2 * substring_dedup.REACH_BITS] = (set(r["rare"]), set(r["rare"][: r["sure"]]), r["odd"])
+    met = [0, 0]
+    for a in range(len(own)):
+        for b in range(a):
+            for s in range(0, 60 - length + 1, 3):
+                for t in range(max(s - 3, 0), min(s + 4, 60 - length + 1)):
+                    v, w = own[a][s : s + length], own[b][t : t + length]
+                    if substring_dedup._similar(v, w, 80, 100):
+                        shared = sorted(set(v.tolist()) & set(w.tolist()))[0]
+                        c, h = s + v.tolist().index(shared), t + w.tolist().index(shared)
+                        (wide, sure, odd), (wide2, sure2, odd2) = found[a, c], found[b, h]
+                        uneven = odd or odd2
+                        assert (wide & wide2) if uneven else (sure & sure2)
+                        met[uneven] += 1
+    assert min(met) > 0
+
+
 def test_classes_of_passages(spark):
     """A chain 0 - 1 - 2 over overlapping shares of one passage is one class; copies count each other."""
     fresh = lambda d, n: [f"d{d}_{i}" for i in range(n)]
