@@ -1,5 +1,7 @@
 """Buckets of rows with equal keys, dealt so that a crowded key is never one task's."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 #: Keys are counted by so many hash ranges; a range is crowded with more rows than a fair partition holds.
@@ -21,24 +23,62 @@ def crowded_ranges(sample, key="key"):
     dealt, not what comes out, so a sample of the rows will do.
     """
     n = parts(sample.sparkSession)
-    counted = sample.groupBy(_range(key).alias("r")).agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    return sorted(r.r for r in counted.where(F.col("n") > max(total / n, 100)).collect())
+    # one row a range, so that the sample is read once
+    counted = sample.groupBy(_range(key).alias("r")).agg(F.count("*").alias("n")).toArrow()
+    size = counted.column("n").to_numpy()
+    return sorted(counted.column("r").to_numpy()[size > max(size.sum() / n, 100)].tolist())
+
+
+def whole_groups(batches):
+    """The columns of batches sorted by their first one, as rows of an array, so that no group of it is cut."""
+    held = []
+    for batch in batches:
+        if batch.num_rows:
+            now = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            cut = np.searchsorted(now[0], now[0, -1])
+            if held and (cut or held[-1][0, -1] != now[0, 0]):
+                same = np.searchsorted(now[0], held[-1][0, -1], "right")
+                held.append(now[:, :same])
+                yield np.concatenate(held, 1)
+                held, now = [], now[:, same:]
+                cut = np.searchsorted(now[0], now[0, -1]) if now.shape[1] else 0
+            if cut:
+                yield now[:, :cut]
+            if now.shape[1] > cut:
+                held.append(now[:, cut:])
+    if held:
+        yield np.concatenate(held, 1)
+
+
+def _shared_batches(batches, names):
+    """Rows (key, doc, the rest) of keys that two or more docs have, with the least row of each key."""
+    for rows in whole_groups(batches):
+        start = np.flatnonzero(np.concatenate(([True], rows[0, 1:] != rows[0, :-1])))
+        size = np.diff(np.append(start, rows.shape[1]))
+        rows = rows[:, np.repeat(np.minimum.reduceat(rows[1], start) != np.maximum.reduceat(rows[1], start), size)]
+        if rows.shape[1]:
+            rows = rows[:, np.lexsort(rows[::-1])]
+            new = np.concatenate(([True], rows[0, 1:] != rows[0, :-1]))
+            least = rows[1:, np.flatnonzero(new)[np.cumsum(new) - 1]]
+            head = pa.StructArray.from_arrays([pa.array(c) for c in least], names[1:])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in rows), head], [*names, "head"])
 
 
 def shared_members(rows, doc, crowded, key="key"):
-    """rows of keys that two or more docs have, each beside `head`, the least row (by doc, then the rest) of its key.
+    """rows of keys that two or more docs have, each beside `head`, the least row (by doc, then the rest) of its key. All columns are longs.
 
-    Rows are dealt by key in one shuffle that the aggregates and the join all read. Those of
+    Rows are dealt and sorted by key once; where no range is crowded, the groups of keys are then
+    read in a stream, one after another. Else the aggregates and the join all read the shuffle. Rows of
     crowded ranges are dealt by key and salt: each salt finds its least row, these are brought
     together by key, one row a salt, and every salt joins its own rows with the outcome.
     """
     rest = [doc, *[c for c in rows.columns if c not in (key, doc)]]
     rows = rows.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in [key, *rest]])
     if not crowded:
-        dealt = rows.repartition(key)
-        part = dealt.groupBy(key).agg(F.min(F.struct(*rest)).alias("head"), F.max(doc).alias("most"))
-        return dealt.join(part.where(F.col(f"head.{doc}") != F.col("most")).drop("most"), key)
+        names = [key, *rest]
+        longs = lambda names, sep: ", ".join(f"{n}{sep} long" for n in names)
+        schema = f"{longs(names, '')}, head struct<{longs(rest, ':')}>"
+        return rows.repartition(key).sortWithinPartitions(key).mapInArrow(lambda it: _shared_batches(it, names), schema)
     hot = _range(key).isin(crowded)
     salt = F.when(hot, F.expr(f"pmod(xxhash64({', '.join(rest)}), {parts(rows.sparkSession)})")).otherwise(-1).cast("int")
     dealt = rows.withColumn("salt", salt).repartition(key, "salt")

@@ -193,8 +193,10 @@ def _agreeing_batches(batches, length, agree):
 
 
 def _tokens(column, shingle):
-    """All tokens of a text column, and where each row's begin."""
-    rows = [x for c in W.chunks(column) for x in W.shingle_rows(c, shingle)]
+    """All tokens of a text column, and where each row's begin. Equal texts are split once."""
+    texts = column.dictionary_encode()
+    each = [x for c in W.chunks(texts.dictionary) for x in W.shingle_rows(c, shingle)]
+    rows = [each[i] for i in texts.indices.to_pylist()]
     return np.concatenate([*rows, np.zeros(0, U)]), np.concatenate(([0], np.cumsum([len(x) for x in rows], dtype=np.int64)))
 
 
@@ -312,38 +314,8 @@ class Verifier:
         inside = (at >= 0) & (at < size[of])
         return out, inside & cover[np.where(inside, base[of] + at, total)]
 
-    def _reachable(self, x, xo, running, y, yo, p, c):
-        """Whether some window around c has enough tokens that the other text has anywhere."""
-        n = self.length
-        pairs = np.unique(p)
-        place = np.full(len(xo), -1)
-        place[pairs] = np.arange(len(pairs))
-        gather = lambda z, zo: (np.concatenate([z[zo[i] : zo[i + 1]] for i in pairs]), np.repeat(pairs, np.diff(zo)[pairs]))
-        (a, pa_), (b, pb) = gather(x, xo), gather(y, yo)
-        mixed = lambda z, w: W.mix64(z ^ W.mix64(w.astype(U) + U(1)))
-        run = np.concatenate(([0], np.cumsum(np.isin(mixed(a, pa_), mixed(b, pb)))))
-        base = np.concatenate(([0], np.cumsum(np.diff(xo)[pairs])))
-        size = np.diff(xo)[pairs]
-        k = np.arange(len(a)) - np.repeat(base[:-1], size)
-        fits = k + n <= np.repeat(size, size)
-        starts = np.flatnonzero(fits)
-        good = np.zeros(len(a) + 1, np.int64)
-        many = run[starts + n] - run[starts] >= self.need
-        many |= self._repeats(running, np.repeat(xo[pairs], size)[starts] + k[starts])
-        good[starts + 1] = many
-        good = np.cumsum(good)
-        i = place[p]
-        lo, hi = np.maximum(c - n + 1, 0), np.minimum(c + 1, size[i])
-        return good[base[i] + hi] > good[base[i] + lo]
-
     def _around(self, p, c, h, step=128):
         """Similar windows among all that hold c and h, for anchors that no diagonal covers."""
-        if not self.local:
-            ok = self._reachable(self.x, self.xo, self.rx, self.y, self.yo, p, c)
-            p, c, h = p[ok], c[ok], h[ok]
-        if len(p) and not self.local:
-            ok = self._reachable(self.y, self.yo, self.ry, self.x, self.xo, p, h)
-            p, c, h = p[ok], c[ok], h[ok]
         n, out = self.length, []
         near = np.arange(-n + 1, n)
 
@@ -359,13 +331,16 @@ class Verifier:
             # most fail here: a window needs that many tokens that the other text has nearby
             run = np.zeros((len(a), 2 * n), np.int64)
             np.cumsum(same.any(2), 1, out=run[:, 1:])
-            repeat = np.array([len(np.unique(z)) < len(z) for z in a]) | np.array([len(np.unique(z)) < len(z) for z in b])
+            repeat = np.zeros(len(a), bool)
+            for z in (a, b):
+                z = np.sort(z, 1)
+                repeat |= (z[:, 1:] == z[:, :-1]).any(1)
             ok = np.flatnonzero(((run[:, n:] - run[:, :n]).max(1) >= self.need) | repeat)
             if not len(ok):
                 continue
             same, a, b, va, vb, which = same[ok], a[ok], b[ok], va[ok], vb[ok], ok + lo
             sums = np.zeros((len(a), 2 * n, 2 * n), np.int32)
-            sums[:, 1:, 1:] = same.cumsum(1).cumsum(2)
+            np.cumsum(same.cumsum(1, np.int32), 2, out=sums[:, 1:, 1:])
             both = sums[:, n:, n:] - sums[:, :n, n:] - sums[:, n:, :n] + sums[:, :n, :n]
             # a window whose ends are inside the text is inside it
             fit = (va[:, :n] & va[:, n - 1 :])[:, :, None] & (vb[:, :n] & vb[:, n - 1 :])[:, None, :]
@@ -468,17 +443,31 @@ def _texts_with(x, of, commons):
     return np.where(names[at] == mine, n[order][at], 0)
 
 
-def _before(order, first, length):
-    """How many tokens of each window come before each place's in `order`: rows by places by starts.
+def _among_least(order, first, limits, mark, length):
+    """Whether some window has as few tokens before each place's as its limit says, for several arrays of limits.
 
     first: the places of each start whose token is there for the first time; None if no token repeats.
     """
-    less = order[:, None, :] < order[:, :, None]
-    if first is not None:
-        return less.astype(np.float32) @ first.transpose(0, 2, 1).astype(np.float32)
-    run = np.zeros((*less.shape[:2], 2 * length), np.int16)
-    np.cumsum(less, 2, out=run[:, :, 1:])
-    return run[:, :, length:] - run[:, :, :length]
+    places = order.shape[1]
+    kind = np.int8 if places < 127 else np.int16
+    before = np.zeros((places + 1, *order.shape), kind)
+    if first is None:
+        # starts on the outside, so that every step runs over whole rows
+        less = np.ascontiguousarray(order.T)[:, :, None] < order
+        for i in range(places):
+            np.add(before[i], less[i], out=before[i + 1])
+        before = before[length:] - before[:-length]
+    else:
+        less = (order[:, None, :] < order[:, :, None]).astype(np.float32)
+        before = (less @ first.transpose(0, 2, 1).astype(np.float32)).transpose(2, 0, 1).astype(kind)
+    out = []
+    for limit in limits:
+        near = before <= limit.T.astype(kind)[:, :, None]
+        hit = np.zeros(order.shape, bool)
+        for start in range(length):
+            hit[:, start : start + length] |= near[start, :, start : start + length]
+        out.append(hit & mark)
+    return out
 
 
 def _possible_batches(batches, shingle, length, num, den, step=128):
@@ -522,10 +511,8 @@ def _possible_batches(batches, shingle, length, num, den, step=128):
             wide, sure = np.zeros(at.shape, bool), np.zeros(at.shape, bool)
             for some in (np.flatnonzero(ok.any(1) & ~again), np.flatnonzero(ok.any(1) & again)):
                 if len(some):
-                    before = _before(order[at[some]], first[some] if again[some[0]] else None, length)
-                    z, held_by = size[some][:, None, :], window.T[None] & mark[some][:, :, None]
-                    wide[some] = (held_by & ok[some][:, None, :] & (before <= z + -num * z // den)).any(2)
-                    sure[some] = (held_by & (ok & (held >= need))[some][:, None, :] & (before <= length - need)).any(2)
+                    limits = np.where(ok, size + -num * size // den, -1)[some], np.where(ok & (held >= need), length - need, -1)[some]
+                    wide[some], sure[some] = _among_least(order[at[some]], first[some] if again[some[0]] else None, limits, mark[some], length)
             wide |= sure
             keep = np.flatnonzero(wide.any(1))
             if len(keep):
@@ -574,7 +561,8 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
     # equal texts share all of their words; texts that are one row each need no row here
     copied = units.join(small_or_not(copies.where("n_copies > 1").select("doc").distinct()), "doc", "left_semi")
     whole = copied.select("doc", F.lit(0).alias("first"), F.size(F.expr("filter(split(text, '[ \\\\x09-\\\\x0D]+'), x -> x != '')")).alias("end"))
-    whole = materialize(whole.where(f"end >= {min_words}"), "copied")
+    # chosen after it is written: a filter on the number of words would move below the joins, to all texts
+    whole = materialize(whole, "copied").where(f"end >= {min_words}")
 
     windows = lambda d: d.mapInArrow(lambda it: _window_batches(it, shingle, length, functions), WINDOW)
     crowded = crowded_ranges(windows(units.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")))
@@ -627,7 +615,8 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         inside = F.expr(f"get(filter(cover, s -> {c} >= s.from_ and {c} < s.to_), 0).g")
         g = members.join(cover, "doc", "left").select(*members.columns, F.coalesce(inside, F.struct("doc", F.lit(-1).alias("a"))).alias("g"))
         g = materialize(g, "marked")
-        open_ = g.groupBy("key").agg(F.min(F.struct("g", "doc")).alias("lo"), F.max(F.struct("g", "doc")).alias("hi")).where("lo.g <> hi.g").select("key")
+        named = g.select("key", F.xxhash64("g.doc", "g.a").alias("n"))
+        open_ = named.groupBy("key").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo <> hi").select("key")
         open_ = materialize(g.join(open_, "key"), name)
         discard(g)
         return open_

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from quillon.llm import decontaminate, language, mixing, near_dedup, perplexity, quality, queries, secrets, substring_dedup, token_files, url_filter, words as W
+from quillon.llm import buckets, decontaminate, language, mixing, near_dedup, perplexity, quality, queries, secrets, substring_dedup, token_files, url_filter, words as W
 
 TOK = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -520,6 +521,29 @@ def test_passages_of_later_documents_only(spark):
     assert got == {4 * g + d for g in range(24) for d in (2, 3)}
 
 
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3), st.integers(0, 2)), max_size=40), st.integers(1, 7))
+@settings(max_examples=200, deadline=None)
+def test_shared_members_in_a_stream(rows, size):
+    rows.sort(key=lambda r: r[0])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[a : a + size])], ["key", "doc", "place"]) for a in range(0, len(rows), size)]
+    got = [r for b in buckets._shared_batches(iter(batches), ["key", "doc", "place"]) for r in b.to_pylist()]
+    by = collections.defaultdict(list)
+    for key, *rest in rows:
+        by[key].append(tuple(rest))
+    expected = [(k, *r, min(v)) for k, v in by.items() if len({d for d, _ in v}) > 1 for r in v]
+    assert sorted((r["key"], r["doc"], r["place"], (r["head"]["doc"], r["head"]["place"])) for r in got) == sorted(expected)
+
+
+def test_fit_holds_one_copy_of_its_rows():
+    rng = np.random.default_rng(3)
+    x, y = rng.random((4000, len(quality.NAMES) + quality.BUCKETS), np.float32), rng.integers(0, 2, 4000)
+    tracemalloc.start()
+    quality.Ranker(x, y, 0.3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * 8 * x.size
+
+
 def test_pairs_of_a_common_line(spark, monkeypatch):
     """80 texts share a line of 30 words, and 14 words on either side with one other text each: no passage, and few pairs."""
     fresh = lambda d, n: [f"{d}_{i}" for i in range(n)]
