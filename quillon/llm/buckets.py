@@ -64,21 +64,25 @@ def _shared_batches(batches, names):
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in rows), head], [*names, "head"])
 
 
-def shared_members(rows, doc, crowded, key="key"):
+def shared_members(rows, doc, crowded, key="key", stream=False):
     """rows of keys that two or more docs have, each beside `head`, the least row (by doc, then the rest) of its key. All columns are longs.
 
-    Rows are dealt and sorted by key once; where no range is crowded, the groups of keys are then
-    read in a stream, one after another. Else the aggregates and the join all read the shuffle. Rows of
+    Rows are dealt by key in one shuffle that the aggregates and the join all read; or, with stream
+    and no crowded range, it is sorted and read once, in Python workers beside the executor. Rows of
     crowded ranges are dealt by key and salt: each salt finds its least row, these are brought
     together by key, one row a salt, and every salt joins its own rows with the outcome.
     """
     rest = [doc, *[c for c in rows.columns if c not in (key, doc)]]
     rows = rows.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in [key, *rest]])
-    if not crowded:
+    if not crowded and stream:
         names = [key, *rest]
         longs = lambda names, sep: ", ".join(f"{n}{sep} long" for n in names)
         schema = f"{longs(names, '')}, head struct<{longs(rest, ':')}>"
         return rows.repartition(key).sortWithinPartitions(key).mapInArrow(lambda it: _shared_batches(it, names), schema)
+    if not crowded:
+        dealt = rows.repartition(key)
+        part = dealt.groupBy(key).agg(F.min(F.struct(*rest)).alias("head"), F.max(doc).alias("most"))
+        return dealt.join(part.where(F.col(f"head.{doc}") != F.col("most")).drop("most"), key)
     hot = _range(key).isin(crowded)
     salt = F.when(hot, F.expr(f"pmod(xxhash64({', '.join(rest)}), {parts(rows.sparkSession)})")).otherwise(-1).cast("int")
     dealt = rows.withColumn("salt", salt).repartition(key, "salt")

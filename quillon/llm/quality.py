@@ -133,13 +133,17 @@ def fit_pairs(x, y, pairs=PAIRS, seed=7, steps=400, ridge=1e-3):
 class Ranker:
     def __init__(self, x, y, cut):
         self.cut = cut
-        x = x.astype(float)
-        self.center, self.scale = (x.mean(0), x.std(0) + 1e-6) if len(x) else (0, 1)
+        self.center, self.scale = 0, 1
         if len(x):
+            # a few columns at a time, as the driver should hold one copy of the rows in doubles and no more
+            sums = [(part.mean(0), part.std(0)) for part in (x[:, a : a + 64].astype(float) for a in range(0, x.shape[1], 64))]
+            self.center, self.scale = np.concatenate([m for m, _ in sums]), np.concatenate([d for _, d in sums]) + 1e-6
             self.scale[len(NAMES) :] = 1
         self.w, self.at, self.spread = None, 0.0, 1.0
         if len(np.unique(y)) == 2:
-            z = (x - self.center) / self.scale
+            z = x.astype(float)
+            z -= self.center
+            z /= self.scale
             self.w = fit_pairs(z, y)
             s = z @ self.w
             order = np.argsort(s, kind="stable")
@@ -170,10 +174,16 @@ def fit(docs, labels, cut=0.3, sample_rows=SAMPLE_ROWS):
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     got = rows.select("quality", "text").mapInArrow(_feature_batches, "quality int, x binary").toArrow()
-    y, raw = got.column("quality").to_numpy(), got.column("x").to_pylist()
-    order = sorted(range(len(y)), key=lambda i: (raw[i], y[i]))  # the same fit in whatever order rows came
-    x = np.frombuffer(b"".join(raw[i] for i in order), "<f4").reshape(len(y), len(NAMES) + BUCKETS)
-    return Ranker(x, y[order], cut)
+    y, width = got.column("quality").to_numpy(), len(NAMES) + BUCKETS
+    x = np.empty((len(y), width), "<f4")
+    at = 0
+    for part in got.column("x").chunks:
+        x[at : at + len(part)] = np.frombuffer(part.cast(pa.binary(4 * width)).buffers()[1], "<f4", len(part) * width, part.offset * 4 * width).reshape(-1, width)
+        at += len(part)
+    del got
+    pa.default_memory_pool().release_unused()
+    order = np.lexsort((y, x.view(f"S{4 * width}").ravel())) if len(y) else np.zeros(0, int)  # the same fit in whatever order rows came
+    return Ranker(x[order], y[order], cut)
 
 
 def _score_batches(batches, ranker):

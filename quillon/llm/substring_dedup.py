@@ -566,7 +566,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
 
     windows = lambda d: d.mapInArrow(lambda it: _window_batches(it, shingle, length, functions), WINDOW)
     crowded = crowded_ranges(windows(units.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")))
-    members = materialize(shared_members(windows(units), "doc", crowded), "windows")
+    members = materialize(shared_members(windows(units), "doc", crowded, stream=True), "windows")
 
     def verified(pairs, name, local=True):
         """Passages that pairs (doc, place, head, other) of windows have in common."""
@@ -643,7 +643,7 @@ def repeated_passages(docs, min_words=50, shingle=5, num=80, den=100, functions=
         kept = possible.join(uneven, "key", "left").select("key", F.xxhash64("g.doc", "g.a").alias("g"), "doc", "place", F.explode(rare).alias("x"))
         finer = kept.select(F.xxhash64("key", "x").alias("key"), "g", "doc", "place")
         crowded = crowded_ranges(finer.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0"))
-        left = materialize(shared_members(finer, "g", crowded), "finer")
+        left = materialize(shared_members(finer, "g", crowded, stream=True), "finer")
         discard(possible)
         pairs = left.where("g <> head.g").select("doc", "place", F.col("head.doc").alias("head"), F.col("head.place").alias("other"))
         links = links.unionByName(verified(pairs, "spans"))
