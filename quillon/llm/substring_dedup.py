@@ -89,9 +89,11 @@ def _hashed(x, f):
 def compact_windows(c, shingle, length, functions):
     """(row, first token of the row, l, c, r, key, context) arrays of a chunk, one tuple a function.
 
-    In a run of one token, which would have a node at each place, the run's last node stands for all
-    windows that hold it, and its first for those inside the run. context is a hash of all tokens of
-    the windows that a node is the minimum of.
+    l..r are the windows of `length` tokens of which c is the minimum: the first of them begins and
+    the last ends where the subtree does, unless it is cut by c itself. In a run of one token, which
+    would have a node at each place, the run's last node stands for all windows that hold it, and its
+    first for those inside the run; texts with such nodes get their subtrees from the tree. context is
+    a hash of all tokens of the windows that a node is the minimum of.
     """
     x = W.windows(c.hashes, shingle)
     n = len(x) - length + 1
@@ -99,35 +101,39 @@ def compact_windows(c, shingle, length, functions):
         return
     begin = c.ptr[:-1]
     end = np.maximum(c.ptr[1:] - shingle + 1, begin)
-    row = np.searchsorted(c.ptr, np.arange(n), "right") - 1
-    starts = np.flatnonzero(np.arange(n) + length <= end[row])
+    row = np.repeat(np.arange(len(begin)), np.diff(c.ptr))[: len(x)]
+    starts = np.flatnonzero(np.arange(n) + length <= end[row[:n]])
     if not len(starts):
         return
     low = (U(1) << U(max(int(len(x)).bit_length(), 1))) - U(1)
-    place = np.searchsorted(c.ptr, np.arange(len(x)), "right")
-    new = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (place[1:] != place[:-1]))))
-    run = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(x))))
-    run_first, run_last = new[run], (np.append(new[1:], len(x)) - 1)[run]
+    differs = (x[1:] != x[:-1]) | (row[1:] != row[:-1])
+    in_run = np.zeros(len(x), bool)
+    in_run[1:] = ~differs
+    in_run[:-1] |= ~differs
+    new = np.flatnonzero(np.concatenate(([True], differs)))
+    last = np.append(new[1:], len(x)) - 1
     power, inverse = W.powers(len(x) + 1)
     total = np.zeros(len(x) + 1, U)
     np.cumsum(x * power[: len(x)], out=total[1:])
     for f in range(functions):
         v = _hashed(x, f)
         least = sliding_minima(v, length)[starts]
-        least = np.where(run_last[least] - starts < length, run_last[least], run_first[least])
+        at_run = np.flatnonzero(in_run[least])
+        if len(at_run):
+            run = np.searchsorted(new, least[at_run], "right") - 1
+            least[at_run] = np.where(last[run] - starts[at_run] < length, last[run], new[run])
         edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         at, s0, s1 = least[edge], starts[edge], starts[np.append(edge[1:], len(starts)) - 1] + length
-        of = np.searchsorted(c.ptr, at, "right") - 1
-        cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True])))
-        values, places = (v[at] & ~low).tolist(), at.tolist()
-        left, right = [], []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            l, r = cartesian_windows(places[a:b], values[a:b], int(begin[of[a]]), int(end[of[a]]) - 1)
-            left += l
-            right += r
+        of = row[at]
+        left, right = s0, s1 - 1
+        if len(at_run):
+            left, right = left.copy(), right.copy()
+            for i in np.unique(of[in_run[at]]).tolist():
+                a, b = np.searchsorted(of, (i, i + 1))
+                left[a:b], right[a:b] = cartesian_windows(at[a:b].tolist(), (v[at[a:b]] & ~low).tolist(), int(begin[i]), int(end[i]) - 1)
         key = (W.mix64(v[at] + U(f)) & ~U(7)) | U(f & 7)
         context = W.mix64((total[s1] - total[s0]) * inverse[s0] + W.mix64((s1 - s0).astype(U)))
-        yield of, begin[of], np.array(left), at, np.array(right), key, context
+        yield of, begin[of], left, at, right, key, context
 
 
 def _window_batches(batches, shingle, length, functions):

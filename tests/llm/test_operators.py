@@ -487,6 +487,26 @@ def test_sliding_minima():
         assert v[p] >> np.uint64(9) == min(v[i : i + 9]) >> np.uint64(9) and i <= p < i + 9
 
 
+def test_windows_without_runs_need_no_tree(monkeypatch):
+    """Bounds of windows come from the sliding minima; only a text with a node in a run of one token is walked."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"v{i}" for i in rng.integers(0, 40, n)) for n in (0, 5, 14, 300, 90)] + ["same " * 60 + "end"]
+    walked, tree = [], substring_dedup.cartesian_windows
+    monkeypatch.setattr(substring_dedup, "cartesian_windows", lambda at, value, lo, hi: walked.append(lo) or tree(at, value, lo, hi))
+    (c,) = W.chunks(pa.array(texts))
+    x, length = W.windows(c.hashes, 5), 10
+    for f, (of, begin, l, at, r, _, _) in enumerate(substring_dedup.compact_windows(c, 5, length, 3)):
+        v = substring_dedup._hashed(x, f)
+        for i in range(5):
+            lo, hi, expect = int(c.ptr[i]), int(c.ptr[i + 1]) - 4, {}
+            for s in range(lo, hi - length + 1):
+                expect.setdefault(s + int(np.argmin(v[s : s + length])), []).append(s)
+            mine = np.flatnonzero(of == i)
+            got = [(at[j], max(l[j], at[j] - length + 1), min(r[j], at[j] + length - 1)) for j in mine]
+            assert got == [(p, q[0], q[-1] + length - 1) for p, q in sorted(expect.items())]
+    assert set(walked) == {int(c.ptr[5])}
+
+
 def test_passages(spark, docs):
     rng = np.random.default_rng(1)
     fresh = lambda d, n: [f"d{d}_{i}" for i in range(n)]
