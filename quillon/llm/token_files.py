@@ -36,8 +36,29 @@ def filesystem(uri):
 #: Endings and runs of white space at which words are not parted by one space or newline.
 ODD = (" ", "\n"), ("  ", "\n\n", " \n", "\n ")
 
-#: Marks that never join the letters before them, and the vocabulary's letter for a space.
-CLOSING, SPACED = ".,!?;:*$%&#", "\u0120"
+#: Marks that never join the letters before them.
+CLOSING = ".,!?;:*$%&#"
+
+#: The vocabulary's letters for bytes, and the first letter that is left to the tokenizer's own splitting.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = sorted(set(range(256)) - _PLAIN)
+LETTERS = [chr(b if b in _PLAIN else 256 + _OTHERS.index(b)) for b in range(256)]
+SPACED, BEYOND = LETTERS[32], "\u0250"
+
+
+class _Known(dict):
+    """Encodings by word, made when first asked for; emptied at `limit` entries."""
+
+    def __init__(self, make, limit):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        ids = self.make(key)
+        if len(self) >= self.limit:
+            self.clear()
+        self[key] = ids
+        return ids
 
 
 class PieceCache:
@@ -46,8 +67,10 @@ class PieceCache:
     The vocabulary merges only inside the pieces of its own splitting pattern, and that pattern
     always cuts before a single space or newline that parts two words. So in texts whose words are
     parted that way the ids are those of the words in order, each with its space or newline.
-    Other texts are cut by the pattern itself, and texts that hold an added token's string go to
-    the tokenizer whole. A table is emptied when it reaches `limit` entries.
+    Latin letters, which are one piece with a space before them and one without, go to the merges
+    themselves, and marks behind them are another piece. Other texts are cut by the pattern itself,
+    and texts that hold an added token's string go to the tokenizer whole. A table is emptied when
+    it reaches `limit` entries.
     """
 
     def __init__(self, path, limit=500_000):
@@ -60,7 +83,9 @@ class PieceCache:
         self.kind = "<u4" if self.tokenizer.get_vocab_size() > 65536 else "<u2"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.limit, self.words, self.pieces, self.stems, self.tails = limit, {}, {}, {}, {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.limit, self.pieces = limit, {}
+        self.words, self.stems, self.tails = _Known(self._of_word, limit), _Known(self._of_stem, limit), _Known(self._of_piece, 10_000)
         self.pack = [struct.Struct(f"<{n}{'I' if self.kind == '<u4' else 'H'}").pack for n in range(16)]
 
     def _joined(self, keys, known, encode):
@@ -77,41 +102,38 @@ class PieceCache:
     def _whole(self, texts):
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _of_words(self, new):
-        """Encodings of words after a space, or with their newline; letters before closing marks are two pieces."""
-        out, rest = {}, []
-        stems, tokenize, pack = self.stems, self.tokenizer.model.tokenize, self.pack
-        if len(stems) + len(new) > self.limit:
-            stems.clear()
-        for w in new:
-            stem = w.rstrip(CLOSING)
-            if stem.isascii() and stem.isalpha():
-                ids = stems.get(stem)
-                if ids is None:
-                    ids = [t.id for t in tokenize(SPACED + stem)]
-                    ids = stems[stem] = pack[len(ids)](*ids) if len(ids) < len(pack) else np.array(ids, self.kind).tobytes()
-                tail = w[len(stem) :]
-                if tail:
-                    if tail not in self.tails:
-                        if len(self.tails) > 10_000:
-                            self.tails.clear()
-                        self.tails[tail] = self._whole([tail])[0]
-                    ids += self.tails[tail]
-                out[w] = ids
-            else:
-                rest.append(w)
-        out.update(zip(rest, self._whole([w if w[0] == "\n" else " " + w for w in rest])))
-        return [out[w] for w in new]
+    def _of_piece(self, text):
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _of_stem(self, stem):
+        """Letters after a space, or with their newline, which is a piece of its own."""
+        if stem[0] == "\n":
+            return self.tails["\n"] + self._merged("", stem[1:])
+        return self._merged(SPACED, stem)
+
+    def _merged(self, before, letters):
+        piece = before + (letters if letters.isascii() else "".join(map(LETTERS.__getitem__, letters.encode())))
+        ids = [t.id for t in self.tokenize(piece)]
+        return self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, self.kind).tobytes()
+
+    def _of_word(self, word):
+        """A word after a space, or with its newline; letters before closing marks are two pieces."""
+        stem = word.rstrip(CLOSING)
+        letters = stem[1:] if stem[:1] == "\n" else stem
+        if not letters.isalpha() or not (letters.isascii() or max(letters) < BEYOND):
+            return self._of_piece(word if word[0] == "\n" else " " + word)
+        ids = self.stems[stem]
+        return ids + self.tails[word[len(stem) :]] if len(stem) < len(word) else ids
 
     def encode(self, text):
         """The ids of a text as bytes."""
         if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+            return self._of_piece(text)
         if text.endswith(ODD[0]) or any(x in text for x in ODD[1]):
             return self._joined(self.find(text), self.pieces, self._whole)
         first, *rest = text.replace("\n", " \n").split(" ")
         start = self._joined([first], self.pieces, self._whole) if first else b""
-        return start + self._joined(rest, self.words, self._of_words)
+        return start + b"".join(map(self.words.__getitem__, rest))
 
 
 #: Tables stay with a worker process from task to task.

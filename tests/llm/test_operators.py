@@ -228,6 +228,31 @@ def test_token_files_round_trip(docs):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == expect
 
 
+def test_words_of_letters_go_to_the_merges():
+    """Only the first word, marks and words that are not Latin letters are cut by the tokenizer; the ids are its own."""
+    cache, asked = token_files.PieceCache(TOK), []
+
+    class Asked:
+        def __getattr__(self, name):
+            if name == "model":
+                return tok.model
+
+            def call(text, **more):
+                asked.extend([text] if isinstance(text, str) else text)
+                return getattr(tok, name)(text, **more)
+
+            return call
+
+    tok, cache.tokenizer = cache.tokenizer, Asked()
+    text = "Erste \u00dcbung, \u00e9t\u00e9!\n\u00d1ame \u0111\u00e0 plain\nwords? words 12 \u03b1\u03b2 \u6f22\u5b57 x\u02b0"
+    ids = np.array(tok.encode(text, add_special_tokens=False).ids, cache.kind).tobytes()
+    assert cache.encode(text) == cache.encode(text) == ids
+    assert sorted(asked) == sorted(["Erste", ",", "!", "\n", "?", " 12", " \u03b1\u03b2", " \u6f22\u5b57", " x\u02b0"])
+    letters = [chr(i) for i in range(1, 0x400)]
+    for text in ["x a%sb. %sb\n%s %s! q%s, \n%s" % ((x,) * 6) for x in letters]:
+        assert cache.encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, cache.kind).tobytes(), text
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=12), st.lists(st.integers(0, 3), max_size=20))
 def test_myers(pattern, text):
