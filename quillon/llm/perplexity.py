@@ -42,6 +42,8 @@ SCALE = 1 << 16
 CUT = 8
 #: Strings that a counting task holds before it passes them on.
 HELD = 2_000_000
+#: So many languages of a chunk fit above a string and its state in 64 bits.
+NAMES = 1 << 62 - 8 * ORDER
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -58,10 +60,25 @@ def strings(c, order=ORDER):
     b[solid + np.repeat(place - c.starts, size - 1)] = c.data[solid]
     row = np.repeat(of, size)
     at = np.arange(len(row)) + (order - 1) * (row + 1)
-    g = np.zeros(len(row), U)
-    for i in range(order):
-        g |= b[at - i] << U(8 * i)
-    return g, row, np.repeat(folds(c, of), size)
+    # over the whole line first, as shifts of neighbours are cheaper than picking bytes for each string
+    g = b.copy()
+    for i in range(1, order):
+        g[i:] |= b[:-i] << U(8 * i)
+    return g[at], row, np.repeat(folds(c, of), size)
+
+
+def distinct(keys):
+    """Sorted distinct keys; the order that sorts all, and the place in the distinct ones of each in that order."""
+    n = len(keys)
+    low = (U(1) << U(max(n.bit_length(), 1))) - U(1)
+    # most of a key and its place in one number: sorting values is cheaper than sorting places
+    order = (np.sort(((keys.view(U) ^ U(1 << 63)) & ~low) | np.arange(n, dtype=U)) & low).astype(np.int64)
+    k = keys[order]
+    if (k[1:] < k[:-1]).any():  # keys that differ only in the bits left out
+        order = np.argsort(keys, kind="stable")
+        k = keys[order]
+    new = np.concatenate((np.ones(min(n, 1), bool), k[1:] != k[:-1]))
+    return k[new], order, np.cumsum(new) - 1
 
 
 def folds(c, of):
@@ -118,12 +135,11 @@ class _Counts:
     def __init__(self):
         self.parts, self.held = [], 0
 
-    def add(self, g, fold, teaches):
+    def add(self, k, state, n):
+        """n strings k each; state is the fold that they teach, 2 for those of texts that don't."""
         for f in (0, 1):
-            mine = fold == f
-            k, n = np.unique(g[mine & teaches], return_counts=True)
-            self._put(k, n, f)
-        self._put(np.unique(g[~teaches]), 0, 0)
+            self._put(k[state == f], n[state == f], f)
+        self._put(k[state == 2], 0, 0)
         if self.held > HELD:
             self.fold()
 
@@ -151,22 +167,32 @@ def _emit(lang, counts, step=200_000):
 
 def _count_batches(batches):
     """lang, g, c0, c1: partial counts, passed on whenever a language holds too many strings."""
-    by = {}
+    by_lang = {}
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         for c in W.chunks(batch.column("text"), lower=False):
             g, row, fold = strings(c)
-            teaches = ~fails(base_columns(c))
-            names = np.array(langs[c.lo : c.hi], object)
-            for lang in set(langs[c.lo : c.hi]):
-                mine = (names == lang)[row]
-                if not mine.any():
+            names, name = np.unique(np.array(langs[c.lo : c.hi], object), return_inverse=True)
+            # one sort a chunk: rows of a language lie together, its strings in order, equal ones by state
+            state = np.where(~fails(base_columns(c))[row], fold, 2).astype(U)
+            packed = (g << U(2)) | state
+            cuts = np.arange(len(names) + 1)
+            if len(names) < NAMES:
+                packed = np.sort(packed | (name.astype(U)[row] << U(8 * ORDER + 2)))
+                ends = np.searchsorted(packed, cuts.astype(U) << U(8 * ORDER + 2))
+            else:
+                by = np.lexsort((packed, name[row]))
+                packed, ends = packed[by], np.searchsorted(name[row][by], cuts)
+            for i, lang in enumerate(names):
+                mine = packed[ends[i] : ends[i + 1]] & U((1 << 8 * ORDER + 2) - 1)
+                if not len(mine):
                     continue
-                counts = by.setdefault(lang, _Counts())
-                counts.add(g[mine], fold[mine], teaches[row[mine]])
+                first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
+                counts = by_lang.setdefault(lang, _Counts())
+                counts.add(mine[first] >> U(2), mine[first] & U(3), np.diff(np.append(first, len(mine))))
                 if counts.held > HELD // 2:
-                    yield from _emit(lang, by.pop(lang))
-    for lang, counts in by.items():
+                    yield from _emit(lang, by_lang.pop(lang))
+    for lang, counts in by_lang.items():
         yield from _emit(lang, counts)
 
 
@@ -292,10 +318,10 @@ def _judge_batches(batches, shards):
             sums = np.zeros(n, np.int64)
             if len(g):
                 seed = np.array([seeds[x] for x in langs[c.lo : c.hi]], U)
-                keys, inverse = np.unique(W.mix64(g ^ seed[row]).view(np.int64), return_inverse=True)
-                value = model.lookup(keys)[inverse, 1 - fold]
+                keys, order, at = distinct(W.mix64(g ^ seed[row]).view(np.int64))
+                value = model.lookup(keys).ravel()[2 * at + 1 - fold[order]]
                 # whole numbers below 2**53: their sums are exact
-                sums = np.bincount(row, value, n).astype(np.int64)
+                sums = np.bincount(row[order], value, n).astype(np.int64)
             logp.append(sums)
         if rows:
             table = np.concatenate(rows)

@@ -214,6 +214,31 @@ def test_perplexity_band_rejects_both_sides(spark):
     assert not any(got[2000 + i].base_failed for i in range(5))
 
 
+def test_strings_are_sorted_once_a_chunk(monkeypatch):
+    """Distinct keys and counts equal the plain ones, without a sort of places: keys equal but for their last bits, many languages."""
+    rng = np.random.default_rng(4)
+    near = (np.int64(7) << 40) + rng.integers(0, 9, 50)
+    for keys in (rng.integers(-(1 << 63), 1 << 63, 3000), rng.integers(-5, 5, 300) << 50, np.concatenate((near, -near)), np.zeros(0, np.int64)):
+        k, order, at = perplexity.distinct(keys)
+        assert k.tolist() == sorted(set(keys.tolist())) and np.array_equal(k[at], keys[order]) and sorted(order.tolist()) == list(range(len(keys)))
+    texts = [" ".join(rng.choice(["a", "bb", "caf\u00e9"], int(rng.integers(0, 30)))) for _ in range(200)]
+    langs = [["en", "de", ""][i % 3] for i in range(200)]
+    expect = {}
+    for c in W.chunks(pa.array(texts), lower=False):
+        (g, row, fold), good = perplexity.strings(c), ~perplexity.fails(perplexity.base_columns(c))
+        for x, r, f in zip(g.tolist(), row.tolist(), fold.tolist()):
+            expect.setdefault((langs[c.lo + r], x), [0, 0])[f] += int(good[r])
+    batch = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts)], ["lang", "text"])
+    for limit in (perplexity.NAMES, 0):
+        monkeypatch.setattr(perplexity, "NAMES", limit)
+        got = {}
+        for b in perplexity._count_batches([batch]):
+            for r in b.to_pylist():
+                n = got.setdefault((r["lang"], r["g"]), [0, 0])
+                n[0], n[1] = n[0] + r["c0"], n[1] + r["c1"]
+        assert got == expect
+
+
 def test_token_files_round_trip(docs):
     from tokenizers import Tokenizer
 
