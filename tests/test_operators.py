@@ -216,6 +216,15 @@ def test_models_learn(spark, kind):
     assert len(out) == 48 and sum(r.predicted == r.label for r in out) >= 44
 
 
+def test_perceptron_is_fitted_to_the_end(spark):
+    """Parity of three bits takes more than a few steps."""
+    rows = [(i, (i & 1) ^ (i >> 1 & 1) ^ (i >> 2 & 1), [float(i >> b & 1) for b in range(5)]) for i in range(32)]
+    df = spark.createDataFrame(rows, "id int, label int, features array<double>")
+    model = ml.fit_model(df, "perceptron")
+    assert all(r.predicted == r.label for r in ml.predict(model, df).collect())
+    assert model.summary().objectiveHistory[-1] < 1e-4
+
+
 @pytest.mark.parametrize("kind", ["logistic", "svm", "forest", "perceptron"])
 def test_models_of_one_label_or_none(spark, kind):
     """Larger selections have few labelled variants: none, or those of one label, are no error."""
